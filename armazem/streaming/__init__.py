@@ -1,0 +1 @@
+"""Intentionally empty: the warehouse is a full batch reload and has no streaming operator."""
