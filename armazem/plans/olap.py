@@ -9,7 +9,7 @@ up and need no distinct count.
 import re
 from collections.abc import Iterable
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
@@ -20,8 +20,11 @@ from armazem.operators.ranking import asc, desc, share_of_all, top
 from armazem.plans.star import Star
 
 TOP = 10
-_ALL = W.partitionBy()
-_REVENUE = {"faturamento": F.sum("valor_item"), "pedidos": F.count("*")}
+
+
+def _revenue() -> dict[str, Column]:
+    """Measures over rows of one order each."""
+    return {"faturamento": F.sum("valor_item"), "pedidos": F.count("*")}
 
 
 def sold_orders(star: Star, *attributes: str, years: Iterable[int] = ()) -> DataFrame:
@@ -35,7 +38,7 @@ def sold_items(star: Star, *columns: str, years: Iterable[int] = ()) -> DataFram
     return rows.where(~F.col("flag_cancelado"))
 
 
-def _sales(ticket: bool = True) -> list:
+def _sales(ticket: bool = True) -> list[Column]:
     columns = [total(F.col("faturamento")).alias("faturamento"), F.col("pedidos")]
     if ticket:
         columns.append(quotient(F.col("faturamento"), F.col("pedidos")).alias("ticket_medio"))
@@ -54,7 +57,7 @@ def o01(star: Star) -> DataFrame:
     )
     overall, by_year, by_quarter, by_month = v.LEVELS
     return (
-        grouped_totals(rows, sets, _REVENUE)
+        grouped_totals(rows, sets, _revenue())
         .orderBy(asc("ano"), asc("trimestre"), asc("mes"))
         .select(
             F.when(no_year, v.GRAND_TOTAL)
@@ -78,9 +81,9 @@ def o01(star: Star) -> DataFrame:
 def o02(star: Star) -> DataFrame:
     """Revenue by customer region and state, with the share of the grand total."""
     rows = sold_orders(star, "geografia.regiao", "geografia.estado")
-    grand = F.max(F.when(F.col(total_flag("regiao")) == 1, F.col("faturamento"))).over(_ALL)
+    grand = F.max(F.when(F.col(total_flag("regiao")) == 1, F.col("faturamento"))).over(W.partitionBy())
     return (
-        grouped_totals(rows, rollup_sets("regiao", "estado"), _REVENUE)
+        grouped_totals(rows, rollup_sets("regiao", "estado"), _revenue())
         .withColumn("participacao_pct", percent(F.col("faturamento"), grand))
         .orderBy(total_flag("regiao"), asc("regiao"), total_flag("estado"), desc("faturamento"))
         .select(
@@ -96,7 +99,7 @@ def o03(star: Star, estado: str = "SP") -> DataFrame:
     """The ten cities of a state with most revenue and their share of the state."""
     rows = sold_orders(star, "geografia.cidade", "geografia.estado")
     cities = rows.where(F.col("estado") == estado).groupBy("cidade").agg(
-        *[m.alias(n) for n, m in _REVENUE.items()]
+        *[m.alias(n) for n, m in _revenue().items()]
     )
     shared = cities.withColumn("participacao_no_estado_pct", share_of_all(F.col("faturamento")))
     best = top(shared, TOP, desc("faturamento"), asc("cidade"))
@@ -146,7 +149,7 @@ def o05(
     return (
         rows.where(inside)
         .groupBy(*keys)
-        .agg(*[m.alias(n) for n, m in _REVENUE.items()])
+        .agg(*[m.alias(n) for n, m in _revenue().items()])
         .orderBy(*keys)
         .select(*keys, *_sales())
     )
@@ -403,7 +406,7 @@ def o15(star: Star) -> DataFrame:
     """Revenue by customer region and payment type with every subtotal."""
     rows = sold_orders(star, "geografia.regiao", "pagamento.tipo_pagamento")
     return (
-        grouped_totals(rows, cube_sets("regiao", "tipo_pagamento"), _REVENUE)
+        grouped_totals(rows, cube_sets("regiao", "tipo_pagamento"), _revenue())
         .orderBy(
             total_flag("regiao"), asc("regiao"), total_flag("tipo_pagamento"), desc("faturamento")
         )

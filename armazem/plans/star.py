@@ -101,58 +101,72 @@ class SourceStar:
         self.source = source
         self.recurring_above = recurring_above
 
-    # attributes of an order that its own row holds
-    HEAD = {
-        "order_id": F.col("o_orderkey"),
-        "status.status_original": b.status,
-        "status.flag_cancelado": F.col("o_orderstatus") == "P",
-        "tempo.ano": F.year(b.purchase),
-        "tempo.trimestre": F.quarter(b.purchase),
-        "tempo.mes": F.month(b.purchase),
-        "tempo.nome_mes": dates.pick_name(v.MONTH_NAMES, F.month(b.purchase)),
-        "tempo.ano_mes": dates.year_month(b.purchase),
-        "prazo_estimado_dias": dates.days_between(b.purchase, b.due),
-    }
-    PLACE = {
-        "geografia.cidade": text.normalize_label(b.city("c_custkey")),
-        "geografia.estado": text.state_code(F.col("n_name")),
-        "geografia.regiao": F.col("r_name"),
-    }
-    ITEM = {
-        "order_id": F.col("l_orderkey"),
-        "order_item_id": F.col("l_linenumber"),
-        "sk_produto": F.col("l_partkey"),
-        "sk_vendedor": F.col("l_suppkey"),
-        "valor_item": b.price,
-        "valor_frete": b.freight,
-        "valor_total_item": (b.price + b.freight).cast("decimal(10,2)"),
-    }
     ITEM_DIMS = {"produto": "sk_produto", "vendedor": "sk_vendedor"}
-    # attributes that summarise the lines of an order
-    _last = b.delivered(F.col("shipped"))
-    _lead, _, _delay, _late = facts.delivery_measures(b.purchase, b.due, _last)
-    LINES = {
-        "valor_item": F.col("valor_item"),
-        "valor_frete": F.col("valor_frete"),
-        "itens": F.col("itens"),
-        "prazo_entrega_dias": _lead,
-        "atraso_entrega_dias": _delay,
-        "flag_entregue_com_atraso": _late,
-        "nota_avaliacao": F.col("nota_avaliacao"),
-        "pagamento.tipo_pagamento": F.when(
-            F.col("payment").isNotNull(), dim_jobs.payment_label(F.col("payment.tipo_pagamento_original"))
-        ).otherwise(v.NOT_INFORMED),
-    }
+
+    @staticmethod
+    def _head() -> dict[str, Column]:
+        """Attributes that the row of an order holds itself."""
+        bought = b.purchase()
+        return {
+            "order_id": F.col("o_orderkey"),
+            "status.status_original": b.status(),
+            "status.flag_cancelado": F.col("o_orderstatus") == "P",
+            "tempo.ano": F.year(bought),
+            "tempo.trimestre": F.quarter(bought),
+            "tempo.mes": F.month(bought),
+            "tempo.nome_mes": dates.pick_name(v.MONTH_NAMES, F.month(bought)),
+            "tempo.ano_mes": dates.year_month(bought),
+            "prazo_estimado_dias": dates.days_between(bought, b.due()),
+        }
+
+    @staticmethod
+    def _place() -> dict[str, Column]:
+        """Attributes of the delivery address."""
+        return {
+            "geografia.cidade": text.normalize_label(b.city("c_custkey")),
+            "geografia.estado": text.state_code(F.col("n_name")),
+            "geografia.regiao": F.col("r_name"),
+        }
+
+    @staticmethod
+    def _item() -> dict[str, Column]:
+        return {
+            "order_id": F.col("l_orderkey"),
+            "order_item_id": F.col("l_linenumber"),
+            "sk_produto": F.col("l_partkey"),
+            "sk_vendedor": F.col("l_suppkey"),
+            "valor_item": b.price(),
+            "valor_frete": b.freight(),
+            "valor_total_item": (b.price() + b.freight()).cast("decimal(10,2)"),
+        }
+
+    @staticmethod
+    def _summary() -> dict[str, Column]:
+        """Attributes that summarise the lines of an order."""
+        arrived = b.delivered(F.col("shipped"))
+        lead, _, delay, late = facts.delivery_measures(b.purchase(), b.due(), arrived)
+        kind = dim_jobs.payment_label(F.col("payment.tipo_pagamento_original"))
+        return {
+            **{c: F.col(c) for c in (*ORDER_SUMS, "itens", "nota_avaliacao")},
+            "prazo_entrega_dias": lead,
+            "atraso_entrega_dias": delay,
+            "flag_entregue_com_atraso": late,
+            "pagamento.tipo_pagamento": F.when(F.col("payment").isNotNull(), kind).otherwise(
+                v.NOT_INFORMED
+            ),
+        }
 
     def _lines(self) -> DataFrame:
         """All order-level summaries of the lines; unused ones are pruned from the plan."""
-        review = facts.latest_review(b.score, b.answered, F.col("l_shipdate"), b.review_id)
+        review = facts.latest_review(
+            b.score(), b.answered(), F.col("l_shipdate"), b.review_id()
+        )
         payment = facts.main_payment(
-            b.payment_value, F.col("l_linenumber"), text.code(b.payment_type), b.instalments
+            b.payment_value(), F.col("l_linenumber"), text.code(b.payment_type()), b.instalments()
         )
         return self.source["lineitem"].groupBy("l_orderkey").agg(
-            F.sum(b.price).alias("valor_item"),
-            F.sum(b.freight).alias("valor_frete"),
+            F.sum(b.price()).alias("valor_item"),
+            F.sum(b.freight()).alias("valor_frete"),
             F.count("*").alias("itens"),
             F.max("l_shipdate").alias("shipped"),
             payment.alias("payment"),
@@ -160,11 +174,12 @@ class SourceStar:
         )
 
     def _orders(self, wanted: Mapping[str, str], how: str) -> DataFrame:
-        known = self.HEAD | self.PLACE | self.LINES
+        place, summary = self._place(), self._summary()
+        known = self._head() | place | summary
         rows = self.source["orders"]
-        if any(c in self.LINES for c in wanted.values()) or how == "inner":
+        if any(c in summary for c in wanted.values()) or how == "inner":
             rows = rows.join(self._lines(), F.col("o_orderkey") == F.col("l_orderkey"), how)
-        if any(c in self.PLACE for c in wanted.values()):
+        if any(c in place for c in wanted.values()):
             homes = self.source.located("customer", "c_nationkey")
             if "geografia.regiao" in wanted.values():
                 homes = self.source.in_region(homes)
@@ -180,7 +195,8 @@ class SourceStar:
 
     def items(self, *columns: str, years: Iterable[int] = (), **renamed: str) -> DataFrame:
         wanted = _wanted(columns, renamed)
-        own = {out: c for out, c in wanted.items() if c in self.ITEM}
+        item = self._item()
+        own = {out: c for out, c in wanted.items() if c in item}
         described = {
             name: {out: c for out, c in wanted.items() if c.startswith(f"{name}.")}
             for name in self.ITEM_DIMS
@@ -188,9 +204,9 @@ class SourceStar:
         joined = {out for d in described.values() for out in d}
         inherited = {out: c for out, c in wanted.items() if out not in own and out not in joined}
         rows = self.source["lineitem"].select(
-            *[self.ITEM[c].alias(out) for out, c in own.items()],
+            *[item[c].alias(out) for out, c in own.items()],
             F.col("l_orderkey").alias("parent"),
-            *[self.ITEM[key].alias(f"of_{key}") for key in self.ITEM_DIMS.values()],
+            *[item[key].alias(f"of_{key}") for key in self.ITEM_DIMS.values()],
         )
         if inherited:
             rows = rows.join(self._orders({"parent": "order_id"} | inherited, "left"), "parent")

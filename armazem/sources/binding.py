@@ -37,28 +37,63 @@ def _decode(c: Column, codes: tuple[tuple[str, str], ...]) -> Column:
 
 # --- expressions over the source columns, shared with the direct star -------------------------
 
-purchase = F.col("o_orderdate")
-due = F.col("o_orderdate") + F.expr(f"interval {DUE_DAYS} days")
-approved = F.when(
-    F.col("o_orderpriority") != "4-NOT SPECIFIED", F.col("o_orderdate") + F.expr("interval 1 day")
-)
-status = _decode(F.col("o_orderstatus"), STATUS_CODES)
-price = F.col("l_extendedprice").cast("decimal(12,2)").cast("decimal(10,2)")
-freight = F.round(price * F.col("l_tax").cast("decimal(4,2)"), 2).cast("decimal(10,2)")
-payment_type = _decode(F.concat("l_returnflag", "l_linestatus"), PAYMENT_CODES)
-instalments = F.col("l_quantity").cast("int") % 14 + 1
-payment_value = (price + freight).cast("decimal(10,2)")
-score = F.when(F.col("l_quantity").cast("int") % 7 != 0, F.col("l_quantity").cast("int") % 5 + 1)
-answered = F.when(
-    F.col("l_linenumber") % 3 != 0,
-    F.col("l_shipdate") + F.make_dt_interval(days=F.col("l_linenumber")),
-)
-review_id = F.concat_ws("-", "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey")
+
+
+def purchase() -> Column:
+    return F.col("o_orderdate")
+
+
+def due() -> Column:
+    return purchase() + F.expr(f"interval {DUE_DAYS} days")
+
+
+def approved() -> Column:
+    return F.when(
+        F.col("o_orderpriority") != "4-NOT SPECIFIED", purchase() + F.expr("interval 1 day")
+    )
+
+
+def status() -> Column:
+    return _decode(F.col("o_orderstatus"), STATUS_CODES)
+
+
+def price() -> Column:
+    return F.col("l_extendedprice").cast("decimal(12,2)").cast("decimal(10,2)")
+
+
+def freight() -> Column:
+    return F.round(price() * F.col("l_tax").cast("decimal(4,2)"), 2).cast("decimal(10,2)")
+
+
+def payment_type() -> Column:
+    return _decode(F.concat("l_returnflag", "l_linestatus"), PAYMENT_CODES)
+
+
+def instalments() -> Column:
+    return F.col("l_quantity").cast("int") % 14 + 1
+
+
+def payment_value() -> Column:
+    return (price() + freight()).cast("decimal(10,2)")
+
+
+def score() -> Column:
+    quantity = F.col("l_quantity").cast("int")
+    return F.when(quantity % 7 != 0, quantity % 5 + 1)
+
+
+def answered() -> Column:
+    line = F.col("l_linenumber")
+    return F.when(line % 3 != 0, F.col("l_shipdate") + F.make_dt_interval(days=line))
+
+
+def review_id() -> Column:
+    return F.concat_ws("-", "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey")
 
 
 def delivered(last_shipment: Column) -> Column:
     """The last shipment counts as delivery unless it lies before the purchase."""
-    return F.when(last_shipment >= purchase, last_shipment)
+    return F.when(last_shipment >= purchase(), last_shipment)
 
 
 def city(key: str) -> Column:
@@ -117,12 +152,12 @@ class Source:
             .select(
                 F.col("o_orderkey").alias("order_id"),
                 F.col("o_custkey").alias("customer_id"),
-                status.alias("order_status"),
-                purchase.alias("order_purchase_timestamp"),
-                approved.alias("order_approved_at"),
+                status().alias("order_status"),
+                purchase().alias("order_purchase_timestamp"),
+                approved().alias("order_approved_at"),
                 F.lit(None).cast("timestamp_ntz").alias("order_delivered_carrier_date"),
                 delivered(F.col("shipped")).alias("order_delivered_customer_date"),
-                due.alias("order_estimated_delivery_date"),
+                due().alias("order_estimated_delivery_date"),
             )
         )
 
@@ -133,28 +168,28 @@ class Source:
             F.col("l_partkey").alias("product_id"),
             F.col("l_suppkey").alias("seller_id"),
             F.col("l_shipdate").alias("shipping_limit_date"),
-            price.alias("price"),
-            freight.alias("freight_value"),
+            price().alias("price"),
+            freight().alias("freight_value"),
         )
 
     def _payments(self) -> DataFrame:
         return self["lineitem"].select(
             F.col("l_orderkey").alias("order_id"),
             F.col("l_linenumber").alias("payment_sequential"),
-            payment_type.alias("payment_type"),
-            instalments.alias("payment_installments"),
-            payment_value.alias("payment_value"),
+            payment_type().alias("payment_type"),
+            instalments().alias("payment_installments"),
+            payment_value().alias("payment_value"),
         )
 
     def _reviews(self) -> DataFrame:
         return self["lineitem"].select(
-            review_id.alias("review_id"),
+            review_id().alias("review_id"),
             F.col("l_orderkey").alias("order_id"),
-            score.alias("review_score"),
+            score().alias("review_score"),
             F.lit(None).cast("string").alias("review_comment_title"),
             F.lit(None).cast("string").alias("review_comment_message"),
             F.col("l_shipdate").alias("review_creation_date"),
-            answered.alias("review_answer_timestamp"),
+            answered().alias("review_answer_timestamp"),
         )
 
     def _customers(self) -> DataFrame:
