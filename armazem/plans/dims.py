@@ -14,12 +14,13 @@ from armazem.functions import dates, numbers, text
 from armazem.operators.keys import with_dense_key, with_ordered_key
 from armazem.operators.modes import profile_per_key
 from armazem.operators.pick import last_by, smallest_per_key
+from armazem.sources.literals import literal_rows
 
 Tables = Mapping[str, DataFrame]
 
 
 def default_states(spark: SparkSession) -> DataFrame:
-    return spark.createDataFrame(v.STATES, "uf string, nome_estado string, regiao string")
+    return literal_rows(spark, v.STATES, "uf string, nome_estado string, regiao string")
 
 
 def _with_region(rows: DataFrame, states: DataFrame) -> DataFrame:
@@ -80,11 +81,12 @@ def statuses(stg: Tables) -> DataFrame:
     orders = stg["orders"]
     used = orders.select(text.code(F.col("order_status")).alias("status_original"))
     used = used.where(F.col("status_original").isNotNull()).distinct()
-    known = orders.sparkSession.createDataFrame(
+    known = literal_rows(
+        orders.sparkSession,
         v.ORDER_STATUS,
         "status_original string, descricao string, entregue boolean, cancelado boolean, ordem int",
     )
-    return used.join(F.broadcast(known), "status_original", "left").select(
+    return used.join(known, "status_original", "left").select(
         "status_original",
         F.coalesce("descricao", text.capitalize_words(F.col("status_original"))).alias(
             "status_descricao"
@@ -131,7 +133,8 @@ def payments(stg: Tables) -> DataFrame:
 
 def _unknown_payment(spark: SparkSession) -> DataFrame:
     row = (0, v.UNKNOWN_PAYMENT_CODE, v.NOT_INFORMED, 0, v.NOT_INFORMED)
-    return spark.createDataFrame(
+    return literal_rows(
+        spark,
         [row],
         "sk_pagamento bigint, tipo_pagamento_original string, tipo_pagamento string,"
         " num_parcelas int, faixa_parcelas string",

@@ -7,7 +7,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from armazem import vocabulary as v
 from armazem.sources.catalog import RAW_TABLES, RawTable
+from armazem.sources.literals import literal_rows
 
 
 class MissingInput(FileNotFoundError):
@@ -87,6 +89,6 @@ def header_report(spark: SparkSession, path: str, table: RawTable) -> DataFrame:
     found = [c.strip() for c in header(spark, path)]
     names = list(dict.fromkeys([*table.columns, *found]))
     rows = [(n, n in table.columns, n in found) for n in names]
-    report = spark.createDataFrame(rows, "coluna string, esperada boolean, encontrada boolean")
-    return report.withColumn("situacao", F.when(F.col("esperada") & F.col("encontrada"), "OK")
-                             .otherwise("FALHA"))
+    report = literal_rows(spark, rows, "coluna string, esperada boolean, encontrada boolean")
+    matched = F.col("esperada") & F.col("encontrada")
+    return report.withColumn("situacao", F.when(matched, v.OK).otherwise(v.FAILED))

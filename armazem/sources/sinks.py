@@ -8,6 +8,14 @@ from pyspark.sql import functions as F
 
 _own_folders: dict[str, str] = {}
 
+# Quotes doubled inside quotes, blanks kept, NULL and empty text both as an empty field.
+CSV_WRITE = {
+    "emptyValue": "",
+    "escape": '"',
+    "ignoreLeadingWhiteSpace": "false",
+    "ignoreTrailingWhiteSpace": "false",
+}
+
 
 def shared_folder(spark: SparkSession) -> str:
     """Folder all executors can reach, as the session names it.
@@ -38,8 +46,7 @@ def export_report(report: DataFrame, path: str) -> None:
         report.coalesce(1)
         .write.mode("overwrite")
         .option("header", True)
-        .option("emptyValue", "")
-        .option("escape", '"')
+        .options(**CSV_WRITE)
         .csv(path)
     )
 

@@ -490,5 +490,326 @@ REPORTS = {
 }
 
 
+# --- feeds: a query over the report they shape ------------------------------------------------
+
+def _feed(report: str, body: str) -> str:
+    """The shape of a report; the views of the report move to the front."""
+    return body.replace("REPORT", f"({REPORTS[report]}) r")
+
+
+_O01, _O02, _O04, _O06 = (
+    "o01_rollup_calendar", "o02_region_state", "o04_top_categories", "o06_payment_by_year")
+FEEDS = {
+    "g01_monthly_revenue": _feed(_O01, """
+        SELECT ano_mes, faturamento, pedidos,
+               row_number() OVER (ORDER BY faturamento DESC, ano_mes) = 1 AS pico
+          FROM REPORT WHERE nivel = 'Mês' AND pedidos >= 100"""),
+    "g02_state_revenue": _feed(_O02, f"SELECT estado, faturamento FROM REPORT WHERE estado <> '{v.SUBTOTAL}'"),
+    "g04_category_revenue": _feed(_O04, "SELECT categoria, faturamento FROM REPORT"),
+    "g06_stacked_payments": _feed(_O06, f"""
+        SELECT ano, tipo_pagamento, valor,
+               CAST(COALESCE(SUM(valor) OVER (PARTITION BY ano ORDER BY fat_total DESC, tipo_pagamento
+                    ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS DECIMAL(28,2)) AS base,
+               CAST(SUM(valor) OVER (PARTITION BY ano) AS DECIMAL(28,2)) AS total_ano
+          FROM (SELECT tipo_pagamento, fat_total,
+                       unnest([{_list(PIVOT_YEARS)}]) AS ano,
+                       unnest([{", ".join(f"fat_{y}" for y in PIVOT_YEARS)}]) AS valor
+                  FROM REPORT WHERE tipo_pagamento <> '{v.NOT_INFORMED}') q"""),
+    "g07_seller_labels": _feed("o07_top_sellers", """
+        SELECT posicao, substr(CAST(seller_id AS VARCHAR), 1, 8) || '  (' || cidade || '/' || estado || ')' AS rotulo,
+               faturamento FROM REPORT"""),
+    "g08_regional_delivery": _feed("o08_delivery_by_state", f"""
+        SELECT regiao, prazo_medio_dias, taxa_atraso_pct FROM REPORT
+         WHERE estado = '{v.SUBTOTAL}' AND regiao <> '{v.GRAND_TOTAL}'"""),
+    "g11_delivery_ratings": _feed("o11_rating_by_delivery", """
+        SELECT substr(situacao_entrega, 4) AS rotulo, pedidos, nota_media FROM REPORT"""),
+    "g12_rated_categories": _feed("o12_category_ratings", """
+        SELECT grupo, categoria, nota_media,
+               CAST(row_number() OVER (ORDER BY nota_media DESC, avaliacoes DESC, categoria) AS INTEGER) AS linha,
+               CAST(row_number() OVER (PARTITION BY grupo ORDER BY nota_media DESC, avaliacoes DESC, categoria)
+                    AS INTEGER) AS linha_no_grupo FROM REPORT"""),
+    "g13_recurring_by_region": _feed("o13_recurring_customers", f"""
+        SELECT regiao, pct_recorrentes, referencia_pct
+          FROM (SELECT *, MAX(CASE WHEN regiao = '{v.GRAND_TOTAL}' THEN pct_recorrentes END) OVER () AS referencia_pct
+                  FROM REPORT) q WHERE regiao <> '{v.GRAND_TOTAL}'"""),
+    "g14_monthly_cancellation": _feed("o14_cancellation_by_month", """
+        SELECT ano_mes, taxa_cancelamento_pct,
+               row_number() OVER (ORDER BY taxa_cancelamento_pct DESC, ano_mes) = 1 AS pico
+          FROM REPORT WHERE pedidos >= 100"""),
+    "g16_lead_cells": _feed("o16_lead_matrix", f"""
+        SELECT regiao_vendedor, destino, prazo_dias, COALESCE(CAST(prazo_dias AS VARCHAR), 'n/d') AS rotulo,
+               prazo_dias = MAX(prazo_dias) OVER () AS maior
+          FROM (SELECT regiao_vendedor,
+                       unnest([{", ".join(f"'para_{r.lower().replace(' ', '_')}'" for r in REGIONS)}]) AS destino,
+                       unnest([{", ".join(f"para_{r.lower().replace(' ', '_')}" for r in REGIONS)}]) AS prazo_dias
+                  FROM REPORT WHERE regiao_vendedor <> '{v.ALL_REGIONS}') q"""),
+    "g17_leading_states": _feed("o17_sellers_by_state", """
+        SELECT estado || ' (' || regiao || ')' AS rotulo, vendedores
+          FROM REPORT ORDER BY vendedores DESC, faturamento DESC, estado LIMIT 10"""),
+}
+
+
+def _kpi(name: str, value: str) -> str:
+    return f"SELECT '{name}' AS kpi, CAST(({value}) AS DECIMAL(28,2)) AS valor"
+
+
+KPIS = " UNION ALL ".join([
+    _kpi("faturamento", "SELECT SUM(valor_item) FROM sold"),
+    _kpi("pedidos", "SELECT COUNT(DISTINCT order_id) FROM sold"),
+    _kpi("ticket_medio", f"SELECT {money_per(_SUM, _ORDERS)} FROM sold"),
+    _kpi("participacao_frete_pct",
+         f"SELECT {pct_money('SUM(valor_frete)', 'SUM(valor_item + valor_frete)')} FROM sold"),
+    _kpi("prazo_medio_dias",
+         f"SELECT {per('SUM(prazo_entrega_dias)', 'COUNT(prazo_entrega_dias)', 1)} FROM f_pedido"),
+    _kpi("taxa_atraso_pct",
+         f"SELECT {pct('COUNT(*) FILTER (WHERE flag_entregue_com_atraso)', 'COUNT(prazo_entrega_dias)')} FROM f_pedido"),
+    _kpi("nota_media",
+         f"SELECT {per('SUM(nota_avaliacao)', 'COUNT(nota_avaliacao)', 2)} FROM f_pedido"),
+    _kpi("taxa_cancelamento_pct",
+         f"SELECT {pct('COUNT(*) FILTER (WHERE flag_cancelado)', 'COUNT(*)')} FROM f_pedido JOIN d_status USING (sk_status)"),
+    _kpi("clientes_recorrentes_pct",
+         f"SELECT {pct('COUNT(*) FILTER (WHERE flag_recorrente)', 'COUNT(*)')} FROM d_cliente"),
+])
+
+# --- dimensions and facts -----------------------------------------------------------------------
+
+LOADS = {
+    "d01_calendar": "SELECT * FROM d_tempo",
+    "d02_status": "SELECT * FROM d_status",
+    "d03_payment": "SELECT * FROM d_pagamento",
+    "d04_product": "SELECT * FROM d_produto",
+    "d05_seller": "SELECT * FROM d_vendedor",
+    "d06_customer": "SELECT * FROM d_cliente",
+    "d07_geography": "SELECT * FROM d_geografia",
+    "d08_dense_keys": f"SELECT {dense('o_orderkey')} AS sk, o_orderkey, o_orderpriority FROM orders",
+    "d09_region_lookup": """
+        SELECT uf, nome_estado, regiao, clientes
+          FROM states LEFT JOIN (SELECT upper(trim(state)) AS uf, COUNT(*) AS clientes FROM s_customers GROUP BY 1) c
+               USING (uf)""",
+    "f01_order_fact": "SELECT * FROM f_pedido",
+    "f02_item_fact": "SELECT * FROM f_vendas",
+    "f03_main_payment": "SELECT * FROM o_main_payment",
+    "f04_latest_review": "SELECT * FROM o_review",
+    "f05_item_rollup": f"""
+        SELECT order_id, qtd_itens, qtd_produtos_distintos, qtd_vendedores,
+               {total('valor_itens')} AS valor_itens, {total('valor_frete')} AS valor_frete FROM o_items""",
+    "f06_payment_rollup": f"""
+        SELECT order_id, {total('valor_pago')} AS valor_pago, qtd_pagamentos FROM o_payments""",
+    "f07_delivery_measures": """
+        SELECT order_id, CAST(datediff('day', bought, arrived) AS INTEGER) AS prazo_entrega_dias,
+               CAST(datediff('day', bought, due) AS INTEGER) AS prazo_estimado_dias,
+               CAST(datediff('day', due, arrived) AS INTEGER) AS atraso_entrega_dias,
+               CAST(arrived AS DATE) > CAST(due AS DATE) AS flag_entregue_com_atraso
+          FROM s_orders""",
+}
+
+# --- validations ------------------------------------------------------------------------------------
+
+# Rows each raw table is expected to have at scale 0.01.
+EXPECTED_VOLUMES = (
+    ("orders", 15000), ("order_items", 60000), ("order_payments", 60000), ("order_reviews", 60000),
+    ("customers", 1500), ("products", 2000), ("sellers", 100), ("geolocation", 1600),
+    ("category_translation", 22),
+)
+_RAW_VIEWS = {
+    "orders": "s_orders", "order_items": "s_items", "order_payments": "s_payments",
+    "order_reviews": "s_reviews", "customers": "s_customers", "products": "s_products",
+    "sellers": "s_sellers", "geolocation": "s_positions", "category_translation": "s_translation",
+}
+_DIMS = {
+    "dim_tempo": ("d_tempo", "sk_tempo"), "dim_cliente": ("d_cliente", "sk_cliente"),
+    "dim_produto": ("d_produto", "sk_produto"), "dim_vendedor": ("d_vendedor", "sk_vendedor"),
+    "dim_geografia": ("d_geografia", "sk_geografia"), "dim_pagamento": ("d_pagamento", "sk_pagamento"),
+    "dim_status": ("d_status", "sk_status"),
+}
+_WAREHOUSE = {name: view for name, (view, _) in _DIMS.items()} | {
+    "fato_pedido": "f_pedido", "fato_vendas": "f_vendas"}
+
+
+def _one(sql: str) -> str:
+    return f"CAST((SELECT {sql}) AS VARCHAR)"
+
+
+def _sum(x: str) -> str:
+    return f"CAST(SUM({x}) AS DECIMAL(28,2))"
+
+
+def _lost(fact: str, key: str, dim: str, dim_key: str) -> str:
+    return f"COUNT(*) FROM {fact} f LEFT JOIN {dim} d ON d.{dim_key} = f.{key} WHERE d.{dim_key} IS NULL"
+
+
+def _checks() -> str:
+    zero = "'0'"
+    sides = {
+        1: (_one("COUNT(*) FROM s_items"), _one("COUNT(*) FROM f_vendas")),
+        2: (_one("COUNT(*) FROM s_orders"), _one("COUNT(*) FROM f_pedido")),
+        3: (_one(f"{_sum('price')} FROM s_items"), _one(f"{_sum('valor_item')} FROM f_vendas")),
+        4: (_one(f"{_sum('freight')} FROM s_items"), _one(f"{_sum('valor_frete')} FROM f_vendas")),
+        5: (_one(f"{_sum('value')} FROM s_payments"), _one(f"{_sum('valor_pago')} FROM f_pedido")),
+        6: (_one("COUNT(DISTINCT order_id) FROM s_items"), _one("COUNT(DISTINCT order_id) FROM f_vendas")),
+        7: (zero, _one("COUNT(*) FROM f_pedido p JOIN (SELECT order_id, SUM(valor_item) AS x FROM f_vendas"
+                       " GROUP BY 1) q USING (order_id) WHERE x <> valor_itens")),
+        15: (zero, _one("COUNT(*) FROM f_pedido f LEFT JOIN d_tempo a ON a.sk_tempo = sk_tempo_compra"
+                        " LEFT JOIN d_tempo b ON b.sk_tempo = sk_tempo_estimada"
+                        " WHERE a.sk_tempo IS NULL OR b.sk_tempo IS NULL")),
+        21: (zero, _one("COUNT(*) FROM f_vendas WHERE valor_item IS NULL OR valor_item < 0")),
+        22: (zero, _one("COUNT(*) FROM f_pedido WHERE prazo_entrega_dias < 0")),
+        23: (zero, _one("COUNT(*) FROM f_pedido WHERE nota_avaliacao NOT BETWEEN 1 AND 5")),
+        24: (zero, _one("COUNT(*) FROM f_pedido WHERE sk_tempo_entrega IS NULL AND prazo_entrega_dias IS NOT NULL")),
+        25: (_one("COUNT(*) FROM s_products WHERE category IS NULL"),
+             _one(f"COUNT(*) FROM d_produto WHERE categoria = '{v.NOT_INFORMED}'")),
+        26: (_one(f"COUNT(*) FROM d_geografia WHERE origem = '{v.ORIGIN_TRANSACTIONS}'"),
+             _one("COUNT(*) FROM d_geografia WHERE latitude_media IS NULL")),
+    }
+    for n, (dim, key) in enumerate(_DIMS.values(), 8):
+        sides[n] = (zero, _one(_lost("f_vendas", key, dim, key)))
+    unique = (("d_produto", "product_id"), ("d_vendedor", "seller_id"),
+              ("d_cliente", "customer_unique_id"), ("d_geografia", "cep_prefixo"), ("d_tempo", "data"))
+    for n, (dim, key) in enumerate(unique, 16):
+        sides[n] = (zero, _one(f"COUNT(*) - COUNT(DISTINCT {key}) FROM {dim}"))
+    rows = " UNION ALL ".join(
+        f"SELECT {n} AS ordem, '{v.CHECK_TITLES[n]}' AS verificacao, {e} AS esperado, {o} AS obtido"
+        for n, (e, o) in sorted(sides.items()))
+    return f"SELECT *, CASE WHEN esperado = obtido THEN 'OK' ELSE 'FALHA' END AS situacao FROM ({rows}) q"
+
+
+def _volumes() -> str:
+    rows = " UNION ALL ".join(
+        f"SELECT '{t}' AS tabela, (SELECT COUNT(*) FROM {_RAW_VIEWS[t]}) AS carregados,"
+        f" CAST({n} AS BIGINT) AS esperado" for t, n in EXPECTED_VOLUMES)
+    return f"SELECT *, CASE WHEN carregados = esperado THEN 'OK' ELSE 'FALHA' END AS situacao FROM ({rows}) q"
+
+
+def _coverage() -> str:
+    conditions = ("qtd_itens > 0", "sk_pagamento <> 0", "nota_avaliacao IS NOT NULL",
+                  "prazo_entrega_dias IS NOT NULL", "latitude_media IS NOT NULL")
+    return " UNION ALL ".join(
+        f"SELECT '{title}' AS cobertura, COUNT(*) FILTER (WHERE {c}) AS pedidos,"
+        f" {pct(f'COUNT(*) FILTER (WHERE {c})', 'COUNT(*)')} AS percentual"
+        f" FROM f_pedido JOIN d_geografia USING (sk_geografia)"
+        for title, c in zip(v.COVERAGE_TITLES, conditions))
+
+
+def _constraints() -> str:
+    from armazem.plans import checks
+
+    parts = []
+    for name, key in checks.UNIQUE_KEYS:
+        k = ", ".join(key)
+        parts.append((f"unique {name} ({k})",
+                      f"SELECT COALESCE(SUM(n - 1), 0) FROM (SELECT COUNT(*) AS n FROM {_WAREHOUSE[name]} GROUP BY {k}) q"))
+    for name, columns in checks.MANDATORY.items():
+        missing = " OR ".join(f"{c} IS NULL" for c in columns)
+        parts.append((f"not null {name}", f"SELECT COUNT(*) FROM {_WAREHOUSE[name]} WHERE {missing}"))
+    for key, name in checks.ORDER_REFERENCES:
+        dim, dim_key = _DIMS[name]
+        parts.append((f"foreign key fato_pedido ({key})",
+                      f"SELECT {_lost('f_pedido', key, dim, dim_key)} AND f.{key} IS NOT NULL"))
+    rows = " UNION ALL ".join(
+        f"SELECT '{t}' AS restricao, CAST(({sql}) AS BIGINT) AS violacoes" for t, sql in parts)
+    return f"SELECT *, CASE WHEN violacoes = 0 THEN 'OK' ELSE 'FALHA' END AS situacao FROM ({rows}) q"
+
+
+VALIDATIONS = {
+    "v01_staging_volume": _volumes(),
+    "v02_table_counts": " UNION ALL ".join(
+        f"SELECT '{t}' AS tabela, COUNT(*) AS registros FROM {view}" for t, view in _WAREHOUSE.items()),
+    "v03_reconciliation": _checks(),
+    "v04_coverage": _coverage(),
+    "v05_gate": f"""
+        SELECT falhas, CASE WHEN falhas > 0 THEN 1 ELSE 0 END AS codigo_saida
+          FROM (SELECT COUNT(*) AS falhas FROM (SELECT situacao FROM ({_volumes()}) a
+                UNION ALL SELECT situacao FROM ({_checks()}) b) c WHERE situacao = 'FALHA') d""",
+    "v06_constraints": _constraints(),
+}
+
+# --- sources, functions and operators --------------------------------------------------------------
+
+_LINE_MONEY = "CAST(l_extendedprice AS DECIMAL(12,2))"
+PROBES = {
+    "s01_csv_roundtrip": "SELECT conv_id, turn, role, text FROM conversations",
+    "s02_header_check": """
+        SELECT order_id, item AS order_item_id, product_id, seller_id, price, freight AS freight_value FROM s_items""",
+    "s05_load_audit": " UNION ALL ".join(
+        f"SELECT '{t}' AS tabela, COUNT(*) AS registros_lidos, COUNT(*) AS registros_carregados,"
+        f" '{v.LOAD_DONE}' AS situacao FROM {view}" for t, view in _RAW_VIEWS.items()),
+    "s07_series": """
+        SELECT ano_mes, COUNT(*) AS dias, CAST(SUM(sk_tempo) AS BIGINT) AS soma_chaves FROM d_tempo GROUP BY ano_mes""",
+    "s09_export": f"SELECT CAST(COLUMNS(*) AS VARCHAR) FROM ({REPORTS['o01_rollup_calendar']}) r",
+    "n01_normalize_label": f"SELECT doc_id, {label('text')} AS label FROM documents",
+    "x03_zip_prefix": "SELECT customer_id, lpad(trim(zip), 5, '0') AS cep_prefixo FROM s_customers",
+    "x07_capitalize_words": f"SELECT page_id, {words('lower(url)')} AS words FROM pages",
+    "x13_date_parts": f"""
+        SELECT CAST(o_orderdate AS DATE) AS data, o_orderkey, {datekey('o_orderdate')} AS sk_tempo,
+               CAST(day(o_orderdate) AS INTEGER) AS dia, CAST(month(o_orderdate) AS INTEGER) AS mes,
+               ([{_list(v.MONTH_NAMES)}])[month(o_orderdate)] AS nome_mes,
+               ([{_list(v.MONTH_SHORT)}])[month(o_orderdate)] AS mes_abrev,
+               CAST(quarter(o_orderdate) AS INTEGER) AS trimestre,
+               CAST(quarter(o_orderdate) AS VARCHAR) || 'T' || CAST(year(o_orderdate) AS VARCHAR) AS nome_trimestre,
+               CASE WHEN month(o_orderdate) <= 6 THEN 1 ELSE 2 END AS semestre,
+               CAST(year(o_orderdate) AS INTEGER) AS ano, strftime(o_orderdate, '%Y-%m') AS ano_mes,
+               CAST(dayofweek(o_orderdate) AS INTEGER) AS dia_semana,
+               ([{_list(v.WEEKDAY_NAMES)}])[dayofweek(o_orderdate) + 1] AS nome_dia_semana,
+               dayofweek(o_orderdate) IN (0, 6) AS fim_de_semana
+          FROM orders""",
+    "x20_rounding_cast": f"""
+        SELECT product_id, {nearest('weight')} AS arredondado, {nearest('-weight')} AS negativo,
+               CAST(trunc(weight) AS INTEGER) AS truncado FROM s_products""",
+    "a07_mode": """
+        SELECT o_custkey, n, o_orderpriority, o_orderstatus
+          FROM (SELECT o_custkey, COUNT(*) AS n FROM orders GROUP BY 1) t
+          JOIN (SELECT o_custkey, o_orderpriority, row_number() OVER (PARTITION BY o_custkey
+                    ORDER BY COUNT(*) DESC, o_orderpriority) AS pos
+                  FROM orders WHERE o_orderpriority IS NOT NULL GROUP BY 1, 2) a USING (o_custkey)
+          JOIN (SELECT o_custkey, o_orderstatus, row_number() OVER (PARTITION BY o_custkey
+                    ORDER BY COUNT(*) DESC, o_orderstatus) AS pos
+                  FROM orders WHERE o_orderstatus IS NOT NULL GROUP BY 1, 2) b USING (o_custkey)
+         WHERE a.pos = 1 AND b.pos = 1""",
+    "a09_composite_rollup": f"""
+        SELECT ano, l_returnflag, l_linestatus, {total(f"SUM({_LINE_MONEY})")} AS valor, COUNT(*) AS linhas,
+               CAST(GROUPING(ano) AS INTEGER) AS total_ano
+          FROM (SELECT *, CAST(year(l_shipdate) AS INTEGER) AS ano FROM lineitem) l
+         GROUP BY GROUPING SETS ((ano, l_returnflag, l_linestatus), (ano), ())""",
+    "a10_cube": f"""
+        SELECT l_returnflag, l_linestatus, l_linenumber, {total(f"SUM({_LINE_MONEY})")} AS valor, COUNT(*) AS linhas
+          FROM lineitem GROUP BY CUBE (l_returnflag, l_linestatus, l_linenumber)""",
+    "a15_first_per_key": """
+        SELECT DISTINCT ON (l_orderkey) l_orderkey, l_shipdate, l_linenumber, l_partkey, l_suppkey FROM lineitem
+         ORDER BY l_orderkey, l_shipdate, l_linenumber, l_partkey, l_suppkey""",
+    "a16_nested_aggregate": f"""
+        SELECT s_nationkey, COUNT(*) AS sellers, CAST(COALESCE(SUM(orders), 0) AS BIGINT) AS orders,
+               {per('COALESCE(SUM(orders), 0)', 'COUNT(*)', 2)} AS per_seller
+          FROM supplier LEFT JOIN (SELECT l_suppkey, COUNT(DISTINCT l_orderkey) AS orders FROM lineitem GROUP BY 1) q
+               ON s_suppkey = l_suppkey GROUP BY s_nationkey""",
+    "j03_full_join": """
+        SELECT zip, COALESCE(customers, 0) AS customers, COALESCE(sellers, 0) AS sellers
+          FROM (SELECT zip, COUNT(*) AS customers FROM s_customers GROUP BY zip) c
+          FULL JOIN (SELECT zip, COUNT(*) AS sellers FROM s_sellers GROUP BY zip) s USING (zip)""",
+    "j06_orphans": """
+        SELECT o_orderstatus, COUNT(*) AS orders FROM orders
+         WHERE o_orderkey NOT IN (SELECT l_orderkey FROM lineitem) GROUP BY o_orderstatus""",
+    "u01_union_all": f"""
+        SELECT nation, COUNT(*) AS accounts, {total("SUM(CAST(balance AS DECIMAL(12,2)))")} AS balance
+          FROM (SELECT c_nationkey AS nation, c_acctbal AS balance FROM customer
+                UNION ALL SELECT s_nationkey, s_acctbal FROM supplier) u GROUP BY nation""",
+    "w02_rank": f"""
+        SELECT CAST(rank AS INTEGER) AS rank, l_suppkey, {total('revenue')} AS revenue
+          FROM (SELECT *, RANK() OVER (ORDER BY revenue DESC) AS rank
+                  FROM (SELECT l_suppkey, SUM({_LINE_MONEY}) AS revenue FROM lineitem GROUP BY 1) q) r
+         WHERE rank <= 50""",
+    "w03_running_sum": f"""
+        SELECT l_linenumber, {total('revenue')} AS revenue,
+               {total('SUM(revenue) OVER (ORDER BY revenue DESC)')} AS running
+          FROM (SELECT l_linenumber, SUM({_LINE_MONEY}) AS revenue FROM lineitem GROUP BY 1) q""",
+    "w04_two_rankings": f"""
+        SELECT p_brand, {total('revenue')} AS revenue, CASE WHEN best <= 3 THEN 'best' ELSE 'worst' END AS side
+          FROM (SELECT *, RANK() OVER (ORDER BY revenue DESC) AS best, RANK() OVER (ORDER BY revenue) AS worst
+                  FROM (SELECT p_brand, SUM({_LINE_MONEY}) AS revenue
+                          FROM lineitem JOIN part ON l_partkey = p_partkey GROUP BY 1) q) r
+         WHERE best <= 3 OR worst <= 3""",
+}
+
+
 def all_queries() -> dict[str, str]:
-    return {name: with_views(sql) for name, sql in REPORTS.items()}
+    plain = REPORTS | FEEDS | {"k01_kpis": KPIS} | LOADS | VALIDATIONS | PROBES
+    return {name: with_views(sql) for name, sql in plain.items()}

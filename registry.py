@@ -1,13 +1,21 @@
 """Every registered query: (spark, folder of the provided tables) -> DataFrame."""
 
+import hashlib
+import threading
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Window as W
+from pyspark.sql import functions as F
 
 import oracles as p
-from armazem.plans import olap
-from armazem.plans.star import SourceStar, Star
+from armazem.functions import dates, numbers, text
+from armazem.operators import grouping, keys, modes, pick, ranking
+from armazem.plans import checks, dims, facts, feeds, kpis, load, olap
+from armazem.plans.star import SourceStar, Star, StoredStar
+from armazem.sources import rawfiles, sinks
 from armazem.sources.binding import Source
+from armazem.sources.catalog import RAW_TABLES, RawTable
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -23,6 +31,16 @@ REPORT_PARAMETERS = {
     "O12": {"min_avaliacoes": p.MIN_RATINGS},
     "O16": {"regioes": p.REGIONS},
 }
+FEED_PARAMETERS = {"O06": {"anos": p.PIVOT_YEARS}}
+
+
+def query(build: Query) -> Query:
+    """Register a function under its own name."""
+    QUERIES[build.__name__] = build
+    return build
+
+
+# --- reports, feeds and headline figures, straight from the provided tables ---------------------
 
 
 def star(spark: SparkSession, folder: str) -> SourceStar:
@@ -34,11 +52,461 @@ def report(code: str, where: Star) -> DataFrame:
     return build(where, **REPORT_PARAMETERS.get(code, {}))
 
 
-def _register_reports() -> None:
-    for code, (_, title) in olap.REPORTS.items():
-        QUERIES[f"{code.lower()}_{title}"] = lambda spark, folder, code=code: report(
-            code, star(spark, folder)
-        )
+def feed(code: str, where: Star) -> DataFrame:
+    shape, _ = feeds.FEEDS[code]
+    return shape(report(code, where), **FEED_PARAMETERS.get(code, {}))
+
+
+for _code, (_, _title) in olap.REPORTS.items():
+    QUERIES[f"{_code.lower()}_{_title}"] = lambda spark, folder, code=_code: report(
+        code, star(spark, folder)
+    )
+for _code, (_, _title) in feeds.FEEDS.items():
+    QUERIES[f"g{_code[1:]}_{_title}"] = lambda spark, folder, code=_code: feed(
+        code, star(spark, folder)
+    )
+
+
+@query
+def k01_kpis(spark, folder):
+    return kpis.kpis(star(spark, folder))
+
+
+# --- dimensions ------------------------------------------------------------------------------------
+
+
+def dimension(spark: SparkSession, folder: str, name: str) -> DataFrame:
+    source = Source(spark, folder)
+    natural = dims.natural_dimensions(source.staging, source.states, p.RECURRING_ABOVE)
+    return dims.keyed(name, natural[name])
+
+
+@query
+def d01_calendar(spark, folder):
+    return dimension(spark, folder, "dim_tempo")
+
+
+@query
+def d02_status(spark, folder):
+    return dimension(spark, folder, "dim_status")
+
+
+@query
+def d03_payment(spark, folder):
+    return dimension(spark, folder, "dim_pagamento")
+
+
+@query
+def d04_product(spark, folder):
+    return dimension(spark, folder, "dim_produto")
+
+
+@query
+def d05_seller(spark, folder):
+    return dimension(spark, folder, "dim_vendedor")
+
+
+@query
+def d06_customer(spark, folder):
+    return dimension(spark, folder, "dim_cliente")
+
+
+@query
+def d07_geography(spark, folder):
+    return dimension(spark, folder, "dim_geografia")
+
+
+@query
+def d08_dense_keys(spark, folder):
+    orders = Source(spark, folder)["orders"].select("o_orderkey", "o_orderpriority")
+    return keys.with_dense_key(orders, "o_orderkey", "sk")
+
+
+@query
+def d09_region_lookup(spark, folder):
+    """Customers per state, with name and region from the lookup."""
+    source = Source(spark, folder)
+    per_state = source.staging["customers"].groupBy(
+        text.state_code(F.col("customer_state")).alias("uf")
+    ).agg(F.count("*").alias("clientes"))
+    return source.states.join(per_state, "uf", "left")
+
+
+# --- facts --------------------------------------------------------------------------------------------
+
+
+@query
+def f01_order_fact(spark, folder):
+    source = Source(spark, folder)
+    natural = dims.natural_dimensions(source.staging, source.states, p.RECURRING_ABOVE)
+    keyed = {name: dims.keyed(name, rows) for name, rows in natural.items()}
+    return facts.order_fact(source.staging, keyed)
+
+
+@query
+def f02_item_fact(spark, folder):
+    source = Source(spark, folder)
+    natural = dims.natural_dimensions(source.staging, source.states, p.RECURRING_ABOVE)
+    keyed = {name: dims.keyed(name, rows) for name, rows in natural.items()}
+    orders = facts.order_fact(source.staging, keyed)
+    return facts.item_fact(source.staging, keyed, orders)
+
+
+@query
+def f03_main_payment(spark, folder):
+    return facts.payment_totals(Source(spark, folder).staging).select(
+        "order_id", "tipo_pagamento_original", "num_parcelas"
+    )
+
+
+@query
+def f04_latest_review(spark, folder):
+    return facts.review_scores(Source(spark, folder).staging)
+
+
+@query
+def f05_item_rollup(spark, folder):
+    return facts.item_totals(Source(spark, folder).staging).withColumns({
+        "valor_itens": numbers.total(F.col("valor_itens")),
+        "valor_frete": numbers.total(F.col("valor_frete")),
+    })
+
+
+@query
+def f06_payment_rollup(spark, folder):
+    return facts.payment_totals(Source(spark, folder).staging).select(
+        "order_id", numbers.total(F.col("valor_pago")).alias("valor_pago"), "qtd_pagamentos"
+    )
+
+
+@query
+def f07_delivery_measures(spark, folder):
+    orders = Source(spark, folder).staging["orders"]
+    return orders.select("order_id", *facts.delivery_measures(
+        F.col("order_purchase_timestamp"),
+        F.col("order_estimated_delivery_date"),
+        F.col("order_delivered_customer_date"),
+    ))
+
+
+# --- loaded warehouse: validations ---------------------------------------------------------------------
+
+_loads: dict[tuple[str, str], str] = {}
+_load_lock = threading.Lock()
+
+
+def loaded_folder(spark: SparkSession, folder: str) -> str:
+    """Folder with the staged tables and the warehouse of one source folder.
+
+    Written once per application into the shared folder the session names, then read back,
+    as validations check a load and not a plan.
+    """
+    with _load_lock:
+        key = (spark.sparkContext.applicationId, folder)
+        if key not in _loads:
+            tag = hashlib.md5(folder.encode()).hexdigest()[:8]
+            target = f"{sinks.shared_folder(spark)}/warehouse-{key[0]}-{tag}"
+            source = Source(spark, folder)
+            stg, _ = load.stage(spark, source.staging, target)
+            load.build(stg, source.states, target, p.RECURRING_ABOVE)
+            _loads[key] = target
+        return _loads[key]
+
+
+def loaded(spark: SparkSession, folder: str):
+    target = loaded_folder(spark, folder)
+    return (
+        load.open_staging(spark, target),
+        load.open_warehouse(spark, target),
+        spark.read.parquet(f"{target}/{load.AUDIT}"),
+    )
+
+
+def stored_star(spark: SparkSession, folder: str) -> StoredStar:
+    return StoredStar(loaded(spark, folder)[1])
+
+
+def validations(spark: SparkSession, folder: str) -> dict[str, DataFrame]:
+    stg, warehouse, audit = loaded(spark, folder)
+    return checks.all_validations(stg, warehouse, audit, p.EXPECTED_VOLUMES)
+
+
+@query
+def v01_staging_volume(spark, folder):
+    return validations(spark, folder)["V01"]
+
+
+@query
+def v02_table_counts(spark, folder):
+    return validations(spark, folder)["V02"]
+
+
+@query
+def v03_reconciliation(spark, folder):
+    return validations(spark, folder)["V03"]
+
+
+@query
+def v04_coverage(spark, folder):
+    return validations(spark, folder)["V04"]
+
+
+@query
+def v05_gate(spark, folder):
+    return checks.gate(validations(spark, folder).values())
+
+
+@query
+def v06_constraints(spark, folder):
+    return checks.constraints(loaded(spark, folder)[1])
+
+
+# --- sources and sinks -------------------------------------------------------------------------------------
+
+
+def _scratch(spark: SparkSession, folder: str, name: str) -> str:
+    tag = hashlib.md5(folder.encode()).hexdigest()[:8]
+    return f"{sinks.shared_folder(spark)}/{name}-{spark.sparkContext.applicationId}-{tag}"
+
+
+def _through_csv(spark, folder, rows: DataFrame, name: str) -> str:
+    path = _scratch(spark, folder, name)
+    text_rows = rows.select(*[F.col(c).cast("string") for c in rows.columns])
+    text_rows.write.mode("overwrite").option("header", True).options(**sinks.CSV_WRITE).csv(path)
+    return path
+
+
+@query
+def s01_csv_roundtrip(spark, folder):
+    """Conversations written as CSV and read back as a raw table with free text."""
+    rows = spark.read.parquet(f"{folder}/conversations.parquet")
+    table = RawTable(tuple(rows.columns), "", free_text=True)
+    back = rawfiles.read_raw(spark, _through_csv(spark, folder, rows, "conversations"), table)
+    return back.select(
+        F.col("conv_id").cast("bigint").alias("conv_id"),
+        F.col("turn").cast("bigint").alias("turn"), "role", "text",
+    )
+
+
+@query
+def s02_header_check(spark, folder):
+    """Lines filed with their columns in another order come back in the table's order."""
+    rows = Source(spark, folder).staging["order_items"]
+    table = RAW_TABLES["order_items"]
+    filed = rows.select(*reversed(table.columns))
+    back = rawfiles.read_raw(spark, _through_csv(spark, folder, filed, "order_items"), table)
+    return back.select(
+        F.col("order_id").cast("bigint").alias("order_id"),
+        F.col("order_item_id").cast("int").alias("order_item_id"),
+        F.col("product_id").cast("bigint").alias("product_id"),
+        F.col("seller_id").cast("bigint").alias("seller_id"),
+        numbers.money(F.col("price")).alias("price"),
+        numbers.money(F.col("freight_value")).alias("freight_value"),
+    )
+
+
+@query
+def s05_load_audit(spark, folder):
+    return loaded(spark, folder)[2].select(
+        F.col("tabela_destino").alias("tabela"), "registros_lidos", "registros_carregados",
+        "situacao",
+    )
+
+
+@query
+def s07_series(spark, folder):
+    """Days per month of the generated calendar."""
+    days = dims.calendar(Source(spark, folder).staging)
+    return days.groupBy("ano_mes").agg(
+        F.count("*").alias("dias"), F.sum("sk_tempo").alias("soma_chaves")
+    )
+
+
+@query
+def s09_export(spark, folder):
+    """A report exported as CSV and read back as text."""
+    path = _scratch(spark, folder, "export")
+    sinks.export_report(report("O01", star(spark, folder)), path)
+    return spark.read.option("header", True).csv(path)
+
+
+# --- text and numbers ------------------------------------------------------------------------------------------
+
+
+@query
+def n01_normalize_label(spark, folder):
+    """Whole document texts as normalised labels."""
+    rows = spark.read.parquet(f"{folder}/documents.parquet")
+    return rows.select("doc_id", text.normalize_label(F.col("text")).alias("label"))
+
+
+@query
+def x03_zip_prefix(spark, folder):
+    rows = Source(spark, folder).staging["customers"]
+    return rows.select(
+        "customer_id", text.zip_prefix(F.col("customer_zip_code_prefix")).alias("cep_prefixo")
+    )
+
+
+@query
+def x07_capitalize_words(spark, folder):
+    rows = spark.read.parquet(f"{folder}/pages.parquet")
+    return rows.select("page_id", text.capitalize_words(F.col("url")).alias("words"))
+
+
+@query
+def x13_date_parts(spark, folder):
+    """Parts, keys, labels and names of the purchase date of every order."""
+    orders = Source(spark, folder)["orders"].select(
+        "o_orderkey", F.col("o_orderdate").cast("date").alias("data")
+    )
+    parts = dims.calendar_attributes(orders.select("data").distinct())
+    return orders.join(parts, "data")
+
+
+@query
+def x20_rounding_cast(spark, folder):
+    products = Source(spark, folder).staging["products"]
+    weight = numbers.number(F.col("product_weight_g"))
+    return products.select(
+        "product_id", numbers.whole(weight).alias("arredondado"),
+        numbers.whole(-weight).alias("negativo"), weight.cast("int").alias("truncado"),
+    )
+
+
+# --- aggregation, join and window operators ------------------------------------------------------------------------
+
+
+@query
+def a07_mode(spark, folder):
+    """Usual priority and status of the orders of each customer."""
+    orders = Source(spark, folder)["orders"]
+    return modes.profile_per_key(orders, "o_custkey", ("o_orderpriority", "o_orderstatus"))
+
+
+def _line_sums() -> dict:
+    price = F.col("l_extendedprice").cast("decimal(12,2)")
+    return {"valor": F.sum(price), "linhas": F.count("*")}
+
+
+@query
+def a09_composite_rollup(spark, folder):
+    lines = Source(spark, folder)["lineitem"].withColumn("ano", F.year("l_shipdate"))
+    sets = grouping.rollup_sets("ano", ("l_returnflag", "l_linestatus"))
+    return grouping.grouped_totals(lines, sets, _line_sums()).select(
+        "ano", "l_returnflag", "l_linestatus",
+        numbers.total(F.col("valor")).alias("valor"), "linhas",
+        F.col(grouping.total_flag("ano")).cast("int").alias("total_ano"),
+    )
+
+
+@query
+def a10_cube(spark, folder):
+    lines = Source(spark, folder)["lineitem"]
+    sets = grouping.cube_sets("l_returnflag", "l_linestatus", "l_linenumber")
+    return grouping.grouped_totals(lines, sets, _line_sums()).select(
+        "l_returnflag", "l_linestatus", "l_linenumber",
+        numbers.total(F.col("valor")).alias("valor"), "linhas",
+    )
+
+
+@query
+def a15_first_per_key(spark, folder):
+    """The smallest line of every order."""
+    lines = Source(spark, folder)["lineitem"].select(
+        "l_orderkey", "l_shipdate", "l_linenumber", "l_partkey", "l_suppkey"
+    )
+    return pick.smallest_per_key(lines, "l_orderkey")
+
+
+@query
+def a16_nested_aggregate(spark, folder):
+    """Mean over suppliers of their distinct orders, per nation."""
+    source = Source(spark, folder)
+    per_seller = source["lineitem"].groupBy("l_suppkey").agg(
+        F.countDistinct("l_orderkey").alias("orders")
+    )
+    return (
+        source["supplier"].join(per_seller, F.col("s_suppkey") == F.col("l_suppkey"), "left")
+        .groupBy("s_nationkey")
+        .agg(F.count("*").alias("sellers"), F.coalesce(F.sum("orders"), F.lit(0)).alias("orders"))
+        .select("s_nationkey", "sellers", "orders",
+                numbers.quotient(F.col("orders"), F.col("sellers")).alias("per_seller"))
+    )
+
+
+@query
+def j03_full_join(spark, folder):
+    """Zip prefixes of customers and sellers, whichever side has them."""
+    staging = Source(spark, folder).staging
+    c = staging["customers"].groupBy(F.col("customer_zip_code_prefix").alias("zip")).agg(
+        F.count("*").alias("customers"))
+    s = staging["sellers"].groupBy(F.col("seller_zip_code_prefix").alias("zip")).agg(
+        F.count("*").alias("sellers"))
+    return c.join(s, "zip", "full").select(
+        "zip", F.coalesce("customers", F.lit(0)).alias("customers"),
+        F.coalesce("sellers", F.lit(0)).alias("sellers"))
+
+
+@query
+def j06_orphans(spark, folder):
+    """Orders without lines, per status: an anti-join on pre-counted keys."""
+    source = Source(spark, folder)
+    with_lines = source["lineitem"].select("l_orderkey").distinct()
+    lost = source["orders"].join(
+        with_lines, F.col("o_orderkey") == F.col("l_orderkey"), "left_anti")
+    return lost.groupBy("o_orderstatus").agg(F.count("*").alias("orders"))
+
+
+@query
+def u01_union_all(spark, folder):
+    """Accounts of customers and suppliers per nation, duplicates kept."""
+    source = Source(spark, folder)
+    both = source["customer"].select(
+        F.col("c_nationkey").alias("nation"), F.col("c_acctbal").alias("balance")
+    ).unionByName(source["supplier"].select(
+        F.col("s_nationkey").alias("nation"), F.col("s_acctbal").alias("balance")))
+    amount = F.col("balance").cast("decimal(12,2)")
+    return both.groupBy("nation").agg(
+        F.count("*").alias("accounts"), numbers.total(F.sum(amount)).alias("balance"))
+
+
+def _revenue_by(spark, folder, key: str) -> DataFrame:
+    amount = F.col("l_extendedprice").cast("decimal(12,2)")
+    return Source(spark, folder)["lineitem"].groupBy(key).agg(F.sum(amount).alias("revenue"))
+
+
+@query
+def w02_rank(spark, folder):
+    """The fifty suppliers ranked highest by revenue, ties kept."""
+    rank = F.rank().over(W.orderBy(ranking.desc("revenue")))
+    ranked = _revenue_by(spark, folder, "l_suppkey").withColumn("rank", rank)
+    return ranked.where(F.col("rank") <= 50).select(
+        "rank", "l_suppkey", numbers.total(F.col("revenue")).alias("revenue"))
+
+
+@query
+def w03_running_sum(spark, folder):
+    """Running revenue by line number and quantity, largest first, peers sharing the value."""
+    source = Source(spark, folder)
+    amount = F.col("l_extendedprice").cast("decimal(12,2)")
+    rows = source["lineitem"].groupBy("l_linenumber").agg(F.sum(amount).alias("revenue"))
+    running = F.sum("revenue").over(W.orderBy(ranking.desc("revenue")))
+    return rows.select(
+        "l_linenumber", numbers.total(F.col("revenue")).alias("revenue"),
+        numbers.total(running).alias("running"))
 
 
-_register_reports()
+@query
+def w04_two_rankings(spark, folder):
+    """Brands in the best or the worst three by revenue."""
+    source = Source(spark, folder)
+    per_part = _revenue_by(spark, folder, "l_partkey")
+    brands = source["part"].join(per_part, F.col("p_partkey") == F.col("l_partkey")).groupBy(
+        "p_brand").agg(F.sum("revenue").alias("revenue"))
+    best = F.rank().over(W.orderBy(ranking.desc("revenue")))
+    worst = F.rank().over(W.orderBy(ranking.asc("revenue")))
+    both = brands.withColumn("best", best).withColumn("worst", worst)
+    return both.where((F.col("best") <= 3) | (F.col("worst") <= 3)).select(
+        "p_brand", numbers.total(F.col("revenue")).alias("revenue"),
+        F.when(F.col("best") <= 3, "best").otherwise("worst").alias("side"))
