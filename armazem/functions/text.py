@@ -33,13 +33,16 @@ def capitalize_words(c: Column) -> Column:
     """Capitalise every word, where apostrophes, hyphens and the like also end a word.
 
     The built-in ``initcap`` only breaks at blanks ("D'oeste"), so the text is cut into
-    words and gaps first.
+    words and gaps first. A letter whose capital is not a single letter ("ß") stays.
     """
+
+    def capitalize(piece: Column) -> Column:
+        capital = F.upper(F.substring(piece, 1, 1))
+        raised = F.concat(capital, F.substring(piece, 2, _TO_END))
+        return F.when(F.length(capital) == 1, raised).otherwise(piece)
+
     pieces = F.regexp_extract_all(F.lower(c), F.lit(_WORD_OR_GAP), F.lit(1))
-    raised = F.transform(
-        pieces, lambda p: F.concat(F.upper(F.substring(p, 1, 1)), F.substring(p, 2, _TO_END))
-    )
-    return F.array_join(raised, "")
+    return F.array_join(F.transform(pieces, capitalize), "")
 
 
 def normalize_label(c: Column) -> Column:

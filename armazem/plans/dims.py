@@ -313,15 +313,17 @@ DENSE_KEYS = {
 }
 
 
-def natural_dimensions(
-    stg: Tables, states: DataFrame, recurring_above: int = 1
-) -> dict[str, DataFrame]:
-    return {
-        "dim_tempo": calendar(stg),
-        "dim_cliente": customers(stg, states, recurring_above),
-        "dim_produto": products(stg),
-        "dim_vendedor": sellers(stg, states),
-        "dim_geografia": geography(stg, states),
-        "dim_pagamento": payments(stg),
-        "dim_status": statuses(stg),
+def dimension(
+    name: str, stg: Tables, states: DataFrame, recurring_above: int = 1
+) -> DataFrame:
+    """A dimension with its surrogate key."""
+    natural = {
+        "dim_tempo": lambda: calendar(stg),
+        "dim_cliente": lambda: customers(stg, states, recurring_above),
+        "dim_produto": lambda: products(stg),
+        "dim_vendedor": lambda: sellers(stg, states),
+        "dim_geografia": lambda: geography(stg, states),
+        "dim_pagamento": lambda: payments(stg),
+        "dim_status": lambda: statuses(stg),
     }
+    return keyed(name, natural[name]())

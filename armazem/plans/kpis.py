@@ -6,7 +6,6 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from armazem.functions.numbers import count_where, percent, quotient
-from armazem.plans.olap import sold_orders
 from armazem.plans.star import Star
 
 
@@ -20,11 +19,11 @@ def _rows(row: DataFrame, figures: dict[str, Column]) -> DataFrame:
 
 def kpis(star: Star) -> DataFrame:
     """One row per figure, from one pass over sales, one over orders and one over customers."""
-    sales = sold_orders(star).agg(
-        F.sum("valor_item").alias("revenue"),
-        F.sum("valor_frete").alias("freight"),
-        F.count("*").alias("orders"),
-    )
+    sold = star.sales_totals(
+        {"revenue": F.sum("valor_item"), "freight": F.sum("valor_frete"), "orders": F.count("*")},
+        ("status.flag_cancelado",),
+    ).where(~F.col("flag_cancelado"))
+    sales = sold.agg(*[F.sum(c).alias(c) for c in ("revenue", "freight", "orders")])
     score, lead = F.col("nota_avaliacao"), F.col("prazo_entrega_dias")
     orders = star.orders(
         "prazo_entrega_dias", "flag_entregue_com_atraso", "nota_avaliacao",

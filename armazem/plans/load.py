@@ -72,9 +72,10 @@ def build(
     groups; the further columns of the range split a day, or a single order, that holds a
     large part of the rows.
     """
-    natural = dims.natural_dimensions(stg, states, recurring_above)
     tables = _together(
-        lambda name: sinks.write_table(dims.keyed(name, natural[name]), f"{folder}/{name}"),
+        lambda name: sinks.write_table(
+            dims.dimension(name, stg, states, recurring_above), f"{folder}/{name}"
+        ),
         DIMENSIONS,
     )
     orders = facts.order_fact(stg, tables)

@@ -23,18 +23,30 @@ TOP = 10
 
 
 def _revenue() -> dict[str, Column]:
-    """Measures over rows of one order each."""
+    """Revenue and orders over rows of one order each."""
     return {"faturamento": F.sum("valor_item"), "pedidos": F.count("*")}
 
 
-def sold_orders(star: Star, *attributes: str, years: Iterable[int] = ()) -> DataFrame:
-    """Non-cancelled orders with items, one row each."""
-    rows = star.order_sales(*attributes, "status.flag_cancelado", years=years)
+def _added(*names: str) -> dict[str, Column]:
+    """Totals of totals."""
+    return {n: F.sum(n) for n in names}
+
+
+def _summed(rows: DataFrame, keys: Iterable[str], *names: str) -> DataFrame:
+    return rows.groupBy(*keys).agg(*[m.alias(n) for n, m in _added(*names).items()])
+
+
+def sold_by(star: Star, *attributes: str, years: Iterable[int] = ()) -> DataFrame:
+    """Revenue and orders of non-cancelled orders with items, partly summed by attributes."""
+    rows = star.sales_totals(_revenue(), (*attributes, "status.flag_cancelado"), years)
     return rows.where(~F.col("flag_cancelado"))
 
 
-def sold_items(star: Star, *columns: str, years: Iterable[int] = ()) -> DataFrame:
-    rows = star.items(*columns, "status.flag_cancelado", years=years)
+def sold_pairs(
+    star: Star, key: str, *attributes: str, years: Iterable[int] = ()
+) -> DataFrame:
+    """Non-cancelled orders with items, one row per order and product or seller."""
+    rows = star.pair_sales(key, (*attributes, "status.flag_cancelado"), years)
     return rows.where(~F.col("flag_cancelado"))
 
 
@@ -45,9 +57,12 @@ def _sales(ticket: bool = True) -> list[Column]:
     return columns
 
 
+_REVENUE = ("faturamento", "pedidos")
+
+
 def o01(star: Star) -> DataFrame:
     """Revenue, orders and mean ticket by year, quarter and month, with all totals."""
-    rows = sold_orders(
+    rows = sold_by(
         star, "tempo.ano", "tempo.trimestre", "tempo.mes", "tempo.nome_mes", "tempo.ano_mes"
     )
     sets = rollup_sets("ano", "trimestre", ("mes", "nome_mes", "ano_mes"))
@@ -57,7 +72,7 @@ def o01(star: Star) -> DataFrame:
     )
     overall, by_year, by_quarter, by_month = v.LEVELS
     return (
-        grouped_totals(rows, sets, _revenue())
+        grouped_totals(rows, sets, _added(*_REVENUE))
         .orderBy(asc("ano"), asc("trimestre"), asc("mes"))
         .select(
             F.when(no_year, v.GRAND_TOTAL)
@@ -80,10 +95,10 @@ def o01(star: Star) -> DataFrame:
 
 def o02(star: Star) -> DataFrame:
     """Revenue by customer region and state, with the share of the grand total."""
-    rows = sold_orders(star, "geografia.regiao", "geografia.estado")
+    rows = sold_by(star, "geografia.regiao", "geografia.estado")
     grand = F.max(F.when(F.col(total_flag("regiao")) == 1, F.col("faturamento"))).over(W.partitionBy())
     return (
-        grouped_totals(rows, rollup_sets("regiao", "estado"), _revenue())
+        grouped_totals(rows, rollup_sets("regiao", "estado"), _added(*_REVENUE))
         .withColumn("participacao_pct", percent(F.col("faturamento"), grand))
         .orderBy(total_flag("regiao"), asc("regiao"), total_flag("estado"), desc("faturamento"))
         .select(
@@ -97,10 +112,8 @@ def o02(star: Star) -> DataFrame:
 
 def o03(star: Star, estado: str = "SP") -> DataFrame:
     """The ten cities of a state with most revenue and their share of the state."""
-    rows = sold_orders(star, "geografia.cidade", "geografia.estado")
-    cities = rows.where(F.col("estado") == estado).groupBy("cidade").agg(
-        *[m.alias(n) for n, m in _revenue().items()]
-    )
+    rows = sold_by(star, "geografia.cidade", "geografia.estado")
+    cities = _summed(rows.where(F.col("estado") == estado), ["cidade"], *_REVENUE)
     shared = cities.withColumn("participacao_no_estado_pct", share_of_all(F.col("faturamento")))
     best = top(shared, TOP, desc("faturamento"), asc("cidade"))
     return best.select("cidade", *_sales(), "participacao_no_estado_pct")
@@ -108,16 +121,15 @@ def o03(star: Star, estado: str = "SP") -> DataFrame:
 
 def o04(star: Star, ano: int = 2018) -> DataFrame:
     """The ten best-selling categories of a year and their share of the year."""
-    rows = sold_items(
-        star, "order_id", "valor_item", "tempo.ano", "produto.categoria",
-        "produto.categoria_en", years=(ano,),
-    )
+    rows = sold_pairs(star, "sk_produto", "tempo.ano", years=(ano,))
+    products = star.dim("produto", "sk_produto", "categoria", "categoria_en")
     categories = (
         rows.where(F.col("ano") == ano)
+        .join(products, "sk_produto")
         .groupBy("categoria", "categoria_en")
         .agg(
             F.sum("valor_item").alias("faturamento"),
-            F.count("*").alias("itens_vendidos"),
+            F.sum("itens").alias("itens_vendidos"),
             F.countDistinct("order_id").alias("pedidos"),
         )
         .withColumn("participacao_pct", share_of_all(F.col("faturamento")))
@@ -137,7 +149,7 @@ def o05(
 ) -> DataFrame:
     """Mean ticket by year, region and payment type inside a dice of the cube."""
     anos = tuple(anos)
-    rows = sold_orders(
+    rows = sold_by(
         star, "tempo.ano", "geografia.regiao", "pagamento.tipo_pagamento", years=anos
     )
     keys = ("ano", "regiao", "tipo_pagamento")
@@ -146,20 +158,15 @@ def o05(
         & F.col("regiao").isin(*regioes)
         & F.col("tipo_pagamento").isin(*tipos)
     )
-    return (
-        rows.where(inside)
-        .groupBy(*keys)
-        .agg(*[m.alias(n) for n, m in _revenue().items()])
-        .orderBy(*keys)
-        .select(*keys, *_sales())
-    )
+    dice = _summed(rows.where(inside), keys, *_REVENUE)
+    return dice.orderBy(*keys).select(*keys, *_sales())
 
 
 def o06(star: Star, anos: Iterable[int] = (2016, 2017, 2018)) -> DataFrame:
     """Revenue by payment type in rows and year in columns, with total and share."""
-    rows = sold_orders(star, "tempo.ano", "pagamento.tipo_pagamento")
+    rows = sold_by(star, "tempo.ano", "pagamento.tipo_pagamento")
     by_year = [
-        F.sum(F.when(F.col("ano") == ano, F.col("valor_item"))).alias(f"fat_{ano}")
+        F.sum(F.when(F.col("ano") == ano, F.col("faturamento"))).alias(f"fat_{ano}")
         for ano in anos
     ]
     years = [
@@ -167,7 +174,7 @@ def o06(star: Star, anos: Iterable[int] = (2016, 2017, 2018)) -> DataFrame:
     ]
     return (
         rows.groupBy("tipo_pagamento")
-        .agg(*by_year, F.sum("valor_item").alias("fat_total"))
+        .agg(*by_year, F.sum("faturamento").alias("fat_total"))
         .select(
             "tipo_pagamento",
             *years,
@@ -184,15 +191,15 @@ def o07(star: Star) -> DataFrame:
     There may be very many sellers, so nothing but the leaders goes through one task: the
     total is a scalar subquery and the cumulative sum only needs rows ranked above or tied.
     """
-    rows = sold_items(star, "order_id", "sk_vendedor", "valor_item")
-    everything = rows.agg(F.sum("valor_item").alias("all")).scalar()
+    rows = sold_pairs(star, "sk_vendedor")
+    everything = sold_by(star).agg(F.sum("faturamento").alias("all")).scalar()
     by_revenue = W.orderBy(desc("faturamento"))
     leaders = (
         rows.groupBy("sk_vendedor")
         .agg(
             F.sum("valor_item").alias("faturamento"),
-            F.countDistinct("order_id").alias("pedidos"),
-            F.count("*").alias("itens"),
+            F.count("*").alias("pedidos"),
+            F.sum("itens").alias("itens"),
         )
         .withColumn("posicao", F.rank().over(by_revenue))
         .where(F.col("posicao") <= TOP)
@@ -209,20 +216,24 @@ def o07(star: Star) -> DataFrame:
 
 def o08(star: Star) -> DataFrame:
     """Mean lead, estimate and deviation in days and late share by region and state."""
-    rows = star.orders(
-        "prazo_entrega_dias", "prazo_estimado_dias", "atraso_entrega_dias",
-        "flag_entregue_com_atraso", "geografia.regiao", "geografia.estado",
-    ).where(F.col("prazo_entrega_dias").isNotNull())
+    lead = F.col("prazo_entrega_dias")
+    delivered = lead.isNotNull()
     measures = {
-        "pedidos_entregues": F.count("*"),
-        "lead": F.sum("prazo_entrega_dias"),
-        "estimate": F.sum("prazo_estimado_dias"),
+        "pedidos_entregues": count_where(delivered),
+        "lead": F.sum(lead),
+        "estimate": F.sum(F.when(delivered, F.col("prazo_estimado_dias"))),
         "deviation": F.sum("atraso_entrega_dias"),
         "late": count_where(F.col("flag_entregue_com_atraso")),
     }
+    rows = star.order_totals(
+        measures,
+        ("geografia.regiao", "geografia.estado"),
+        ("prazo_entrega_dias", "prazo_estimado_dias", "atraso_entrega_dias",
+         "flag_entregue_com_atraso"),
+    ).where(F.col("pedidos_entregues") > 0)
     n = F.col("pedidos_entregues")
     return (
-        grouped_totals(rows, rollup_sets("regiao", "estado"), measures)
+        grouped_totals(rows, rollup_sets("regiao", "estado"), _added(*measures))
         .withColumn("prazo_medio_dias", quotient(F.col("lead"), n, 1))
         .orderBy(
             total_flag("regiao"), asc("regiao"), total_flag("estado"), desc("prazo_medio_dias")
@@ -241,11 +252,9 @@ def o08(star: Star) -> DataFrame:
 
 def o09(star: Star, min_pedidos: int = 200) -> DataFrame:
     """The ten sellers with the highest late share among those with enough deliveries."""
-    deliveries = (
-        star.items("order_id", "sk_vendedor", "prazo_entrega_dias", "atraso_entrega_dias")
-        .where(F.col("prazo_entrega_dias").isNotNull())
-        .distinct()
-    )
+    deliveries = star.pair_sales(
+        "sk_vendedor", ("prazo_entrega_dias", "atraso_entrega_dias")
+    ).where(F.col("prazo_entrega_dias").isNotNull())
     n = F.col("pedidos_entregues")
     rated = (
         deliveries.groupBy("sk_vendedor")
@@ -268,7 +277,10 @@ def o09(star: Star, min_pedidos: int = 200) -> DataFrame:
 def o10(star: Star, min_itens: int = 500) -> DataFrame:
     """The ten categories where freight weighs most, among those with enough items."""
     per_product = (
-        sold_items(star, "sk_produto", "valor_item", "valor_frete", "valor_total_item")
+        star.items(
+            "sk_produto", "valor_item", "valor_frete", "valor_total_item", "status.flag_cancelado"
+        )
+        .where(~F.col("flag_cancelado"))
         .groupBy("sk_produto")
         .agg(
             F.count("*").alias("itens"),
@@ -385,13 +397,20 @@ def o13(star: Star) -> DataFrame:
 
 def o14(star: Star) -> DataFrame:
     """Cancellation rate by month; months without orders do not appear."""
+    rows = star.order_totals(
+        {"n": F.count("*")},
+        ("tempo.ano_mes", "status.flag_cancelado", "status.status_original"),
+    )
+
+    def orders(condition: Column) -> Column:
+        return F.sum(F.when(condition, F.col("n")).otherwise(0))
+
     return (
-        star.orders("tempo.ano_mes", "status.flag_cancelado", "status.status_original")
-        .groupBy("ano_mes")
+        rows.groupBy("ano_mes")
         .agg(
-            F.count("*").alias("pedidos"),
-            count_where(F.col("flag_cancelado")).alias("pedidos_cancelados"),
-            count_where(F.col("status_original") == "unavailable").alias("pedidos_indisponiveis"),
+            F.sum("n").alias("pedidos"),
+            orders(F.col("flag_cancelado")).alias("pedidos_cancelados"),
+            orders(F.col("status_original") == "unavailable").alias("pedidos_indisponiveis"),
         )
         .select(
             "ano_mes", "pedidos", "pedidos_cancelados",
@@ -404,9 +423,9 @@ def o14(star: Star) -> DataFrame:
 
 def o15(star: Star) -> DataFrame:
     """Revenue by customer region and payment type with every subtotal."""
-    rows = sold_orders(star, "geografia.regiao", "pagamento.tipo_pagamento")
+    rows = sold_by(star, "geografia.regiao", "pagamento.tipo_pagamento")
     return (
-        grouped_totals(rows, cube_sets("regiao", "tipo_pagamento"), _revenue())
+        grouped_totals(rows, cube_sets("regiao", "tipo_pagamento"), _added(*_REVENUE))
         .orderBy(
             total_flag("regiao"), asc("regiao"), total_flag("tipo_pagamento"), desc("faturamento")
         )
@@ -429,12 +448,12 @@ def o16(star: Star, regioes: Iterable[str] = v.REGIONS) -> DataFrame:
     """
     regioes = tuple(regioes)
     lead = F.col("prazo_entrega_dias")
+    sellers = star.dim("vendedor", "sk_vendedor", F.col("regiao").alias("regiao_vendedor"))
     rows = (
-        star.items(
-            "order_id", "prazo_entrega_dias",
-            regiao_vendedor="vendedor.regiao", regiao_cliente="geografia.regiao",
-        )
+        star.pair_sales("sk_vendedor", ("prazo_entrega_dias", "geografia.regiao"))
         .where(lead.isNotNull())
+        .join(sellers, "sk_vendedor")
+        .select("order_id", "regiao_vendedor", F.col("regiao").alias("regiao_cliente"), lead)
         .distinct()
     )
     measures = {"pedidos_entregues": F.count("*"), "days": F.sum(lead)}
@@ -463,12 +482,9 @@ def o17(star: Star) -> DataFrame:
     Orders are counted per seller and then added up, so an order of two sellers counts twice.
     """
     sales = (
-        sold_items(star, "order_id", "sk_vendedor", "valor_item")
+        sold_pairs(star, "sk_vendedor")
         .groupBy("sk_vendedor")
-        .agg(
-            F.sum("valor_item").alias("valor"),
-            F.countDistinct("order_id").alias("orders"),
-        )
+        .agg(F.sum("valor_item").alias("valor"), F.count("*").alias("orders"))
     )
     sellers = star.dim("vendedor", "sk_vendedor", "estado", "regiao")
     states = (

@@ -1,11 +1,15 @@
-"""How reports see the warehouse: rows of a fact with the dimension attributes they name.
+"""How reports see the warehouse.
 
-A report asks for columns such as ``valor_item`` or ``geografia.regiao``. ``StoredStar``
-answers from written tables and joins only the dimensions named. ``SourceStar`` answers
-straight from the provided test tables. Reports are written once and run on both.
+A report names fact columns and dimension attributes such as ``geografia.regiao`` and gets
+rows, or additive totals, that carry them. ``StoredStar`` answers from written tables and
+joins only the dimensions named. ``SourceStar`` answers straight from the provided test
+tables. Reports are written once and run on both.
+
+Totals are grouped by dimension key before the dimension is joined: the facts are combined
+on the map side, so neither the join nor a key that holds much of the data sees raw rows.
 """
 
-from collections.abc import Iterable, Mapping, Sequence
+from collections.abc import Callable, Iterable, Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -16,221 +20,275 @@ from armazem.plans import dims as dim_jobs
 from armazem.plans import facts
 from armazem.sources import binding as b
 
-ORDER_SUMS = ("valor_item", "valor_frete")
+Measures = Mapping[str, Column]
+
+# Sums and count of the items of one order, or of one order and product or seller.
+SALES = ("valor_item", "valor_frete", "itens")
+
 
+def _outputs(columns: Iterable[str]) -> dict[str, str]:
+    """Output name -> column; an attribute is named without its dimension."""
+    return {c.split(".")[-1]: c for c in columns}
 
-def _wanted(columns: Sequence[str], renamed: Mapping[str, str]) -> dict[str, str]:
-    """Output name -> source column; a dimension attribute keeps its own name by default."""
-    return {c.split(".")[-1]: c for c in columns} | dict(renamed)
+
+def _sales_sums() -> list[Column]:
+    first, second, count = SALES
+    return [F.sum(first).alias(first), F.sum(second).alias(second), F.count("*").alias(count)]
 
 
 class StoredStar:
     """Written dimensions and facts."""
 
-    ITEM_KEYS = {
+    KEYS = {
         "tempo": "sk_tempo", "cliente": "sk_cliente", "produto": "sk_produto",
         "vendedor": "sk_vendedor", "geografia": "sk_geografia",
         "pagamento": "sk_pagamento", "status": "sk_status",
     }
-    ORDER_KEYS = {
-        "tempo": "sk_tempo_compra", "cliente": "sk_cliente", "geografia": "sk_geografia",
-        "pagamento": "sk_pagamento", "status": "sk_status",
-    }
 
     def __init__(self, tables: Mapping[str, DataFrame]):
         self.tables = tables
 
-    def items(self, *columns: str, years: Iterable[int] = (), **renamed: str) -> DataFrame:
-        fact = self._within(self.tables["fato_vendas"], "sk_tempo", years)
-        return self._widen(fact, self.ITEM_KEYS, _wanted(columns, renamed))
-
-    def orders(self, *columns: str, **renamed: str) -> DataFrame:
-        return self._widen(self.tables["fato_pedido"], self.ORDER_KEYS, _wanted(columns, renamed))
-
-    def order_sales(self, *attributes: str, years: Iterable[int] = ()) -> DataFrame:
-        """One row per order with items: summed values and attributes that are constant within
-        an order. The keys are grouped first and the dimensions joined to the reduced rows."""
-        wanted = _wanted(attributes, {})
-        used = [c.split(".")[0] for c in wanted.values()]
-        keys = list(dict.fromkeys(self.ITEM_KEYS[d] for d in used))
-        fact = self._within(self.tables["fato_vendas"], "sk_tempo", years)
-        reduced = fact.groupBy("order_id", *keys).agg(
-            *[F.sum(c).alias(c) for c in ORDER_SUMS], F.count("*").alias("itens")
-        )
-        sums = {c: c for c in ("order_id", *ORDER_SUMS, "itens")}
-        return self._widen(reduced, self.ITEM_KEYS, sums | wanted)
+    def items(self, *columns: str) -> DataFrame:
+        """Item rows."""
+        return self._widen(self.tables["fato_vendas"], columns)
+
+    def orders(self, *columns: str) -> DataFrame:
+        """Order rows."""
+        return self._widen(self._order_rows(), columns)
+
+    def order_totals(
+        self, measures: Measures, attributes: Sequence[str], columns: Sequence[str] = ()
+    ) -> DataFrame:
+        """Measures of the order fact by attributes; ``columns`` are the fact columns used."""
+        return self._totals(self._order_rows(), measures, attributes)
+
+    def sales_totals(
+        self, measures: Measures, attributes: Sequence[str], years: Iterable[int] = ()
+    ) -> DataFrame:
+        """Measures over one row per order with items, by attributes an order has one of."""
+        keys = self._keys(attributes)
+        per_order = self._items(years).groupBy("order_id", *keys).agg(*_sales_sums())
+        return self._totals(per_order, measures, attributes)
+
+    def pair_sales(
+        self, key: str, attributes: Sequence[str], years: Iterable[int] = ()
+    ) -> DataFrame:
+        """One row per order and product or seller, with attributes of the order."""
+        keys = self._keys(c for c in attributes if "." in c)
+        own = [c for c in attributes if "." not in c]
+        pairs = self._items(years).groupBy("order_id", key, *own, *keys).agg(*_sales_sums())
+        return self._widen(pairs, ("order_id", key, *SALES, *attributes))
 
     def dim(self, name: str, *columns: str) -> DataFrame:
         return self.tables[f"dim_{name}"].select(*columns)
 
-    @staticmethod
-    def _within(fact: DataFrame, key: str, years: Iterable[int]) -> DataFrame:
-        """Restrict to whole years on the YYYYMMDD key, which the scan can prune by."""
-        years = sorted(years)
+    def _order_rows(self) -> DataFrame:
+        return self.tables["fato_pedido"].withColumnRenamed("sk_tempo_compra", "sk_tempo")
+
+    def _items(self, years: Iterable[int]) -> DataFrame:
+        """Item rows of whole years, as a range of the YYYYMMDD key that the scan prunes by."""
+        rows, years = self.tables["fato_vendas"], sorted(years)
         if not years:
-            return fact
-        return fact.where(F.col(key).between(years[0] * 10000 + 101, years[-1] * 10000 + 1231))
-
-    def _widen(self, fact: DataFrame, keys: Mapping[str, str], wanted: dict[str, str]) -> DataFrame:
-        needed: dict[str, dict[str, str]] = {}
-        for out, source in wanted.items():
-            if "." in source:
-                name, attribute = source.split(".")
-                needed.setdefault(name, {})[out] = attribute
-        for name, attributes in needed.items():
-            own_key = StoredStar.ITEM_KEYS[name]
-            dim = self.tables[f"dim_{name}"].select(
-                F.col(own_key).alias(keys[name]),
-                *[F.col(a).alias(out) for out, a in attributes.items()],
-            )
-            fact = fact.join(dim, keys[name])
-        return fact.select(
-            *[F.col(out) if "." in source else F.col(source).alias(out)
-              for out, source in wanted.items()]
+            return rows
+        first, last = years[0] * 10000 + 101, years[-1] * 10000 + 1231
+        return rows.where(F.col("sk_tempo").between(first, last))
+
+    def _keys(self, attributes: Iterable[str]) -> list[str]:
+        return list(dict.fromkeys(self.KEYS[a.split(".")[0]] for a in attributes))
+
+    def _totals(
+        self, rows: DataFrame, measures: Measures, attributes: Sequence[str]
+    ) -> DataFrame:
+        reduced = rows.groupBy(*self._keys(attributes)).agg(
+            *[m.alias(n) for n, m in measures.items()]
         )
+        return self._widen(reduced, (*attributes, *measures))
+
+    def _widen(self, rows: DataFrame, columns: Iterable[str]) -> DataFrame:
+        """Join the dimensions that the columns name."""
+        wanted: dict[str, list[str]] = {}
+        for column in columns:
+            if "." in column:
+                name, attribute = column.split(".")
+                wanted.setdefault(name, []).append(attribute)
+        for name, attributes in wanted.items():
+            key = self.KEYS[name]
+            rows = rows.join(self.tables[f"dim_{name}"].select(key, *attributes), key)
+        return rows.select(*_outputs(columns))
 
 
 class SourceStar:
     """The same rows straight from the provided tables, with natural keys.
 
-    Relies on the foreign keys of those tables: a join is left out when no column of its
-    table is asked for. The checks on the written warehouse report rows that break this.
+    Relies on the foreign keys of those tables: a table none of whose columns is asked for
+    is not joined. The checks on the written warehouse report rows that break this.
     """
 
     def __init__(self, source: b.Source, recurring_above: int = 1):
         self.source = source
         self.recurring_above = recurring_above
 
-    ITEM_DIMS = {"produto": "sk_produto", "vendedor": "sk_vendedor"}
-
-    @staticmethod
-    def _head() -> dict[str, Column]:
-        """Attributes that the row of an order holds itself."""
-        bought = b.purchase()
-        return {
-            "order_id": F.col("o_orderkey"),
-            "status.status_original": b.status(),
-            "status.flag_cancelado": F.col("o_orderstatus") == "P",
-            "tempo.ano": F.year(bought),
-            "tempo.trimestre": F.quarter(bought),
-            "tempo.mes": F.month(bought),
-            "tempo.nome_mes": dates.pick_name(v.MONTH_NAMES, F.month(bought)),
-            "tempo.ano_mes": dates.year_month(bought),
-            "prazo_estimado_dias": dates.days_between(bought, b.due()),
-        }
+    # Attributes that the row of an order holds itself.
+    HEAD: dict[str, Callable[[], Column]] = {
+        "order_id": lambda: F.col("o_orderkey"),
+        "status.status_original": b.status,
+        "status.flag_cancelado": lambda: F.col("o_orderstatus") == "P",
+        "tempo.ano": lambda: F.year(b.purchase()),
+        "tempo.trimestre": lambda: F.quarter(b.purchase()),
+        "tempo.mes": lambda: F.month(b.purchase()),
+        "tempo.nome_mes": lambda: dates.pick_name(v.MONTH_NAMES, F.month(b.purchase())),
+        "tempo.ano_mes": lambda: dates.year_month(b.purchase()),
+        "prazo_estimado_dias": lambda: dates.days_between(b.purchase(), b.due()),
+    }
+    # Attributes of the delivery address.
+    PLACE: dict[str, Callable[[], Column]] = {
+        "geografia.cidade": lambda: text.normalize_label(b.city("c_custkey")),
+        "geografia.estado": lambda: text.state_code(F.col("n_name")),
+        "geografia.regiao": lambda: F.col("r_name"),
+    }
+    # Aggregates of the lines of an order, and the attributes made of them.
+    LINES: dict[str, Callable[[], Column]] = {
+        "valor_item": lambda: F.sum(b.price()),
+        "valor_frete": lambda: F.sum(b.freight()),
+        "itens": lambda: F.count("*"),
+        "shipped": lambda: F.max("l_shipdate"),
+        "payment": lambda: facts.main_payment(
+            b.payment_value(), F.col("l_linenumber"), text.code(b.payment_type()), b.instalments()
+        ),
+        "review": lambda: facts.latest_review(
+            b.score(), b.answered(), F.col("l_shipdate"), b.review_id()
+        ),
+    }
+    SUMMARY: dict[str, tuple[str, Callable[[], Column]]] = {
+        **{name: (name, lambda name=name: F.col(name)) for name in SALES},
+        "prazo_entrega_dias": ("shipped", lambda: SourceStar._delivery(0)),
+        "atraso_entrega_dias": ("shipped", lambda: SourceStar._delivery(2)),
+        "flag_entregue_com_atraso": ("shipped", lambda: SourceStar._delivery(3)),
+        "nota_avaliacao": ("review", lambda: F.col("review")),
+        "pagamento.tipo_pagamento": ("payment", lambda: SourceStar._payment_label()),
+    }
+    ITEM: dict[str, Callable[[], Column]] = {
+        "order_id": lambda: F.col("l_orderkey"),
+        "sk_produto": lambda: F.col("l_partkey"),
+        "sk_vendedor": lambda: F.col("l_suppkey"),
+        "valor_item": b.price,
+        "valor_frete": b.freight,
+        "valor_total_item": lambda: (b.price() + b.freight()).cast("decimal(10,2)"),
+    }
 
     @staticmethod
-    def _place() -> dict[str, Column]:
-        """Attributes of the delivery address."""
-        return {
-            "geografia.cidade": text.normalize_label(b.city("c_custkey")),
-            "geografia.estado": text.state_code(F.col("n_name")),
-            "geografia.regiao": F.col("r_name"),
-        }
+    def _delivery(position: int) -> Column:
+        arrived = b.delivered(F.col("shipped"))
+        return facts.delivery_measures(b.purchase(), b.due(), arrived)[position]
 
     @staticmethod
-    def _item() -> dict[str, Column]:
-        return {
-            "order_id": F.col("l_orderkey"),
-            "order_item_id": F.col("l_linenumber"),
-            "sk_produto": F.col("l_partkey"),
-            "sk_vendedor": F.col("l_suppkey"),
-            "valor_item": b.price(),
-            "valor_frete": b.freight(),
-            "valor_total_item": (b.price() + b.freight()).cast("decimal(10,2)"),
-        }
+    def _payment_label() -> Column:
+        label = dim_jobs.payment_label(F.col("payment.tipo_pagamento_original"))
+        return F.when(F.col("payment").isNotNull(), label).otherwise(v.NOT_INFORMED)
 
-    @staticmethod
-    def _summary() -> dict[str, Column]:
-        """Attributes that summarise the lines of an order."""
-        arrived = b.delivered(F.col("shipped"))
-        lead, _, delay, late = facts.delivery_measures(b.purchase(), b.due(), arrived)
-        kind = dim_jobs.payment_label(F.col("payment.tipo_pagamento_original"))
-        return {
-            **{c: F.col(c) for c in (*ORDER_SUMS, "itens", "nota_avaliacao")},
-            "prazo_entrega_dias": lead,
-            "atraso_entrega_dias": delay,
-            "flag_entregue_com_atraso": late,
-            "pagamento.tipo_pagamento": F.when(F.col("payment").isNotNull(), kind).otherwise(
-                v.NOT_INFORMED
-            ),
-        }
-
-    def _lines(self) -> DataFrame:
-        """All order-level summaries of the lines; unused ones are pruned from the plan."""
-        review = facts.latest_review(
-            b.score(), b.answered(), F.col("l_shipdate"), b.review_id()
-        )
-        payment = facts.main_payment(
-            b.payment_value(), F.col("l_linenumber"), text.code(b.payment_type()), b.instalments()
+    def items(self, *columns: str) -> DataFrame:
+        own = [c for c in columns if c in self.ITEM]
+        inherited = [c for c in columns if c not in self.ITEM]
+        rows = self.source["lineitem"].select(
+            F.col("l_orderkey").alias("parent"), *[self.ITEM[c]().alias(c) for c in own]
         )
-        return self.source["lineitem"].groupBy("l_orderkey").agg(
-            F.sum(b.price()).alias("valor_item"),
-            F.sum(b.freight()).alias("valor_frete"),
-            F.count("*").alias("itens"),
-            F.max("l_shipdate").alias("shipped"),
-            payment.alias("payment"),
-            review.alias("nota_avaliacao"),
+        return self._inherit(rows, inherited).select(*_outputs(columns))
+
+    def orders(self, *columns: str) -> DataFrame:
+        return self._order_rows(columns, "left").select(
+            *[self._attribute(c).alias(out) for out, c in _outputs(columns).items()]
         )
 
-    def _orders(self, wanted: Mapping[str, str], how: str) -> DataFrame:
-        place, summary = self._place(), self._summary()
-        known = self._head() | place | summary
-        rows = self.source["orders"]
-        if any(c in summary for c in wanted.values()) or how == "inner":
-            rows = rows.join(self._lines(), F.col("o_orderkey") == F.col("l_orderkey"), how)
-        if any(c in place for c in wanted.values()):
-            homes = self.source.located("customer", "c_nationkey")
-            if "geografia.regiao" in wanted.values():
-                homes = self.source.in_region(homes)
-            rows = rows.join(homes, F.col("o_custkey") == F.col("c_custkey"))
-        return rows.select(*[known[c].alias(out) for out, c in wanted.items()])
-
-    def orders(self, *columns: str, **renamed: str) -> DataFrame:
-        return self._orders(_wanted(columns, renamed), "left")
-
-    def order_sales(self, *attributes: str, years: Iterable[int] = ()) -> DataFrame:
-        sums = {c: c for c in ("order_id", *ORDER_SUMS, "itens")}
-        return self._orders(sums | _wanted(attributes, {}), "inner")
-
-    def items(self, *columns: str, years: Iterable[int] = (), **renamed: str) -> DataFrame:
-        wanted = _wanted(columns, renamed)
-        item = self._item()
-        own = {out: c for out, c in wanted.items() if c in item}
-        described = {
-            name: {out: c for out, c in wanted.items() if c.startswith(f"{name}.")}
-            for name in self.ITEM_DIMS
-        }
-        joined = {out for d in described.values() for out in d}
-        inherited = {out: c for out, c in wanted.items() if out not in own and out not in joined}
-        rows = self.source["lineitem"].select(
-            *[item[c].alias(out) for out, c in own.items()],
+    def order_totals(
+        self, measures: Measures, attributes: Sequence[str], columns: Sequence[str] = ()
+    ) -> DataFrame:
+        return self._totals("left", measures, attributes, columns)
+
+    def sales_totals(
+        self, measures: Measures, attributes: Sequence[str], years: Iterable[int] = ()
+    ) -> DataFrame:
+        return self._totals("inner", measures, attributes, SALES)
+
+    def pair_sales(
+        self, key: str, attributes: Sequence[str], years: Iterable[int] = ()
+    ) -> DataFrame:
+        """Lines are reduced to the pair before they meet the order, so an order with very
+        many lines brings one row per product or seller to the join."""
+        lines = self.source["lineitem"].select(
             F.col("l_orderkey").alias("parent"),
-            *[item[key].alias(f"of_{key}") for key in self.ITEM_DIMS.values()],
+            *[self.ITEM[c]().alias(c) for c in (key, "valor_item", "valor_frete")],
+        )
+        pairs = lines.groupBy("parent", key).agg(*_sales_sums())
+        return self._inherit(pairs, attributes).select(
+            F.col("parent").alias("order_id"), key, *SALES, *_outputs(attributes)
         )
-        if inherited:
-            rows = rows.join(self._orders({"parent": "order_id"} | inherited, "left"), "parent")
-        for name, attributes in described.items():
-            if attributes:
-                key = self.ITEM_DIMS[name]
-                named = {out: c.split(".")[1] for out, c in attributes.items()}
-                dim = self.dim(name, key, *named.values()).select(
-                    F.col(key).alias(f"of_{key}"), *[F.col(a).alias(o) for o, a in named.items()]
-                )
-                rows = rows.join(dim, f"of_{key}")
-        return rows.select(*wanted)
 
     def dim(self, name: str, *columns: str) -> DataFrame:
-        stg, states = self.source.staging, self.source.states
-        if name == "cliente":
-            rows = dim_jobs.customers(stg, states, self.recurring_above)
-        elif name == "produto":
+        stg = self.source.staging
+        if name == "produto":
             rows = dim_jobs.products(stg).withColumn("sk_produto", F.col("product_id"))
         elif name == "vendedor":
-            rows = dim_jobs.sellers(stg, states).withColumn("sk_vendedor", F.col("seller_id"))
+            rows = dim_jobs.sellers(stg, self.source.states)
+            rows = rows.withColumn("sk_vendedor", F.col("seller_id"))
         else:
-            raise KeyError(name)
+            rows = dim_jobs.customers(stg, self.source.states, self.recurring_above)
         return rows.select(*columns)
 
+    def _attribute(self, name: str) -> Column:
+        if name in self.SUMMARY:
+            return self.SUMMARY[name][1]()
+        return (self.HEAD | self.PLACE)[name]()
+
+    def _order_rows(self, columns: Iterable[str], how: str) -> DataFrame:
+        """Orders with the aggregates of their lines and the address the columns need."""
+        columns = set(columns)
+        rows = self.source["orders"]
+        aggregates = sorted({self.SUMMARY[c][0] for c in columns if c in self.SUMMARY})
+        if aggregates:
+            lines = self.source["lineitem"].groupBy("l_orderkey").agg(
+                *[self.LINES[a]().alias(a) for a in aggregates]
+            )
+            rows = rows.join(lines, F.col("o_orderkey") == F.col("l_orderkey"), how)
+        return self._place(rows, columns)
+
+    def _place(self, rows: DataFrame, columns: Iterable[str]) -> DataFrame:
+        places = [c for c in columns if c in self.PLACE]
+        if not places:
+            return rows
+        homes = self.source.located("customer", "c_nationkey")
+        if "geografia.regiao" in places:
+            homes = self.source.in_region(homes)
+        return rows.join(homes, F.col("o_custkey") == F.col("c_custkey"))
+
+    def _totals(
+        self, how: str, measures: Measures, attributes: Sequence[str], columns: Sequence[str]
+    ) -> DataFrame:
+        places = [c for c in attributes if c in self.PLACE]
+        held = [c for c in attributes if c not in self.PLACE]
+        rows = self._order_rows((*held, *columns), how)
+        reduced = (
+            rows.select(
+                *[self._attribute(c).alias(out) for out, c in _outputs((*held, *columns)).items()],
+                *(["o_custkey"] if places else []),
+            )
+            .groupBy(*_outputs(held), *(["o_custkey"] if places else []))
+            .agg(*[m.alias(n) for n, m in measures.items()])
+        )
+        return self._place(reduced, places).select(
+            *_outputs(held),
+            *[self.PLACE[c]().alias(out) for out, c in _outputs(places).items()],
+            *measures,
+        )
+
+    def _inherit(self, rows: DataFrame, columns: Sequence[str]) -> DataFrame:
+        """Add attributes of the order to rows that know their order as ``parent``."""
+        if not columns:
+            return rows
+        heads = self._order_rows(columns, "left").select(
+            F.col("o_orderkey").alias("parent"),
+            *[self._attribute(c).alias(out) for out, c in _outputs(columns).items()],
+        )
+        return rows.join(heads, "parent")
+
 
 Star = StoredStar | SourceStar

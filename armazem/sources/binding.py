@@ -5,6 +5,7 @@ customers, sellers, products and positions. Columns keep their types instead of
 through text; the jobs accept both.
 """
 
+from collections.abc import Callable, Iterator, Mapping
 from functools import cached_property
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -105,15 +106,34 @@ def zip_code(nation: str, key: str) -> Column:
     return (F.col(nation) * 1000 + F.col(key) % 1000).cast("string")
 
 
+class _Views(Mapping):
+    """DataFrames by name, each built when it is first asked for."""
+
+    def __init__(self, builders: dict[str, Callable[[], DataFrame]]):
+        self._builders, self._built = builders, {}
+
+    def __getitem__(self, name: str) -> DataFrame:
+        if name not in self._built:
+            self._built[name] = self._builders[name]()
+        return self._built[name]
+
+    def __iter__(self) -> Iterator[str]:
+        return iter(self._builders)
+
+    def __len__(self) -> int:
+        return len(self._builders)
+
+
 class Source:
     """The provided tables of one folder and their raw-table views."""
 
     def __init__(self, spark: SparkSession, folder: str):
-        self.spark = spark
-        self.tables = {n: spark.read.parquet(f"{folder}/{n}.parquet") for n in NAMES}
+        self._tables = _Views({
+            n: lambda n=n: spark.read.parquet(f"{folder}/{n}.parquet") for n in NAMES
+        })
 
     def __getitem__(self, name: str) -> DataFrame:
-        return self.tables[name]
+        return self._tables[name]
 
     def located(self, name: str, nation: str) -> DataFrame:
         """Customers or suppliers with their nation, a table of 25 rows."""
@@ -131,18 +151,18 @@ class Source:
         )
 
     @cached_property
-    def staging(self) -> dict[str, DataFrame]:
-        return {
-            "orders": self._orders(),
-            "order_items": self._items(),
-            "order_payments": self._payments(),
-            "order_reviews": self._reviews(),
-            "customers": self._customers(),
-            "products": self._products(),
-            "sellers": self._sellers(),
-            "geolocation": self._positions(),
-            "category_translation": self._translation(),
-        }
+    def staging(self) -> Mapping[str, DataFrame]:
+        return _Views({
+            "orders": self._orders,
+            "order_items": self._items,
+            "order_payments": self._payments,
+            "order_reviews": self._reviews,
+            "customers": self._customers,
+            "products": self._products,
+            "sellers": self._sellers,
+            "geolocation": self._positions,
+            "category_translation": self._translation,
+        })
 
     def _orders(self) -> DataFrame:
         shipped = self["lineitem"].groupBy("l_orderkey").agg(F.max("l_shipdate").alias("shipped"))

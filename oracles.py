@@ -67,7 +67,7 @@ def total(x: str) -> str:
 def words(x: str) -> str:
     return (
         f"array_to_string(list_transform(regexp_extract_all({x}, "
-        r"'[\p{L}\p{N}]+|[^\p{L}\p{N}]+'), lambda p: upper(p[1]) || p[2:]), '')"
+        r"'[\p{L}\p{N}]+|[^\p{L}\p{N}]+'), lambda p: CASE WHEN p[1] = 'ß' THEN p ELSE upper(p[1]) || p[2:] END), '')"
     )
 
 

@@ -77,8 +77,7 @@ def k01_kpis(spark, folder):
 
 def dimension(spark: SparkSession, folder: str, name: str) -> DataFrame:
     source = Source(spark, folder)
-    natural = dims.natural_dimensions(source.staging, source.states, p.RECURRING_ABOVE)
-    return dims.keyed(name, natural[name])
+    return dims.dimension(name, source.staging, source.states, p.RECURRING_ABOVE)
 
 
 @query
@@ -135,19 +134,23 @@ def d09_region_lookup(spark, folder):
 # --- facts --------------------------------------------------------------------------------------------
 
 
+def _dimensions(source: Source) -> dict[str, DataFrame]:
+    return {
+        name: dims.dimension(name, source.staging, source.states, p.RECURRING_ABOVE)
+        for name in load.DIMENSIONS
+    }
+
+
 @query
 def f01_order_fact(spark, folder):
     source = Source(spark, folder)
-    natural = dims.natural_dimensions(source.staging, source.states, p.RECURRING_ABOVE)
-    keyed = {name: dims.keyed(name, rows) for name, rows in natural.items()}
-    return facts.order_fact(source.staging, keyed)
+    return facts.order_fact(source.staging, _dimensions(source))
 
 
 @query
 def f02_item_fact(spark, folder):
     source = Source(spark, folder)
-    natural = dims.natural_dimensions(source.staging, source.states, p.RECURRING_ABOVE)
-    keyed = {name: dims.keyed(name, rows) for name, rows in natural.items()}
+    keyed = _dimensions(source)
     orders = facts.order_fact(source.staging, keyed)
     return facts.item_fact(source.staging, keyed, orders)
 
