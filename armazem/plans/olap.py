@@ -15,8 +15,10 @@ from pyspark.sql import functions as F
 
 from armazem import vocabulary as v
 from armazem.functions.numbers import band, count_where, percent, quotient, total
-from armazem.operators.grouping import cube_sets, grouped_totals, labelled, rollup_sets, total_flag
-from armazem.operators.ranking import asc, desc, share_of_all, top
+from armazem.operators.grouping import (
+    added_up, cube_sets, grouped_totals, labelled, rollup_sets, total_flag,
+)
+from armazem.operators.ranking import asc, desc, ordered, share_of_all, top
 from armazem.plans.star import Star
 
 TOP = 10
@@ -27,13 +29,8 @@ def _revenue() -> dict[str, Column]:
     return {"faturamento": F.sum("valor_item"), "pedidos": F.count("*")}
 
 
-def _added(*names: str) -> dict[str, Column]:
-    """Totals of totals."""
-    return {n: F.sum(n) for n in names}
-
-
 def _summed(rows: DataFrame, keys: Iterable[str], *names: str) -> DataFrame:
-    return rows.groupBy(*keys).agg(*[m.alias(n) for n, m in _added(*names).items()])
+    return rows.groupBy(*keys).agg(*[F.sum(n).alias(n) for n in names])
 
 
 def sold_by(star: Star, *attributes: str, years: Iterable[int] = ()) -> DataFrame:
@@ -72,8 +69,8 @@ def o01(star: Star) -> DataFrame:
     )
     overall, by_year, by_quarter, by_month = v.LEVELS
     return (
-        grouped_totals(rows, sets, _added(*_REVENUE))
-        .orderBy(asc("ano"), asc("trimestre"), asc("mes"))
+        added_up(rows, sets, _REVENUE)
+        .transform(ordered, asc("ano"), asc("trimestre"), asc("mes"))
         .select(
             F.when(no_year, v.GRAND_TOTAL)
             .when(no_quarter, F.concat(F.lit("Total "), year))
@@ -98,9 +95,9 @@ def o02(star: Star) -> DataFrame:
     rows = sold_by(star, "geografia.regiao", "geografia.estado")
     grand = F.max(F.when(F.col(total_flag("regiao")) == 1, F.col("faturamento"))).over(W.partitionBy())
     return (
-        grouped_totals(rows, rollup_sets("regiao", "estado"), _added(*_REVENUE))
+        added_up(rows, rollup_sets("regiao", "estado"), _REVENUE)
         .withColumn("participacao_pct", percent(F.col("faturamento"), grand))
-        .orderBy(total_flag("regiao"), asc("regiao"), total_flag("estado"), desc("faturamento"))
+        .transform(ordered, total_flag("regiao"), asc("regiao"), total_flag("estado"), desc("faturamento"))
         .select(
             labelled("regiao", v.GRAND_TOTAL).alias("regiao"),
             labelled("estado", v.SUBTOTAL).alias("estado"),
@@ -159,7 +156,7 @@ def o05(
         & F.col("tipo_pagamento").isin(*tipos)
     )
     dice = _summed(rows.where(inside), keys, *_REVENUE)
-    return dice.orderBy(*keys).select(*keys, *_sales())
+    return ordered(dice, *keys).select(*keys, *_sales())
 
 
 def o06(star: Star, anos: Iterable[int] = (2016, 2017, 2018)) -> DataFrame:
@@ -181,7 +178,7 @@ def o06(star: Star, anos: Iterable[int] = (2016, 2017, 2018)) -> DataFrame:
             total(F.col("fat_total")).alias("fat_total"),
             share_of_all(F.col("fat_total")).alias("participacao_pct"),
         )
-        .orderBy(desc("fat_total"), asc("tipo_pagamento"))
+        .transform(ordered, desc("fat_total"), asc("tipo_pagamento"))
     )
 
 
@@ -233,10 +230,10 @@ def o08(star: Star) -> DataFrame:
     ).where(F.col("pedidos_entregues") > 0)
     n = F.col("pedidos_entregues")
     return (
-        grouped_totals(rows, rollup_sets("regiao", "estado"), _added(*measures))
+        added_up(rows, rollup_sets("regiao", "estado"), measures)
         .withColumn("prazo_medio_dias", quotient(F.col("lead"), n, 1))
-        .orderBy(
-            total_flag("regiao"), asc("regiao"), total_flag("estado"), desc("prazo_medio_dias")
+        .transform(
+            ordered, total_flag("regiao"), asc("regiao"), total_flag("estado"), desc("prazo_medio_dias")
         )
         .select(
             labelled("regiao", v.GRAND_TOTAL).alias("regiao"),
@@ -331,7 +328,7 @@ def o11(star: Star) -> DataFrame:
             percent(F.col("low"), rated).alias("pct_notas_1_e_2"),
             percent(F.col("five"), rated).alias("pct_nota_5"),
         )
-        .orderBy("situacao_entrega")
+        .transform(ordered, "situacao_entrega")
     )
 
 
@@ -366,7 +363,7 @@ def o12(star: Star, min_avaliacoes: int = 300, k: int = 5) -> DataFrame:
         categories.withColumn("best", from_top)
         .withColumn("worst", from_bottom)
         .where((F.col("best") <= k) | (F.col("worst") <= k))
-        .orderBy(desc("nota_media"), desc("avaliacoes"))
+        .transform(ordered, desc("nota_media"), desc("avaliacoes"))
         .select(
             F.when(F.col("best") <= k, v.BEST).otherwise(v.WORST).alias("grupo"),
             "categoria", "avaliacoes", "nota_media", "pct_notas_1_e_2",
@@ -386,7 +383,7 @@ def o13(star: Star) -> DataFrame:
     return (
         grouped_totals(rows, rollup_sets("regiao"), measures)
         .withColumn("pct_recorrentes", percent(F.col("clientes_recorrentes"), n))
-        .orderBy(total_flag("regiao"), desc("pct_recorrentes"))
+        .transform(ordered, total_flag("regiao"), desc("pct_recorrentes"))
         .select(
             labelled("regiao", v.GRAND_TOTAL).alias("regiao"),
             "clientes", "clientes_recorrentes", "pct_recorrentes",
@@ -417,7 +414,7 @@ def o14(star: Star) -> DataFrame:
             percent(F.col("pedidos_cancelados"), F.col("pedidos")).alias("taxa_cancelamento_pct"),
             "pedidos_indisponiveis",
         )
-        .orderBy("ano_mes")
+        .transform(ordered, "ano_mes")
     )
 
 
@@ -425,9 +422,9 @@ def o15(star: Star) -> DataFrame:
     """Revenue by customer region and payment type with every subtotal."""
     rows = sold_by(star, "geografia.regiao", "pagamento.tipo_pagamento")
     return (
-        grouped_totals(rows, cube_sets("regiao", "tipo_pagamento"), _added(*_REVENUE))
-        .orderBy(
-            total_flag("regiao"), asc("regiao"), total_flag("tipo_pagamento"), desc("faturamento")
+        added_up(rows, cube_sets("regiao", "tipo_pagamento"), _REVENUE)
+        .transform(
+            ordered, total_flag("regiao"), asc("regiao"), total_flag("tipo_pagamento"), desc("faturamento")
         )
         .select(
             labelled("regiao", v.ALL_REGIONS).alias("regiao"),
@@ -463,7 +460,7 @@ def o16(star: Star, regioes: Iterable[str] = v.REGIONS) -> DataFrame:
         measures[f"days_{region_column(regiao)}"] = F.sum(F.when(here, lead))
     return (
         grouped_totals(rows, rollup_sets("regiao_vendedor"), measures)
-        .orderBy(total_flag("regiao_vendedor"), desc("pedidos_entregues"))
+        .transform(ordered, total_flag("regiao_vendedor"), desc("pedidos_entregues"))
         .select(
             labelled("regiao_vendedor", v.ALL_REGIONS).alias("regiao_vendedor"),
             "pedidos_entregues",
@@ -502,7 +499,7 @@ def o17(star: Star) -> DataFrame:
         total(F.col("revenue")).alias("faturamento"),
         share_of_all(F.col("revenue")).alias("pct_faturamento"),
         "pedidos",
-    ).orderBy(desc("vendedores"), desc("faturamento"), asc("estado"))
+    ).transform(ordered, desc("vendedores"), desc("faturamento"), asc("estado"))
 
 
 # code -> (report, title used for exported files)
