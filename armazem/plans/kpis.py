@@ -19,11 +19,10 @@ def _rows(row: DataFrame, figures: dict[str, Column]) -> DataFrame:
 
 def kpis(star: Star) -> DataFrame:
     """One row per figure, from one pass over sales, one over orders and one over customers."""
-    sold = star.sales_totals(
+    sales = star.sales_totals(
         {"revenue": F.sum("valor_item"), "freight": F.sum("valor_frete"), "orders": F.count("*")},
-        ("status.flag_cancelado",),
-    ).where(~F.col("flag_cancelado"))
-    sales = sold.agg(*[F.sum(c).alias(c) for c in ("revenue", "freight", "orders")])
+        (),
+    )
     score, lead = F.col("nota_avaliacao"), F.col("prazo_entrega_dias")
     orders = star.orders(
         "prazo_entrega_dias", "flag_entregue_com_atraso", "nota_avaliacao",

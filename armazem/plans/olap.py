@@ -35,16 +35,7 @@ def _summed(rows: DataFrame, keys: Iterable[str], *names: str) -> DataFrame:
 
 def sold_by(star: Star, *attributes: str, years: Iterable[int] = ()) -> DataFrame:
     """Revenue and orders of non-cancelled orders with items, partly summed by attributes."""
-    rows = star.sales_totals(_revenue(), (*attributes, "status.flag_cancelado"), years)
-    return rows.where(~F.col("flag_cancelado"))
-
-
-def sold_pairs(
-    star: Star, key: str, *attributes: str, years: Iterable[int] = ()
-) -> DataFrame:
-    """Non-cancelled orders with items, one row per order and product or seller."""
-    rows = star.pair_sales(key, (*attributes, "status.flag_cancelado"), years)
-    return rows.where(~F.col("flag_cancelado"))
+    return star.sales_totals(_revenue(), attributes, years)
 
 
 def _sales(ticket: bool = True) -> list[Column]:
@@ -118,7 +109,7 @@ def o03(star: Star, estado: str = "SP") -> DataFrame:
 
 def o04(star: Star, ano: int = 2018) -> DataFrame:
     """The ten best-selling categories of a year and their share of the year."""
-    rows = sold_pairs(star, "sk_produto", "tempo.ano", years=(ano,))
+    rows = star.pair_sales("sk_produto", ("tempo.ano",), years=(ano,))
     products = star.dim("produto", "sk_produto", "categoria", "categoria_en")
     categories = (
         rows.where(F.col("ano") == ano)
@@ -188,7 +179,7 @@ def o07(star: Star) -> DataFrame:
     There may be very many sellers, so nothing but the leaders goes through one task: the
     total is a scalar subquery and the cumulative sum only needs rows ranked above or tied.
     """
-    rows = sold_pairs(star, "sk_vendedor")
+    rows = star.pair_sales("sk_vendedor", ())
     everything = sold_by(star).agg(F.sum("faturamento").alias("all")).scalar()
     by_revenue = W.orderBy(desc("faturamento"))
     leaders = (
@@ -201,13 +192,14 @@ def o07(star: Star) -> DataFrame:
         .withColumn("posicao", F.rank().over(by_revenue))
         .where(F.col("posicao") <= TOP)
         .withColumn("acumulado", F.sum("faturamento").over(by_revenue))
+        .withColumn("all", everything)
         .join(star.dim("vendedor", "sk_vendedor", "seller_id", "cidade", "estado"), "sk_vendedor")
     )
     revenue, orders, ticket = _sales()
     return top(leaders, TOP, desc("faturamento"), asc("seller_id")).select(
         "posicao", "seller_id", "cidade", "estado", revenue, orders, "itens", ticket,
-        percent(F.col("faturamento"), everything).alias("participacao_pct"),
-        percent(F.col("acumulado"), everything).alias("participacao_acumulada_pct"),
+        percent(F.col("faturamento"), F.col("all")).alias("participacao_pct"),
+        percent(F.col("acumulado"), F.col("all")).alias("participacao_acumulada_pct"),
     )
 
 
@@ -250,7 +242,7 @@ def o08(star: Star) -> DataFrame:
 def o09(star: Star, min_pedidos: int = 200) -> DataFrame:
     """The ten sellers with the highest late share among those with enough deliveries."""
     deliveries = star.pair_sales(
-        "sk_vendedor", ("prazo_entrega_dias", "atraso_entrega_dias")
+        "sk_vendedor", ("prazo_entrega_dias", "atraso_entrega_dias"), sold=False
     ).where(F.col("prazo_entrega_dias").isNotNull())
     n = F.col("pedidos_entregues")
     rated = (
@@ -274,10 +266,7 @@ def o09(star: Star, min_pedidos: int = 200) -> DataFrame:
 def o10(star: Star, min_itens: int = 500) -> DataFrame:
     """The ten categories where freight weighs most, among those with enough items."""
     per_product = (
-        star.items(
-            "sk_produto", "valor_item", "valor_frete", "valor_total_item", "status.flag_cancelado"
-        )
-        .where(~F.col("flag_cancelado"))
+        star.items("sk_produto", "valor_item", "valor_frete", "valor_total_item")
         .groupBy("sk_produto")
         .agg(
             F.count("*").alias("itens"),
@@ -336,7 +325,7 @@ def o12(star: Star, min_avaliacoes: int = 300, k: int = 5) -> DataFrame:
     """The k best and k worst rated categories; ties may add rows."""
     score = F.col("nota_avaliacao")
     per_product = (
-        star.items("sk_produto", "nota_avaliacao")
+        star.items("sk_produto", "nota_avaliacao", sold=False)
         .where(score.isNotNull())
         .groupBy("sk_produto")
         .agg(
@@ -447,7 +436,7 @@ def o16(star: Star, regioes: Iterable[str] = v.REGIONS) -> DataFrame:
     lead = F.col("prazo_entrega_dias")
     sellers = star.dim("vendedor", "sk_vendedor", F.col("regiao").alias("regiao_vendedor"))
     rows = (
-        star.pair_sales("sk_vendedor", ("prazo_entrega_dias", "geografia.regiao"))
+        star.pair_sales("sk_vendedor", ("prazo_entrega_dias", "geografia.regiao"), sold=False)
         .where(lead.isNotNull())
         .join(sellers, "sk_vendedor")
         .select("order_id", "regiao_vendedor", F.col("regiao").alias("regiao_cliente"), lead)
@@ -479,7 +468,7 @@ def o17(star: Star) -> DataFrame:
     Orders are counted per seller and then added up, so an order of two sellers counts twice.
     """
     sales = (
-        sold_pairs(star, "sk_vendedor")
+        star.pair_sales("sk_vendedor", ())
         .groupBy("sk_vendedor")
         .agg(F.sum("valor_item").alias("valor"), F.count("*").alias("orders"))
     )

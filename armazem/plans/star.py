@@ -48,9 +48,9 @@ class StoredStar:
     def __init__(self, tables: Mapping[str, DataFrame]):
         self.tables = tables
 
-    def items(self, *columns: str) -> DataFrame:
+    def items(self, *columns: str, sold: bool = True) -> DataFrame:
         """Item rows."""
-        return self._widen(self.tables["fato_vendas"], columns)
+        return self._widen(self._sold() if sold else self._items(()), columns)
 
     def orders(self, *columns: str) -> DataFrame:
         """Order rows."""
@@ -65,18 +65,20 @@ class StoredStar:
     def sales_totals(
         self, measures: Measures, attributes: Sequence[str], years: Iterable[int] = ()
     ) -> DataFrame:
-        """Measures over one row per order with items, by attributes an order has one of."""
+        """Measures over one row per order with items that was not cancelled, by attributes
+        an order has one of."""
         keys = self._keys(attributes)
-        per_order = self._items(years).groupBy("order_id", *keys).agg(*_sales_sums())
+        per_order = self._sold(years).groupBy("order_id", *keys).agg(*_sales_sums())
         return self._totals(per_order, measures, attributes)
 
     def pair_sales(
-        self, key: str, attributes: Sequence[str], years: Iterable[int] = ()
+        self, key: str, attributes: Sequence[str], years: Iterable[int] = (), sold: bool = True
     ) -> DataFrame:
         """One row per order and product or seller, with attributes of the order."""
         keys = self._keys(c for c in attributes if "." in c)
         own = [c for c in attributes if "." not in c]
-        pairs = self._items(years).groupBy("order_id", key, *own, *keys).agg(*_sales_sums())
+        rows = self._sold(years) if sold else self._items(years)
+        pairs = rows.groupBy("order_id", key, *own, *keys).agg(*_sales_sums())
         return self._widen(pairs, ("order_id", key, *SALES, *attributes))
 
     def dim(self, name: str, *columns: str) -> DataFrame:
@@ -93,6 +95,11 @@ class StoredStar:
         first, last = years[0] * 10000 + 101, years[-1] * 10000 + 1231
         return rows.where(F.col("sk_tempo").between(first, last))
 
+    def _sold(self, years: Iterable[int] = ()) -> DataFrame:
+        """Item rows of orders that were not cancelled."""
+        kept = self.tables["dim_status"].where(~F.col("flag_cancelado")).select("sk_status")
+        return self._items(years).join(kept, "sk_status", "left_semi")
+
     def _keys(self, attributes: Iterable[str]) -> list[str]:
         return list(dict.fromkeys(self.KEYS[a.split(".")[0]] for a in attributes))
 
@@ -186,31 +193,31 @@ class SourceStar:
         label = dim_jobs.payment_label(F.col("payment.tipo_pagamento_original"))
         return F.when(F.col("payment").isNotNull(), label).otherwise(v.NOT_INFORMED)
 
-    def items(self, *columns: str) -> DataFrame:
+    def items(self, *columns: str, sold: bool = True) -> DataFrame:
         own = [c for c in columns if c in self.ITEM]
         inherited = [c for c in columns if c not in self.ITEM]
         rows = self.source["lineitem"].select(
             F.col("l_orderkey").alias("parent"), *[self.ITEM[c]().alias(c) for c in own]
         )
-        return self._inherit(rows, inherited).select(*_outputs(columns))
+        return self._inherit(rows, inherited, sold).select(*_outputs(columns))
 
     def orders(self, *columns: str) -> DataFrame:
-        return self._order_rows(columns, "left").select(
+        return self._order_rows(columns).select(
             *[self._attribute(c).alias(out) for out, c in _outputs(columns).items()]
         )
 
     def order_totals(
         self, measures: Measures, attributes: Sequence[str], columns: Sequence[str] = ()
     ) -> DataFrame:
-        return self._totals("left", measures, attributes, columns)
+        return self._totals(measures, attributes, columns, sold=False)
 
     def sales_totals(
         self, measures: Measures, attributes: Sequence[str], years: Iterable[int] = ()
     ) -> DataFrame:
-        return self._totals("inner", measures, attributes, SALES)
+        return self._totals(measures, attributes, SALES, sold=True)
 
     def pair_sales(
-        self, key: str, attributes: Sequence[str], years: Iterable[int] = ()
+        self, key: str, attributes: Sequence[str], years: Iterable[int] = (), sold: bool = True
     ) -> DataFrame:
         """Lines are reduced to the pair before they meet the order, so an order with very
         many lines brings one row per product or seller to the join."""
@@ -219,7 +226,7 @@ class SourceStar:
             *[self.ITEM[c]().alias(c) for c in (key, "valor_item", "valor_frete")],
         )
         pairs = lines.groupBy("parent", key).agg(*_sales_sums())
-        return self._inherit(pairs, attributes).select(
+        return self._inherit(pairs, attributes, sold).select(
             F.col("parent").alias("order_id"), key, *SALES, *_outputs(attributes)
         )
 
@@ -239,10 +246,14 @@ class SourceStar:
             return self.SUMMARY[name][1]()
         return (self.HEAD | self.PLACE)[name]()
 
-    def _order_rows(self, columns: Iterable[str], how: str) -> DataFrame:
+    def _order_rows(
+        self, columns: Iterable[str], sold: bool = False, how: str = "left"
+    ) -> DataFrame:
         """Orders with the aggregates of their lines and the address the columns need."""
         columns = set(columns)
         rows = self.source["orders"]
+        if sold:
+            rows = rows.where(~self.HEAD["status.flag_cancelado"]())
         aggregates = sorted({self.SUMMARY[c][0] for c in columns if c in self.SUMMARY})
         if aggregates:
             lines = self.source["lineitem"].groupBy("l_orderkey").agg(
@@ -261,11 +272,11 @@ class SourceStar:
         return rows.join(homes, F.col("o_custkey") == F.col("c_custkey"))
 
     def _totals(
-        self, how: str, measures: Measures, attributes: Sequence[str], columns: Sequence[str]
+        self, measures: Measures, attributes: Sequence[str], columns: Sequence[str], sold: bool
     ) -> DataFrame:
         places = [c for c in attributes if c in self.PLACE]
         held = [c for c in attributes if c not in self.PLACE]
-        rows = self._order_rows((*held, *columns), how)
+        rows = self._order_rows((*held, *columns), sold, "inner" if sold else "left")
         reduced = (
             rows.select(
                 *[self._attribute(c).alias(out) for out, c in _outputs((*held, *columns)).items()],
@@ -280,11 +291,12 @@ class SourceStar:
             *measures,
         )
 
-    def _inherit(self, rows: DataFrame, columns: Sequence[str]) -> DataFrame:
-        """Add attributes of the order to rows that know their order as ``parent``."""
-        if not columns:
+    def _inherit(self, rows: DataFrame, columns: Sequence[str], sold: bool) -> DataFrame:
+        """Add attributes of the order to rows that know their order as ``parent``; only
+        orders that were not cancelled when ``sold``."""
+        if not columns and not sold:
             return rows
-        heads = self._order_rows(columns, "left").select(
+        heads = self._order_rows(columns, sold).select(
             F.col("o_orderkey").alias("parent"),
             *[self._attribute(c).alias(out) for out, c in _outputs(columns).items()],
         )
