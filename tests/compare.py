@@ -17,8 +17,10 @@ from pyspark.sql import SparkSession  # noqa: E402
 import oracles  # noqa: E402
 import registry  # noqa: E402
 
-TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events",
-          "documents", "embeddings", "pages", "benchmark", "labels", "conversations")
+NAMES_OF_TABLES = (
+    "region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events",
+    "documents", "embeddings", "pages", "benchmark", "labels", "conversations",
+)
 
 
 def local_session(cores: int = 8) -> SparkSession:
@@ -36,10 +38,10 @@ def local_session(cores: int = 8) -> SparkSession:
     return spark
 
 
-def duck(folder: str) -> duckdb.DuckDBPyConnection:
+def duck(folder: str, parts: str = "") -> duckdb.DuckDBPyConnection:
     con = duckdb.connect()
-    for t in TABLES:
-        con.execute(f"CREATE VIEW {t} AS SELECT * FROM '{folder}/{t}.parquet'")
+    for t in NAMES_OF_TABLES:
+        con.execute(f"CREATE VIEW {t} AS SELECT * FROM '{folder}/{t}.parquet{parts}'")
     return con
 
 
