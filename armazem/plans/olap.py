@@ -266,7 +266,7 @@ def o09(star: Star, min_pedidos: int = 200) -> DataFrame:
 def o10(star: Star, min_itens: int = 500) -> DataFrame:
     """The ten categories where freight weighs most, among those with enough items."""
     per_product = (
-        star.items("sk_produto", "valor_item", "valor_frete", "valor_total_item")
+        star.sold_items("sk_produto", "valor_item", "valor_frete", "valor_total_item")
         .groupBy("sk_produto")
         .agg(
             F.count("*").alias("itens"),
@@ -323,22 +323,16 @@ def o11(star: Star) -> DataFrame:
 
 def o12(star: Star, min_avaliacoes: int = 300, k: int = 5) -> DataFrame:
     """The k best and k worst rated categories; ties may add rows."""
-    score = F.col("nota_avaliacao")
-    per_product = (
-        star.items("sk_produto", "nota_avaliacao", sold=False)
-        .where(score.isNotNull())
-        .groupBy("sk_produto")
-        .agg(
-            F.count("*").alias("avaliacoes"),
-            F.sum(score).alias("points"),
-            count_where(score <= 2).alias("low"),
-        )
-    )
-    n = F.col("avaliacoes")
+    score, items, n = F.col("nota_avaliacao"), F.col("itens"), F.col("avaliacoes")
     categories = (
-        per_product.join(star.dim("produto", "sk_produto", "categoria"), "sk_produto")
+        star.rated_items("sk_produto")
+        .join(star.dim("produto", "sk_produto", "categoria"), "sk_produto")
         .groupBy("categoria")
-        .agg(*[F.sum(c).alias(c) for c in ("avaliacoes", "points", "low")])
+        .agg(
+            F.sum(items).alias("avaliacoes"),
+            F.sum(items * score).alias("points"),
+            F.sum(F.when(score <= 2, items).otherwise(0)).alias("low"),
+        )
         .where(n >= min_avaliacoes)
         .select(
             "categoria", "avaliacoes",

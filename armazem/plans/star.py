@@ -48,9 +48,14 @@ class StoredStar:
     def __init__(self, tables: Mapping[str, DataFrame]):
         self.tables = tables
 
-    def items(self, *columns: str, sold: bool = True) -> DataFrame:
-        """Item rows."""
-        return self._widen(self._sold() if sold else self._items(()), columns)
+    def sold_items(self, *columns: str) -> DataFrame:
+        """Fact columns of the items of orders that were not cancelled."""
+        return self._sold().select(*columns)
+
+    def rated_items(self, key: str) -> DataFrame:
+        """Number of items by product or seller and rating of their order."""
+        rated = self._items().where(F.col("nota_avaliacao").isNotNull())
+        return rated.groupBy(key, "nota_avaliacao").agg(F.count("*").alias("itens"))
 
     def orders(self, *columns: str) -> DataFrame:
         """Order rows."""
@@ -87,7 +92,7 @@ class StoredStar:
     def _order_rows(self) -> DataFrame:
         return self.tables["fato_pedido"].withColumnRenamed("sk_tempo_compra", "sk_tempo")
 
-    def _items(self, years: Iterable[int]) -> DataFrame:
+    def _items(self, years: Iterable[int] = ()) -> DataFrame:
         """Item rows of whole years, as a range of the YYYYMMDD key that the scan prunes by."""
         rows, years = self.tables["fato_vendas"], sorted(years)
         if not years:
@@ -193,13 +198,16 @@ class SourceStar:
         label = dim_jobs.payment_label(F.col("payment.tipo_pagamento_original"))
         return F.when(F.col("payment").isNotNull(), label).otherwise(v.NOT_INFORMED)
 
-    def items(self, *columns: str, sold: bool = True) -> DataFrame:
-        own = [c for c in columns if c in self.ITEM]
-        inherited = [c for c in columns if c not in self.ITEM]
+    def sold_items(self, *columns: str) -> DataFrame:
         rows = self.source["lineitem"].select(
-            F.col("l_orderkey").alias("parent"), *[self.ITEM[c]().alias(c) for c in own]
+            F.col("l_orderkey").alias("parent"), *[self.ITEM[c]().alias(c) for c in columns]
         )
-        return self._inherit(rows, inherited, sold).select(*_outputs(columns))
+        return self._inherit(rows, (), sold=True).select(*columns)
+
+    def rated_items(self, key: str) -> DataFrame:
+        pairs = self.pair_sales(key, ("nota_avaliacao",), sold=False)
+        rated = pairs.where(F.col("nota_avaliacao").isNotNull())
+        return rated.groupBy(key, "nota_avaliacao").agg(F.sum("itens").alias("itens"))
 
     def orders(self, *columns: str) -> DataFrame:
         return self._order_rows(columns).select(

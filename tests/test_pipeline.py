@@ -158,3 +158,13 @@ def test_missing_file_and_wrong_header(spark, tmp_path):
     report = rawfiles.header_report(
         spark, rawfiles.raw_path(str(tmp_path), "sellers"), RAW_TABLES["sellers"])
     assert report.where("situacao = 'FALHA'").count() == 2
+
+
+def test_line_break_in_a_split_file_stops_the_load(spark, tmp_path):
+    """Only files with free text may hold quoted line breaks; elsewhere they are an error."""
+    write(tmp_path)
+    path = tmp_path / f"shop_{RAW_TABLES['sellers'].file_ending}"
+    path.write_text('seller_id,seller_zip_code_prefix,seller_city,seller_state\ns1,1001,"sao\npaulo",SP\n')
+    rows = rawfiles.read_raw(spark, str(path), RAW_TABLES["sellers"])
+    with pytest.raises(Exception, match="(?i)malformed"):
+        rows.collect()
