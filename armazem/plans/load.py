@@ -13,6 +13,7 @@ from armazem.plans import checks, dims, facts, olap
 from armazem.plans.star import StoredStar
 from armazem.sources import rawfiles, sinks
 from armazem.sources.catalog import RAW_TABLES
+from armazem.sources.lazy import LazyTables
 from armazem.sources.literals import literal_rows
 
 DIMENSIONS = (
@@ -88,12 +89,16 @@ def build(
     return tables
 
 
-def open_warehouse(spark: SparkSession, folder: str) -> dict[str, DataFrame]:
-    return {name: spark.read.parquet(f"{folder}/{name}") for name in DIMENSIONS + FACTS}
+def _open(spark: SparkSession, folder: str, names: Iterable[str]) -> LazyTables:
+    return LazyTables({n: lambda n=n: spark.read.parquet(f"{folder}/{n}") for n in names})
 
 
-def open_staging(spark: SparkSession, folder: str) -> dict[str, DataFrame]:
-    return {name: spark.read.parquet(f"{folder}/staging/{name}") for name in RAW_TABLES}
+def open_warehouse(spark: SparkSession, folder: str) -> Mapping[str, DataFrame]:
+    return _open(spark, folder, DIMENSIONS + FACTS)
+
+
+def open_staging(spark: SparkSession, folder: str) -> Mapping[str, DataFrame]:
+    return _open(spark, f"{folder}/staging", RAW_TABLES)
 
 
 @dataclass(frozen=True)

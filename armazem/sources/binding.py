@@ -5,13 +5,14 @@ customers, sellers, products and positions. Columns keep their types instead of
 through text; the jobs accept both.
 """
 
-from collections.abc import Callable, Iterator, Mapping
+from collections.abc import Mapping
 from functools import cached_property
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from armazem.functions import text
+from armazem.sources.lazy import LazyTables
 
 NAMES = ("region", "nation", "customer", "supplier", "part", "orders", "lineitem")
 DUE_DAYS = 730
@@ -106,29 +107,11 @@ def zip_code(nation: str, key: str) -> Column:
     return (F.col(nation) * 1000 + F.col(key) % 1000).cast("string")
 
 
-class _Views(Mapping):
-    """DataFrames by name, each built when it is first asked for."""
-
-    def __init__(self, builders: dict[str, Callable[[], DataFrame]]):
-        self._builders, self._built = builders, {}
-
-    def __getitem__(self, name: str) -> DataFrame:
-        if name not in self._built:
-            self._built[name] = self._builders[name]()
-        return self._built[name]
-
-    def __iter__(self) -> Iterator[str]:
-        return iter(self._builders)
-
-    def __len__(self) -> int:
-        return len(self._builders)
-
-
 class Source:
     """The provided tables of one folder and their raw-table views."""
 
     def __init__(self, spark: SparkSession, folder: str):
-        self._tables = _Views({
+        self._tables = LazyTables({
             n: lambda n=n: spark.read.parquet(f"{folder}/{n}.parquet") for n in NAMES
         })
 
@@ -152,7 +135,7 @@ class Source:
 
     @cached_property
     def staging(self) -> Mapping[str, DataFrame]:
-        return _Views({
+        return LazyTables({
             "orders": self._orders,
             "order_items": self._items,
             "order_payments": self._payments,

@@ -229,34 +229,33 @@ def stored_star(spark: SparkSession, folder: str) -> StoredStar:
     return StoredStar(loaded(spark, folder)[1])
 
 
-def validations(spark: SparkSession, folder: str) -> dict[str, DataFrame]:
-    stg, warehouse, audit = loaded(spark, folder)
-    return checks.all_validations(stg, warehouse, audit, p.EXPECTED_VOLUMES)
-
-
 @query
 def v01_staging_volume(spark, folder):
-    return validations(spark, folder)["V01"]
+    return checks.volumes(loaded(spark, folder)[2], p.EXPECTED_VOLUMES)
 
 
 @query
 def v02_table_counts(spark, folder):
-    return validations(spark, folder)["V02"]
+    return checks.table_counts(loaded(spark, folder)[1])
 
 
 @query
 def v03_reconciliation(spark, folder):
-    return validations(spark, folder)["V03"]
+    stg, warehouse, _ = loaded(spark, folder)
+    return checks.reconciliation(stg, warehouse)
 
 
 @query
 def v04_coverage(spark, folder):
-    return validations(spark, folder)["V04"]
+    return checks.coverage(loaded(spark, folder)[1])
 
 
 @query
 def v05_gate(spark, folder):
-    return checks.gate(validations(spark, folder).values())
+    stg, warehouse, audit = loaded(spark, folder)
+    return checks.gate(
+        checks.all_validations(stg, warehouse, audit, p.EXPECTED_VOLUMES).values()
+    )
 
 
 @query
