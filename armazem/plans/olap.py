@@ -176,23 +176,30 @@ def o06(star: Star, anos: Iterable[int] = (2016, 2017, 2018)) -> DataFrame:
 def o07(star: Star) -> DataFrame:
     """The ten sellers with most revenue: rank, share and cumulative share.
 
-    There may be very many sellers, so nothing but the leaders goes through one task: the
-    total is a scalar subquery and the cumulative sum only needs rows ranked above or tied.
+    There may be very many sellers, so nothing but the leaders goes through one task. The
+    grand total travels as one more row that ranks before all sellers, which saves a second
+    pass over the facts; a cumulative sum only needs the rows ranked above or tied.
     """
-    rows = star.pair_sales("sk_vendedor", ())
-    everything = sold_by(star).agg(F.sum("faturamento").alias("all")).scalar()
-    by_revenue = W.orderBy(desc("faturamento"))
-    leaders = (
-        rows.groupBy("sk_vendedor")
+    sellers = (
+        star.pair_sales("sk_vendedor", ())
+        .groupBy("sk_vendedor")
         .agg(
             F.sum("valor_item").alias("faturamento"),
             F.count("*").alias("pedidos"),
             F.sum("itens").alias("itens"),
         )
-        .withColumn("posicao", F.rank().over(by_revenue))
-        .where(F.col("posicao") <= TOP)
-        .withColumn("acumulado", F.sum("faturamento").over(by_revenue))
-        .withColumn("all", everything)
+    )
+    is_total = F.col(total_flag("sk_vendedor")) == 1
+    by_revenue = W.orderBy(F.col(total_flag("sk_vendedor")).desc(), desc("faturamento"))
+    revenue_of_seller = F.when(~is_total, F.col("faturamento"))
+    leaders = (
+        added_up(sellers, rollup_sets("sk_vendedor"), ("faturamento", "pedidos", "itens"))
+        .withColumn("place", F.rank().over(by_revenue))
+        .where(F.col("place") <= TOP + 1)
+        .withColumn("all", F.max(F.when(is_total, F.col("faturamento"))).over(W.partitionBy()))
+        .withColumn("acumulado", F.sum(revenue_of_seller).over(by_revenue))
+        .where(~is_total)
+        .withColumn("posicao", F.col("place") - 1)
         .join(star.dim("vendedor", "sk_vendedor", "seller_id", "cidade", "estado"), "sk_vendedor")
     )
     revenue, orders, ticket = _sales()
