@@ -9,7 +9,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 import oracles as p
-from armazem.functions import dates, numbers, text
+from armazem.functions import numbers, text
 from armazem.operators import grouping, keys, modes, pick, ranking
 from armazem.plans import checks, dims, facts, feeds, kpis, load, olap
 from armazem.plans.star import SourceStar, Star, StoredStar
@@ -40,7 +40,7 @@ def query(build: Query) -> Query:
     return build
 
 
-# --- reports, feeds and headline figures, straight from the provided tables ---------------------
+# --- reports, feeds and headline figures, straight from the provided tables ------------------
 
 
 def star(spark: SparkSession, folder: str) -> SourceStar:
@@ -72,7 +72,7 @@ def k01_kpis(spark, folder):
     return kpis.kpis(star(spark, folder))
 
 
-# --- dimensions ------------------------------------------------------------------------------------
+# --- dimensions ------------------------------------------------------------------------------
 
 
 def dimension(spark: SparkSession, folder: str, name: str) -> DataFrame:
@@ -131,7 +131,7 @@ def d09_region_lookup(spark, folder):
     return source.states.join(per_state, "uf", "left")
 
 
-# --- facts --------------------------------------------------------------------------------------------
+# --- facts -----------------------------------------------------------------------------------
 
 
 def _dimensions(source: Source) -> dict[str, DataFrame]:
@@ -192,7 +192,7 @@ def f07_delivery_measures(spark, folder):
     ))
 
 
-# --- loaded warehouse: validations ---------------------------------------------------------------------
+# --- loaded warehouse: validations -----------------------------------------------------------
 
 _loads: dict[tuple[str, str], str] = {}
 _load_lock = threading.Lock()
@@ -263,7 +263,7 @@ def v06_constraints(spark, folder):
     return checks.constraints(loaded(spark, folder)[1])
 
 
-# --- sources and sinks -------------------------------------------------------------------------------------
+# --- sources and sinks -----------------------------------------------------------------------
 
 
 def _scratch(spark: SparkSession, folder: str, name: str) -> str:
@@ -332,7 +332,7 @@ def s09_export(spark, folder):
     return spark.read.option("header", True).csv(path)
 
 
-# --- text and numbers ------------------------------------------------------------------------------------------
+# --- text and numbers ------------------------------------------------------------------------
 
 
 @query
@@ -376,7 +376,7 @@ def x20_rounding_cast(spark, folder):
     )
 
 
-# --- aggregation, join and window operators ------------------------------------------------------------------------
+# --- aggregation, join and window operators --------------------------------------------------
 
 
 @query
