@@ -95,7 +95,7 @@ ORACLE_SQL = {
     """,
     "op10_substring_dedup": """
         WITH d AS (
-            SELECT doc_id, list_filter(string_split_regex(coalesce(text, ''), '[\\x20\\x09-\\x0D]+'), x -> x <> '') AS ws FROM documents),
+            SELECT doc_id, list_filter(string_split_regex(coalesce(text, ''), '[\\x20\\x09-\\x0D]+'), lambda x: x <> '') AS ws FROM documents),
         s AS (SELECT doc_id, unnest(range(1, greatest(len(ws) - 12, 0) + 1)) AS i, ws FROM d),
         g AS (SELECT doc_id, i, list_slice(ws, i, i + 12) AS gram FROM s),
         r AS (SELECT doc_id, i, min(doc_id) OVER (PARTITION BY gram) AS least FROM g),
@@ -104,8 +104,8 @@ ORACLE_SQL = {
         kept AS (
             SELECT doc_id, string_agg(word, ' ' ORDER BY pos) AS body, count(*) AS n
             FROM each ANTI JOIN gone USING (doc_id, pos) GROUP BY doc_id),
-        flags AS (SELECT doc_id, pos, pos NOT IN (SELECT x.pos - 1 FROM gone x WHERE x.doc_id = gone.doc_id) AS opens FROM gone),
-        edges AS (SELECT doc_id, 2 * count(*) FILTER (opens) AS n_edges FROM flags GROUP BY doc_id)
+        inner_words AS (SELECT doc_id, pos + 1 AS pos FROM gone),
+        edges AS (SELECT doc_id, 2 * count(*) AS n_edges FROM gone ANTI JOIN inner_words USING (doc_id, pos) GROUP BY doc_id)
         SELECT d.doc_id, len(ws)::BIGINT AS n_words, len(ws)::BIGINT - coalesce(n, 0) AS n_removed,
                sha256(coalesce(body, '')) AS kept_sha256, coalesce(n_edges, 0)::INTEGER AS n_edges
         FROM d LEFT JOIN kept USING (doc_id) LEFT JOIN edges USING (doc_id)
