@@ -1,11 +1,11 @@
 """Toxicity by weak supervision.
 
 Voters are lexicon entries (words) and patterns (beginnings of words), taken from the labelled
-rows: those met in clearly more toxic rows than clean ones. A generative label model with a
-latent class per row estimates each voter's hit and false-hit rate by expectation maximisation,
-and the correlations that remain between voters given the class; a voter's say is divided by the
-number of voters it moves with. A logistic regression over the entries found in a text is then
-trained on the posterior labels and scores every text.
+rows: those met in clearly more toxic rows than clean ones; the given label is one voter more.
+A generative label model with a latent class per row estimates each voter's hit and false-hit
+rate by expectation maximisation, and the correlations that remain between voters given the
+class; a voter's say is divided by the number of voters it moves with. A logistic regression
+over the entries found in a text is then trained on the posterior labels and scores every text.
 
 Fitting uses a sample of labelled rows of bounded size (`fit_rows`); scoring reads all rows and
 whole texts. Words are runs of letters and digits, A-Z lower-cased; other columns are not used.
@@ -25,6 +25,7 @@ from armazem.llm import words
 from armazem.llm.runtime import batch, byte_offsets, crc, run_folder, ship, slices, texts, written
 
 PREFIXES = (4, 5, 6)
+LABELS_AT_LEAST = 0.9  # least accuracy granted to given labels
 _SLICE = 4 << 20
 _SALTS = [np.uint64(0x5851F42D4C957F2D * (k + 1) % (1 << 64)) for k in range(len(PREFIXES) + 1)]
 
@@ -109,26 +110,31 @@ def entry_counts(rows: DataFrame, toxic: int, least: int, among: np.ndarray | No
         F.sum("n").alias("n")).where(F.col("n") >= least)
 
 
-def label_model(votes: np.ndarray, start: np.ndarray, rounds: int = 30) -> np.ndarray:
+def label_model(votes: np.ndarray, labels: np.ndarray, rounds: int = 30) -> np.ndarray:
     """Posterior of the latent class of each row from its votes (rows x voters, 0 or 1).
 
-    start: a first guess. Hit rates, false-hit rates and the prior are re-estimated in turn;
-    after a few rounds correlations of the voters within the classes are, too, and each
-    voter's log-odds are divided by the voters it moves with.
+    A voter speaks where its entry is found and abstains elsewhere; one more voter speaks where
+    nothing is found. The given labels are a voter too, of an accuracy that is estimated and at
+    least LABELS_AT_LEAST. Hit rates, false-hit rates, accuracies and the prior are re-estimated
+    in turn; every few rounds the correlations of the voters within the classes are, too, and
+    each voter's log-odds are divided by the voters it moves with.
     """
-    post, share = start.astype(float), np.ones(votes.shape[1])
-    v = votes.astype(np.float64)
+    v = np.concatenate([votes, votes.sum(1, keepdims=True) == 0], axis=1).astype(np.float64)
+    post, share = 0.02 + 0.96 * labels, np.ones(v.shape[1])
     for turn in range(rounds):
-        up, down = post.sum() + 1e-9, (1 - post).sum() + 1e-9
+        up, down = post.sum(), (1 - post).sum()
         hit = np.clip((post @ v + 0.1) / (up + 1), 1e-4, 1 - 1e-4)
         false = np.clip(((1 - post) @ v + 0.1) / (down + 1), 1e-5, 1 - 1e-4)
-        if turn % 5 == 4:
+        right = [np.clip(x, LABELS_AT_LEAST, 0.999) for x in (post @ labels / up, (1 - post) @ (1 - labels) / down)]
+        if turn % 5 == 0:  # from the start: else copies of one voter become the class
             rest = v - (post[:, None] * hit + (1 - post)[:, None] * false)
             spread = np.sqrt((rest ** 2).mean(0)) + 1e-9
             moves = np.abs(rest.T @ rest / len(v) / np.outer(spread, spread))
             np.fill_diagonal(moves, 0)
+            moves[-1] = 0  # silence is the voters' absence, not a copy of one
             share = 1 / (1 + np.where(moves > 0.3, moves, 0).sum(1))
-        odds = np.log(up / down) + v @ (share * np.log(hit / false)) + (1 - v) @ (share * np.log((1 - hit) / (1 - false)))
+        told = np.where(labels == 1, np.log(right[0] / (1 - right[1])), np.log((1 - right[0]) / right[1]))
+        odds = np.log(up / down) + v @ (share * np.log(hit / false)) + told
         new = 1 / (1 + np.exp(-np.clip(odds, -30, 30)))
         if np.abs(new - post).max() < 1e-4 and turn > 5:
             break
@@ -152,7 +158,7 @@ def regression(row: np.ndarray, entry: np.ndarray, n: int, size: int, target: np
 
 
 def fit(docs: DataFrame, labels: DataFrame, folds: int = 5, fit_rows: int = 20_000, lexicon_size: int = 2048,
-        voters: int = 96, least: int = 5) -> Model:
+        voters: int = 256, least: int = 5) -> Model:
     """Fit on labelled rows outside the held-out fold; docs: doc_id and text.
 
     Without labelled toxic rows, or without any entry that tells them apart, every score is the
@@ -176,7 +182,7 @@ def fit(docs: DataFrame, labels: DataFrame, folds: int = 5, fit_rows: int = 20_0
     odds = np.log((a + 0.5) / (yes - a + 0.5)) - np.log((b + 0.5) / (no - b + 0.5))
     z = odds / np.sqrt(1 / (a + 0.5) + 1 / (b + 0.5))
     best = np.lexsort((names, -z))
-    best = best[(odds[best] > 1) & (z[best] > 3)][:lexicon_size]
+    best = best[(odds[best] > 2) & (z[best] > 3.5)][:lexicon_size]
     if not len(best):
         return none
     lexicon = Lexicon(names[best])
@@ -190,20 +196,18 @@ def fit(docs: DataFrame, labels: DataFrame, folds: int = 5, fit_rows: int = 20_0
             lists = pa.ListArray.from_arrays(pa.array(edges, pa.int32()), pa.array(entry, pa.int32()))
             yield batch(schema, [b.column("toxic"), lists])
 
-    seen = rows.mapInArrow(run, "toxic int, found array<int>").select("found").collect()
-    seen = sorted(tuple(r.found) for r in seen)  # the order of rows must not matter
-    row = np.repeat(np.arange(len(seen)), [len(s) for s in seen])
-    entry = np.array([e for s in seen for e in s], np.int64)
+    seen = rows.mapInArrow(run, "toxic int, found array<int>").collect()  # at most fit_rows short lists
+    seen = sorted((r.toxic, tuple(r.found)) for r in seen)  # the order of rows must not matter
+    row = np.repeat(np.arange(len(seen)), [len(s) for _, s in seen])
+    entry = np.array([e for _, s in seen for e in s], np.int64)
+    n = min(voters, len(best))
     chosen = np.full(len(best), -1)
-    chosen[place[:voters]] = np.arange(min(voters, len(best)))
-    votes = np.zeros((len(seen), min(voters, len(best))), np.uint8)
+    chosen[place[:n]] = np.arange(n)
+    votes = np.zeros((len(seen), n), np.uint8)
     mine = chosen[entry] >= 0
     votes[row[mine], chosen[entry[mine]]] = 1
-    rank_weight = np.zeros(len(best))
-    rank_weight[place] = odds[best]
-    start = 1 / (1 + np.exp(-(np.bincount(row[mine], rank_weight[entry[mine]], len(seen)) - 3)))
-    posterior = label_model(votes, start)
-    weights, bias = regression(row, entry, len(seen), len(best), posterior, 1e-5)
+    posterior = label_model(votes, np.array([t for t, _ in seen], float))
+    weights, bias = regression(row, entry, len(seen), len(best), posterior, 1e-4)
     return Model(lexicon, weights, bias)
 
 
