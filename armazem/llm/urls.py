@@ -122,7 +122,8 @@ class MarkovPair:
 
 
 def threshold(scored: DataFrame) -> float:
-    """Score at which the shares of wrongly judged accepted and rejected rows sum to the least.
+    """Score at which the shares of wrongly judged accepted and rejected rows sum to the least, in
+    the middle of the empty bins below it.
 
     scored: accepted, score. Works on a histogram of at most 1001 bins; 0 where a class is missing.
     """
@@ -133,12 +134,12 @@ def threshold(scored: DataFrame) -> float:
     yes, no = sum(r.yes for r in found), sum(r.no for r in found)
     if not yes or not no:
         return 0.0
-    best, at, below_yes, below_no = 1.0, found[0].bin, 0, 0
+    best, at, below, below_yes, below_no = 1.0, float(found[0].bin), found[0].bin, 0, 0
     for r in found:
         error = below_yes / yes + (no - below_no) / no
         if error < best:
-            best, at = error, r.bin
-        below_yes, below_no = below_yes + r.yes, below_no + r.no
+            best, at = error, (below + r.bin) / 2
+        below, below_yes, below_no = r.bin + 1, below_yes + r.yes, below_no + r.no
     return float(at * _STEP - _REACH)
 
 
