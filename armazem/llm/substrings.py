@@ -88,10 +88,11 @@ def ids_of(rows: pa.RecordBatch) -> np.ndarray:
     return rows.column("doc_id").fill_null(_LEAST).to_numpy(zero_copy_only=False)
 
 
-def repeats(docs: DataFrame, window: int = 13, most: int = 2_000_000) -> DataFrame:
-    """(doc_id, tkey, places binary): windows whose words also start in a smaller doc_id.
+def repeats(docs: DataFrame, window: int = 13, most: int = 2_000_000) -> tuple[DataFrame, int]:
+    """Windows whose words also start in a smaller doc_id, as marked() packs them, and the number
+    of buckets of documents.
 
-    docs: as keyed() gives them. places: int32 word numbers, packed by narrow().
+    docs: as keyed() gives them.
     """
     spark = docs.sparkSession
     ship(spark)
@@ -134,8 +135,6 @@ def repeats(docs: DataFrame, window: int = 13, most: int = 2_000_000) -> DataFra
             for s in range(0, len(out), 64):
                 yield batch(packed, zip(*out[s:s + 64]))
 
-    marks = pa.schema([("doc_id", pa.int64()), ("tkey", pa.int64()), ("places", pa.binary())])
-
     def nodes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held, now = [], None
         for rows in batches:
@@ -161,21 +160,35 @@ def repeats(docs: DataFrame, window: int = 13, most: int = 2_000_000) -> DataFra
         repeated = np.zeros(len(label), bool)
         repeated[order] = ids[row[order]] > np.repeat(least, np.diff(np.append(new, len(label))))
         some = np.flatnonzero(repeated)
-        if not len(some):
-            return
-        edges = np.flatnonzero(np.diff(row[some], prepend=-1))
-        out = [(int(ids[row[some[s]]]), int(keys[row[some[s]]]), narrow(place[some[s:e]]))
-               for s, e in zip(edges.tolist(), [*edges[1:].tolist(), len(some)])]
-        for s in range(0, len(out), 10_000):
-            yield batch(marks, zip(*out[s:s + 10_000]))
+        if len(some):
+            yield from marked(ids[row[some]], keys[row[some]], place[some], groups)
 
     dealt = docs.mapInArrow(pack, "part int, label binary, place binary, n binary, ids binary, keys binary").repartition(
         groups, "part").sortWithinPartitions("part")
-    found = dealt.mapInArrow(nodes, "doc_id long, tkey long, places binary")
-    return found.unionByName(hot_repeats(docs, window, grouped)) if hot_any else found
+    found = dealt.mapInArrow(nodes, MARKS_DDL)
+    return (found.unionByName(hot_repeats(docs, window, grouped, groups)) if hot_any else found), groups
+
+
+MARKS = pa.schema([("bucket", pa.int32()), ("ids", pa.binary()), ("keys", pa.binary()), ("places", pa.binary())])
+MARKS_DDL = "bucket int, ids binary, keys binary, places binary"
+
+
+def buckets_of(ids: np.ndarray, keys: np.ndarray, buckets: int) -> np.ndarray:
+    return (words.mixed(ids.view(np.uint64) * np.uint64(31) ^ keys.view(np.uint64)) % np.uint64(buckets)).astype(np.int32)
 
 
-def hot_repeats(docs: DataFrame, window: int, grouped) -> DataFrame:
+def marked(ids: np.ndarray, keys: np.ndarray, places: np.ndarray, buckets: int) -> Iterator[pa.RecordBatch]:
+    """Marks (document, its text's hash, word number) by bucket of documents: one packed row a
+    bucket, however many documents and marks it has."""
+    bucket = buckets_of(ids, keys, buckets)
+    order = np.argsort(bucket, kind="stable")
+    edges = np.flatnonzero(np.diff(bucket[order], prepend=-1))
+    for s, e in zip(edges.tolist(), [*edges[1:].tolist(), len(order)]):
+        own = order[s:e]
+        yield batch(MARKS, [[int(bucket[own[0]])], [narrow(ids[own])], [narrow(keys[own])], [narrow(places[own].astype(np.uint32))]])
+
+
+def hot_repeats(docs: DataFrame, window: int, grouped, buckets: int) -> DataFrame:
     """The same for nodes met too often for one group: smallest document by aggregation."""
     single = pa.schema([("label", pa.int64()), ("doc_id", pa.int64()), ("tkey", pa.int64()), ("place", pa.int32())])
 
@@ -191,15 +204,13 @@ def hot_repeats(docs: DataFrame, window: int, grouped) -> DataFrame:
 
     rows = written(docs.mapInArrow(run, "label long, doc_id long, tkey long, place int"), run_folder(docs.sparkSession, "substrings"))
     least = rows.groupBy("label").agg(F.min("doc_id").alias("least"))
-    marks = pa.schema([("doc_id", pa.int64()), ("tkey", pa.int64()), ("places", pa.binary())])
 
     def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            place = b.column("place").to_numpy(zero_copy_only=False).astype(np.uint32)
-            yield batch(marks, [b.column("doc_id"), b.column("tkey"), [narrow(place[i:i + 1]) for i in range(len(place))]])
+            if b.num_rows:
+                yield from marked(*(b.column(c).to_numpy(zero_copy_only=False) for c in ("doc_id", "tkey", "place")), buckets)
 
-    return rows.join(least, "label").where("doc_id > least").select("doc_id", "tkey", "place").distinct().mapInArrow(
-        pack, "doc_id long, tkey long, places binary")
+    return rows.join(least, "label").where("doc_id > least").select("doc_id", "tkey", "place").distinct().mapInArrow(pack, MARKS_DDL)
 
 
 def cleaned(docs: DataFrame, window: int = 13, most: int = 2_000_000,
@@ -216,20 +227,21 @@ def cleaned(docs: DataFrame, window: int = 13, most: int = 2_000_000,
     spark = docs.sparkSession
     ship(spark)
     rows = keyed(docs, id_col, text_col)
-    found = written(repeats(rows, window, most), run_folder(spark, "substrings"))
-    plain = pa.schema([("doc_id", pa.int64()), ("tkey", pa.int64()), ("body", pa.binary())])
+    found, buckets = repeats(rows, window, most)
+    found = written(found, run_folder(spark, "substrings"))
+    plain = pa.schema([("bucket", pa.int32()), ("doc_id", pa.int64()), ("tkey", pa.int64()), ("body", pa.binary())])
 
     def shrink(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         import zstandard
 
+        pack = zstandard.ZstdCompressor(3).compress
         for b in slices(batches, "text", _SLICE):
-            pack = zstandard.ZstdCompressor(3).compress
-            yield batch(plain, [ids_of(b), b.column("tkey"), [pack(x.as_py().encode()) for x in b.column("text")]])
+            ids, keys = ids_of(b), b.column("tkey").to_numpy(zero_copy_only=False)
+            yield batch(plain, [buckets_of(ids, keys, buckets), ids, keys, [pack(x.as_py().encode()) for x in b.column("text")]])
 
-    none = F.lit(None).cast("binary")
-    bodies = rows.mapInArrow(shrink, "doc_id long, tkey long, body binary").select("doc_id", "tkey", none.alias("places"), "body")
-    both = found.select("doc_id", "tkey", "places", none.alias("body")).unionByName(bodies)
-    both = both.repartition(parts(spark), "doc_id", "tkey").sortWithinPartitions("doc_id", "tkey", F.col("body").isNotNull())
+    bodies = rows.mapInArrow(shrink, "bucket int, doc_id long, tkey long, body binary")
+    both = found.unionByName(bodies, allowMissingColumns=True).repartition(buckets, "bucket").sortWithinPartitions(
+        "bucket", F.col("body").isNotNull())
     result = pa.schema([("doc_id", pa.int64()), ("n_words", pa.int64()), ("n_removed", pa.int64()), ("text", pa.string()),
                         ("spans", pa.list_(pa.int32()))])
 
@@ -237,16 +249,20 @@ def cleaned(docs: DataFrame, window: int = 13, most: int = 2_000_000,
         import zstandard
 
         unpack = zstandard.ZstdDecompressor().decompress
-        now, places, out, size = None, [], [], 0
+        now, held, places, out, size = None, [], None, [], 0
         for b in batches:
             for r in b.to_pylist():
-                if (r["doc_id"], r["tkey"]) != now:
-                    now, places = (r["doc_id"], r["tkey"]), []
-                if r["places"] is not None:
-                    places.append(widen(r["places"], np.uint32))
+                if r["bucket"] != now:
+                    now, held, places = r["bucket"], [], None
+                if r["body"] is None:
+                    held.append((widen(r["ids"], np.int64), widen(r["keys"], np.int64), widen(r["places"], np.uint32)))
                     continue
+                if places is None:
+                    places = by_document(held)
+                    held = []
                 text = unpack(r["body"])
-                out.append((None if r["doc_id"] == _LEAST else r["doc_id"], *without(text, places, window)))
+                marks = places.get((r["doc_id"], r["tkey"]))
+                out.append((None if r["doc_id"] == _LEAST else r["doc_id"], *without(text, marks, window)))
                 size += len(text)
                 if size > _SLICE:
                     yield batch(result, zip(*out))
@@ -257,13 +273,24 @@ def cleaned(docs: DataFrame, window: int = 13, most: int = 2_000_000,
     return both.mapInArrow(remove, "doc_id long, n_words long, n_removed long, text string, spans array<int>")
 
 
-def without(text: bytes, places: list[np.ndarray], window: int) -> tuple[int, int, str, list[int]]:
-    if not places:
+def by_document(held: list) -> dict[tuple[int, int], np.ndarray]:
+    """Word numbers of each marked document of a bucket."""
+    if not held:
+        return {}
+    ids, keys, places = (np.concatenate(x) for x in zip(*held))
+    order = np.lexsort((keys, ids))
+    ids, keys, places = ids[order], keys[order], places[order]
+    edges = np.flatnonzero(np.concatenate([[True], (ids[1:] != ids[:-1]) | (keys[1:] != keys[:-1])]))
+    return {(int(ids[s]), int(keys[s])): places[s:e] for s, e in zip(edges.tolist(), [*edges[1:].tolist(), len(ids)])}
+
+
+def without(text: bytes, places: np.ndarray | None, window: int) -> tuple[int, int, str, list[int]]:
+    if places is None:
         kept = text.split()  # bytes split at exactly the six blanks
         return len(kept), 0, b" ".join(kept).decode(), []
     w = words.words(np.array([0, len(text)]), np.frombuffer(text, np.uint8))
     change = np.zeros(len(w) + 1, np.int64)
-    begin = np.unique(np.concatenate(places)).astype(np.int64)
+    begin = np.unique(places).astype(np.int64)
     change[begin] += 1
     np.subtract.at(change, begin + window, 1)
     gone = np.cumsum(change[:-1]) > 0
