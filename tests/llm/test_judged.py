@@ -312,7 +312,7 @@ def test_label_model_with_copied_voters():
     """Six copies of one weak voter must not outvote the labels and five good voters."""
     chance = np.random.default_rng(1)
     truth = chance.random(4000) < 0.2
-    good = [chance.random(4000) < np.where(truth, 0.6, 0.01) for _ in range(5)]
+    good = [chance.random(4000) < np.where(truth, 0.6, 0.001) for _ in range(5)]
     weak = chance.random(4000) < np.where(truth, 0.3, 0.2)
     labels = np.where(truth & (chance.random(4000) < 0.05), False, truth)
     votes = np.stack([*good, *[weak] * 6], axis=1).astype(np.uint8)
