@@ -1,6 +1,7 @@
 """Reading the raw CSV files as text tables."""
 
 from collections.abc import Iterable
+from functools import reduce
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
@@ -25,9 +26,24 @@ def raw_path(raw_dir: str, table: str) -> str:
     return f"{raw_dir.rstrip('/')}/*{RAW_TABLES[table].file_ending}"
 
 
+_CSV = {"header": True, "encoding": "UTF-8", "quote": '"', "escape": '"'}
+
+
 def header(spark: SparkSession, path: str) -> list[str]:
     """Column names of a raw file, as written in its first line."""
-    return spark.read.option("header", True).csv(path).columns
+    return spark.read.options(**_CSV).csv(path).columns
+
+
+def headers(spark: SparkSession, path: str) -> dict[tuple[str, ...], list[str]]:
+    """The files behind a path or glob, by their header. One first line per file is read."""
+    files = sorted(spark.read.text(path).inputFiles())
+    found: dict[tuple[str, ...], list[str]] = {}
+    for file in files:
+        found.setdefault(tuple(header(spark, file)), []).append(file)
+    # a part without any line, as a writer leaves for an empty task, has no header to check
+    if len(found) > 1:
+        found.pop((), None)
+    return found
 
 
 def require_inputs(
@@ -56,27 +72,26 @@ def check_header(names: list[str], table: RawTable, path: str) -> None:
 def read_raw(spark: SparkSession, path: str, table: RawTable) -> DataFrame:
     """A raw table: every column text, empty fields NULL, quotes doubled inside quotes.
 
+    The header of every part file is checked; parts may have their columns in different orders.
+
     Files with free text may hold line breaks inside quotes and are read whole, one task
     per file, so large ones should arrive in parts. The other tables are split; FAILFAST
     stops on a row whose width is wrong instead of reading it as something else.
     """
-    filed = header(spark, path)
-    names = [c.strip() for c in filed]
-    check_header(names, table, path)
-    as_filed = T.StructType([T.StructField(c, T.StringType()) for c in names])
-    rows = (
-        spark.read.schema(as_filed)
-        .option("header", True)
-        .option("encoding", "UTF-8")
-        .option("quote", '"')
-        .option("escape", '"')
-        .option("multiLine", table.free_text)
-        .option("mode", "FAILFAST")
-        # compare the header of every part file with the first, unless it carries blanks
-        .option("enforceSchema", filed != names)
-        .csv(path)
-    )
-    return rows.select(*table.columns)
+    parts = []
+    for filed, files in headers(spark, path).items():
+        names = [c.strip() for c in filed]
+        check_header(names, table, files[0])
+        as_filed = T.StructType([T.StructField(c, T.StringType()) for c in names])
+        rows = (
+            spark.read.schema(as_filed)
+            .options(**_CSV)
+            .option("multiLine", table.free_text)
+            .option("mode", "FAILFAST")
+            .csv(files)
+        )
+        parts.append(rows.select(*table.columns))
+    return reduce(DataFrame.unionByName, parts)
 
 
 def read_all(spark: SparkSession, raw_dir: str) -> dict[str, DataFrame]:
