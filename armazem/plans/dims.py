@@ -290,8 +290,8 @@ def geography(stg: Tables, states: DataFrame) -> DataFrame:
 # --- surrogate keys -----------------------------------------------------------------------------------
 
 
-def keyed(name: str, rows: DataFrame) -> DataFrame:
-    """Add the surrogate key of a dimension to its natural rows."""
+def keyed(name: str, rows: DataFrame, through: str | None = None) -> DataFrame:
+    """Add the surrogate key of a dimension to its natural rows; see ``with_dense_key``."""
     if name == "dim_tempo":
         return rows
     if name == "dim_status":
@@ -302,7 +302,7 @@ def keyed(name: str, rows: DataFrame) -> DataFrame:
         )
         return _unknown_payment(rows.sparkSession).unionByName(numbered)
     natural, key = DENSE_KEYS[name]
-    return with_dense_key(rows, natural, key)
+    return with_dense_key(rows, natural, key, through)
 
 
 DENSE_KEYS = {
@@ -314,9 +314,9 @@ DENSE_KEYS = {
 
 
 def dimension(
-    name: str, stg: Tables, states: DataFrame, recurring_above: int = 1
+    name: str, stg: Tables, states: DataFrame, recurring_above: int = 1, through: str | None = None
 ) -> DataFrame:
-    """A dimension with its surrogate key."""
+    """A dimension with its surrogate key; ``through``: where its natural rows are written."""
     natural = {
         "dim_tempo": lambda: calendar(stg),
         "dim_cliente": lambda: customers(stg, states, recurring_above),
@@ -326,4 +326,4 @@ def dimension(
         "dim_pagamento": lambda: payments(stg),
         "dim_status": lambda: statuses(stg),
     }
-    return keyed(name, natural[name]())
+    return keyed(name, natural[name](), through)
