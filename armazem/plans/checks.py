@@ -322,6 +322,7 @@ def all_validations(
         "V02": table_counts(warehouse),
         "V03": reconciliation(stg, warehouse),
         "V04": coverage(warehouse),
+        "V06": constraints(warehouse),
     }
 
 

@@ -8,8 +8,9 @@ from pyspark.sql import functions as F
 
 from armazem import vocabulary as v
 from armazem.operators.ranking import asc, desc
+from armazem.plans.olap import region_column
 
-MIN_ORDERS_PER_MONTH = 100
+MIN_ORDERS_PER_MONTH = 100  # default of the feeds by month
 
 
 def _peak(measure: str, position: str) -> Column:
@@ -18,10 +19,8 @@ def _peak(measure: str, position: str) -> Column:
     return (best == 1).alias("pico")
 
 
-def monthly_revenue(o01: DataFrame) -> DataFrame:
-    months = o01.where(
-        (F.col("nivel") == v.LEVELS[-1]) & (F.col("pedidos") >= MIN_ORDERS_PER_MONTH)
-    )
+def monthly_revenue(o01: DataFrame, min_pedidos: int = MIN_ORDERS_PER_MONTH) -> DataFrame:
+    months = o01.where((F.col("nivel") == v.LEVELS[-1]) & (F.col("pedidos") >= min_pedidos))
     return months.select(
         "ano_mes", "faturamento", "pedidos", _peak("faturamento", "ano_mes")
     ).orderBy("ano_mes")
@@ -99,19 +98,20 @@ def recurring_by_region(o13: DataFrame) -> DataFrame:
     )
 
 
-def monthly_cancellation(o14: DataFrame) -> DataFrame:
-    months = o14.where(F.col("pedidos") >= MIN_ORDERS_PER_MONTH)
+def monthly_cancellation(o14: DataFrame, min_pedidos: int = MIN_ORDERS_PER_MONTH) -> DataFrame:
+    months = o14.where(F.col("pedidos") >= min_pedidos)
     return months.select(
         "ano_mes", "taxa_cancelamento_pct", _peak("taxa_cancelamento_pct", "ano_mes")
     ).orderBy("ano_mes")
 
 
-def lead_cells(o16: DataFrame) -> DataFrame:
-    """One row per cell of the matrix; empty cells stay and are labelled."""
-    targets = [c for c in o16.columns if c.startswith("para_")]
-    cells = o16.where(F.col("regiao_vendedor") != v.ALL_REGIONS).unpivot(
-        ["regiao_vendedor"], targets, "destino", "prazo_dias"
+def lead_cells(o16: DataFrame, regioes: Sequence[str] = v.REGIONS) -> DataFrame:
+    """One row per cell of the matrix, under the names of the regions; empty cells stay and are
+    labelled."""
+    named = o16.where(F.col("regiao_vendedor") != v.ALL_REGIONS).select(
+        "regiao_vendedor", *[F.col(region_column(r)).alias(r) for r in regioes]
     )
+    cells = named.unpivot(["regiao_vendedor"], list(regioes), "destino", "prazo_dias")
     return cells.select(
         "regiao_vendedor", "destino", "prazo_dias",
         F.coalesce(F.col("prazo_dias").cast("string"), F.lit("n/d")).alias("rotulo"),

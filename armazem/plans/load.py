@@ -1,16 +1,17 @@
 """The full load: raw files -> staging tables -> dimensions -> facts, and the whole pipeline."""
 
+import uuid
 from collections.abc import Callable, Iterable, Mapping
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
-from datetime import datetime, timezone
 
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.errors import AnalysisException
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from armazem import vocabulary as v
 from armazem.plans import checks, dims, facts, olap
-from armazem.plans.star import StoredStar
+from armazem.plans.star import YEAR_FOLDER, StoredStar
 from armazem.sources import rawfiles, sinks
 from armazem.sources.catalog import RAW_TABLES
 from armazem.sources.lazy import LazyTables
@@ -22,9 +23,10 @@ DIMENSIONS = (
 )
 FACTS = ("fato_pedido", "fato_vendas")
 AUDIT = "controle_carga"
-_AUDIT_SCHEMA = (
-    "id_carga int, arquivo string, tabela_destino string, registros_lidos bigint,"
-    " registros_carregados bigint, inicio_carga timestamp, fim_carga timestamp, situacao string"
+VERSIONS, POINTER = "versoes", "atual"
+_EVENT_SCHEMA = (
+    "versao string, id_carga int, arquivo string, tabela_destino string, registros_lidos bigint,"
+    " registros_carregados bigint, situacao string"
 )
 # Jobs of independent tables are submitted together so that small ones fill idle cores.
 _PARALLEL_WRITES = 8
@@ -36,69 +38,144 @@ def _together(work: Callable, names: Iterable[str]) -> dict:
         return dict(zip(names, pool.map(work, names)))
 
 
+class Audit:
+    """What happened to each raw table, as events that are appended while a load runs.
+
+    Nothing written is changed: a load that breaks off leaves the events up to that point, and
+    an earlier load's events never stand for a later one. Times are those of the event's job.
+    """
+
+    def __init__(self, spark: SparkSession, folder: str, version: str = ""):
+        self.spark, self.path, self.version = spark, f"{folder}/{AUDIT}", version
+
+    def note(self, number: int, name: str, situation: str, read: int | None = None, loaded: int | None = None) -> None:
+        row = (self.version, number, RAW_TABLES[name].file_ending, name, read, loaded, situation)
+        event = literal_rows(self.spark, [row], _EVENT_SCHEMA).withColumn("momento", F.current_timestamp())
+        # A folder for each event: tables are loaded side by side, and writers of one folder meet.
+        event.write.mode("error").parquet(f"{self.path}/{self.version}/{number}-{uuid.uuid4().hex[:8]}")
+
+    def events(self) -> DataFrame:
+        files = self.spark.read.schema(f"{_EVENT_SCHEMA}, momento timestamp").option("recursiveFileLookup", True)
+        return files.parquet(self.path)
+
+    def report(self) -> DataFrame:
+        """One row per table of the load of this version: the outcome, or that there is none yet."""
+        own = self.events().where(F.col("versao") == self.version)
+        over = F.col("situacao") != v.LOAD_RUNNING
+
+        def outcome(name: str) -> Column:
+            return F.max(F.when(over, F.col(name))).alias(name)
+
+        return own.groupBy("id_carga", "arquivo", "tabela_destino").agg(
+            outcome("registros_lidos"), outcome("registros_carregados"),
+            F.min("momento").alias("inicio_carga"), F.max(F.when(over, F.col("momento"))).alias("fim_carga"),
+            F.coalesce(F.max(F.when(over, F.col("situacao"))), F.lit(v.LOAD_RUNNING)).alias("situacao"),
+        ).orderBy("id_carga")
+
+
 def stage(
-    spark: SparkSession, raw: Mapping[str, DataFrame], folder: str
+    spark: SparkSession, raw: Mapping[str, DataFrame], folder: str, audit: Audit | None = None
 ) -> tuple[dict[str, DataFrame], DataFrame]:
-    """Write every raw table and the load audit.
+    """Write every raw table, and note in the audit when each begins and how it ends.
 
     Rows read are counted while they are written; rows loaded are counted on the written
     table, so a difference between the two would show.
     """
-
-    def one(name: str) -> tuple[DataFrame, tuple]:
-        started = datetime.now(timezone.utc)
-        seen = Observation(f"rows read {name}")
-        counted = raw[name].observe(seen, F.count(F.lit(1)).alias("read"))
-        stored = sinks.write_table(counted, f"{folder}/staging/{name}")
-        loaded = stored.count()
-        read = seen.get["read"]
+    audit = audit or Audit(spark, folder, uuid.uuid4().hex)
+    numbers = {name: i for i, name in enumerate(raw, 1)}
+
+    def one(name: str) -> DataFrame:
+        audit.note(numbers[name], name, v.LOAD_RUNNING)
+        try:
+            seen = Observation(f"rows read {name}")
+            counted = raw[name].observe(seen, F.count(F.lit(1)).alias("read"))
+            stored = sinks.write_table(counted, f"{folder}/staging/{name}")
+            loaded, read = stored.count(), seen.get["read"]
+        except Exception:
+            audit.note(numbers[name], name, v.LOAD_FAILED)
+            raise
         outcome = v.LOAD_DONE if read == loaded else v.LOAD_DIVERGED
-        return stored, (read, loaded, started, datetime.now(timezone.utc), outcome)
+        audit.note(numbers[name], name, outcome, read, loaded)
+        return stored
 
-    done = _together(one, raw)
-    rows = [
-        (i, RAW_TABLES[name].file_ending, name, *entry)
-        for i, (name, (_, entry)) in enumerate(done.items(), 1)
-    ]
-    audit = sinks.write_table(literal_rows(spark, rows, _AUDIT_SCHEMA), f"{folder}/{AUDIT}")
-    return {name: stored for name, (stored, _) in done.items()}, audit
+    return _together(one, raw), audit.report()
 
 
 def build(
     stg: Mapping[str, DataFrame], states: DataFrame, folder: str, recurring_above: int = 1
 ) -> dict[str, DataFrame]:
-    """Full reload of the dimensions, then of the order fact, then of the item fact.
-
-    Facts are sorted by purchase date inside each file, so a slice by date skips most row
-    groups of a large file, and no extra shuffle is paid for it.
-    """
+    """Full reload of the dimensions, then of the order fact, then of the item fact."""
     tables = _together(
         lambda name: sinks.write_table(
-            dims.dimension(name, stg, states, recurring_above), f"{folder}/{name}"
+            dims.dimension(name, stg, states, recurring_above, f"{folder}/naturais/{name}"),
+            f"{folder}/{name}",
         ),
         DIMENSIONS,
     )
     orders = facts.order_fact(stg, tables)
-    tables["fato_pedido"] = sinks.write_table(
-        orders.sortWithinPartitions("sk_tempo_compra"), f"{folder}/fato_pedido"
-    )
+    tables["fato_pedido"] = _write_fact(orders, "sk_tempo_compra", f"{folder}/fato_pedido")
     items = facts.item_fact(stg, tables, tables["fato_pedido"])
-    tables["fato_vendas"] = sinks.write_table(
-        items.sortWithinPartitions("sk_tempo"), f"{folder}/fato_vendas"
-    )
+    tables["fato_vendas"] = _write_fact(items, "sk_tempo", f"{folder}/fato_vendas")
     return tables
 
 
+def _write_fact(rows: DataFrame, day: str, path: str) -> DataFrame:
+    """One folder per year of purchase, sorted by day inside each file: a slice opens the
+    folders of its years and skips most row groups in them. The rebalance gathers a year in as
+    few files as their size asks for, and splits a large year."""
+    dated = rows.withColumn(YEAR_FOLDER, F.expr(f"{day} div 10000").cast("int"))
+    gathered = dated.hint("rebalance", YEAR_FOLDER).sortWithinPartitions(YEAR_FOLDER, day)
+    gathered.write.mode("overwrite").partitionBy(YEAR_FOLDER).parquet(path)
+    return rows.sparkSession.read.parquet(path)
+
+
 def _open(spark: SparkSession, folder: str, names: Iterable[str]) -> LazyTables:
     return LazyTables({n: lambda n=n: spark.read.parquet(f"{folder}/{n}") for n in names})
 
 
+def published(spark: SparkSession, folder: str) -> list[str]:
+    """Versions of a warehouse that were finished, oldest first."""
+    try:
+        found = spark.read.schema("versao string").option("recursiveFileLookup", True).parquet(f"{folder}/{POINTER}")
+    except AnalysisException as error:
+        if error.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return []
+    return sorted(r.versao for r in found.distinct().collect())
+
+
+def new_version(folder: str, before: Iterable[str] = ()) -> tuple[str, str]:
+    """Name and folder of a version after those before it."""
+    last = max((int(name.split("-")[0]) for name in before), default=0)
+    version = f"{last + 1:08d}-{uuid.uuid4().hex[:8]}"
+    return version, f"{folder}/{VERSIONS}/{version}"
+
+
+def publish(spark: SparkSession, folder: str, version: str) -> None:
+    """Make a version the one that readers open: one row is added, nothing is replaced."""
+    literal_rows(spark, [(version,)], "versao string").write.mode("error").parquet(f"{folder}/{POINTER}/{version}")
+
+
+def current(spark: SparkSession, folder: str) -> str:
+    """Folder of the version to read: the last one published, or the folder itself where tables
+    were built straight into it."""
+    done = published(spark, folder)
+    return f"{folder}/{VERSIONS}/{done[-1]}" if done else folder
+
+
 def open_warehouse(spark: SparkSession, folder: str) -> Mapping[str, DataFrame]:
-    return _open(spark, folder, DIMENSIONS + FACTS)
+    return _open(spark, current(spark, folder), DIMENSIONS + FACTS)
 
 
 def open_staging(spark: SparkSession, folder: str) -> Mapping[str, DataFrame]:
-    return _open(spark, f"{folder}/staging", RAW_TABLES)
+    return _open(spark, f"{current(spark, folder)}/staging", RAW_TABLES)
+
+
+def open_audit(spark: SparkSession, folder: str) -> DataFrame:
+    """The audit of the last load that began, finished or not."""
+    events = Audit(spark, folder).events()
+    last = events.groupBy("versao").agg(F.min("momento").alias("began")).orderBy(F.desc("began"), F.desc("versao")).first()
+    return Audit(spark, folder, last.versao if last else "").report()
 
 
 @dataclass(frozen=True)
@@ -107,6 +184,7 @@ class PipelineResult:
     audit: DataFrame
     validations: dict[str, DataFrame]
     failures: int
+    published: bool
 
     @property
     def exit_code(self) -> int:
@@ -121,18 +199,24 @@ def run_pipeline(
 ) -> PipelineResult:
     """Raw files in, warehouse, validations and one CSV per report out.
 
-    A failed validation does not stop the reports; it is counted and sets the exit code.
+    Every load builds a version of its own; readers see it once it is complete and breaks no
+    constraint, so a load that fails leaves the warehouse before it untouched. A failed
+    validation does not stop the reports; it is counted and sets the exit code.
     """
     raw = rawfiles.read_all(spark, raw_dir)
-    stg, audit = stage(spark, raw, folder)
-    warehouse = build(stg, dims.default_states(spark), folder)
+    version, own = new_version(folder, published(spark, folder))
+    stg, audit = stage(spark, raw, own, Audit(spark, folder, version))
+    warehouse = build(stg, dims.default_states(spark), own)
     validations = checks.all_validations(stg, warehouse, audit, expected)
     failures = checks.failures(validations)
+    sound = not checks.failures({"V06": validations["V06"]})
+    if sound:
+        publish(spark, folder, version)
     star = StoredStar(warehouse)
     _together(
         lambda code: sinks.export_report(
-            olap.REPORTS[code][0](star), f"{folder}/reports/{code}_{olap.REPORTS[code][1]}"
+            olap.REPORTS[code][0](star), f"{own}/reports/{code}_{olap.REPORTS[code][1]}"
         ),
         olap.REPORTS,
     )
-    return PipelineResult(warehouse, audit, validations, failures)
+    return PipelineResult(warehouse, audit, validations, failures, sound)

@@ -19,7 +19,7 @@ from armazem.operators.grouping import (
     added_up, cube_sets, grouped_totals, labelled, rollup_sets, total_flag,
 )
 from armazem.operators.ranking import asc, desc, ordered, share_of_all, top
-from armazem.plans.star import Star
+from armazem.plans.star import Slices, Star
 
 TOP = 10
 
@@ -33,9 +33,12 @@ def _summed(rows: DataFrame, keys: Iterable[str], *names: str) -> DataFrame:
     return rows.groupBy(*keys).agg(*[F.sum(n).alias(n) for n in names])
 
 
-def sold_by(star: Star, *attributes: str, years: Iterable[int] = ()) -> DataFrame:
-    """Revenue and orders of non-cancelled orders with items, partly summed by attributes."""
-    return star.sales_totals(_revenue(), attributes, years)
+def sold_by(
+    star: Star, *attributes: str, years: Iterable[int] = (), only: Slices | None = None
+) -> DataFrame:
+    """Revenue and orders of non-cancelled orders with items, partly summed by attributes;
+    ``only`` names attributes and the values kept of them."""
+    return star.sales_totals(_revenue(), attributes, years, only or {})
 
 
 def _sales(ticket: bool = True) -> list[Column]:
@@ -88,7 +91,7 @@ def o02(star: Star) -> DataFrame:
     return (
         added_up(rows, rollup_sets("regiao", "estado"), _REVENUE)
         .withColumn("participacao_pct", percent(F.col("faturamento"), grand))
-        .transform(ordered, total_flag("regiao"), asc("regiao"), total_flag("estado"), desc("faturamento"))
+        .transform(ordered, total_flag("regiao"), asc("regiao"), total_flag("estado"), desc("faturamento"), asc("estado"))
         .select(
             labelled("regiao", v.GRAND_TOTAL).alias("regiao"),
             labelled("estado", v.SUBTOTAL).alias("estado"),
@@ -100,8 +103,10 @@ def o02(star: Star) -> DataFrame:
 
 def o03(star: Star, estado: str = "SP") -> DataFrame:
     """The ten cities of a state with most revenue and their share of the state."""
-    rows = sold_by(star, "geografia.cidade", "geografia.estado")
-    cities = _summed(rows.where(F.col("estado") == estado), ["cidade"], *_REVENUE)
+    rows = sold_by(
+        star, "geografia.cidade", "geografia.estado", only={"geografia.estado": (estado,)}
+    )
+    cities = _summed(rows, ["cidade"], *_REVENUE)
     shared = cities.withColumn("participacao_no_estado_pct", share_of_all(F.col("faturamento")))
     best = top(shared, TOP, desc("faturamento"), asc("cidade"))
     return best.select("cidade", *_sales(), "participacao_no_estado_pct")
@@ -137,16 +142,13 @@ def o05(
 ) -> DataFrame:
     """Mean ticket by year, region and payment type inside a dice of the cube."""
     anos = tuple(anos)
-    rows = sold_by(
-        star, "tempo.ano", "geografia.regiao", "pagamento.tipo_pagamento", years=anos
-    )
+    slices = {
+        "tempo.ano": anos, "geografia.regiao": tuple(regioes),
+        "pagamento.tipo_pagamento": tuple(tipos),
+    }
+    rows = sold_by(star, *slices, years=anos, only=slices)
     keys = ("ano", "regiao", "tipo_pagamento")
-    inside = (
-        F.col("ano").isin(*anos)
-        & F.col("regiao").isin(*regioes)
-        & F.col("tipo_pagamento").isin(*tipos)
-    )
-    dice = _summed(rows.where(inside), keys, *_REVENUE)
+    dice = _summed(rows, keys, *_REVENUE)
     return ordered(dice, *keys).select(*keys, *_sales())
 
 
@@ -232,7 +234,8 @@ def o08(star: Star) -> DataFrame:
         added_up(rows, rollup_sets("regiao", "estado"), measures)
         .withColumn("prazo_medio_dias", quotient(F.col("lead"), n, 1))
         .transform(
-            ordered, total_flag("regiao"), asc("regiao"), total_flag("estado"), desc("prazo_medio_dias")
+            ordered, total_flag("regiao"), asc("regiao"), total_flag("estado"), desc("prazo_medio_dias"),
+            asc("estado"),
         )
         .select(
             labelled("regiao", v.GRAND_TOTAL).alias("regiao"),
@@ -353,7 +356,7 @@ def o12(star: Star, min_avaliacoes: int = 300, k: int = 5) -> DataFrame:
         categories.withColumn("best", from_top)
         .withColumn("worst", from_bottom)
         .where((F.col("best") <= k) | (F.col("worst") <= k))
-        .transform(ordered, desc("nota_media"), desc("avaliacoes"))
+        .transform(ordered, desc("nota_media"), desc("avaliacoes"), asc("categoria"))
         .select(
             F.when(F.col("best") <= k, v.BEST).otherwise(v.WORST).alias("grupo"),
             "categoria", "avaliacoes", "nota_media", "pct_notas_1_e_2",
@@ -373,7 +376,7 @@ def o13(star: Star) -> DataFrame:
     return (
         grouped_totals(rows, rollup_sets("regiao"), measures)
         .withColumn("pct_recorrentes", percent(F.col("clientes_recorrentes"), n))
-        .transform(ordered, total_flag("regiao"), desc("pct_recorrentes"))
+        .transform(ordered, total_flag("regiao"), desc("pct_recorrentes"), asc("regiao"))
         .select(
             labelled("regiao", v.GRAND_TOTAL).alias("regiao"),
             "clientes", "clientes_recorrentes", "pct_recorrentes",
@@ -414,7 +417,8 @@ def o15(star: Star) -> DataFrame:
     return (
         added_up(rows, cube_sets("regiao", "tipo_pagamento"), _REVENUE)
         .transform(
-            ordered, total_flag("regiao"), asc("regiao"), total_flag("tipo_pagamento"), desc("faturamento")
+            ordered, total_flag("regiao"), asc("regiao"), total_flag("tipo_pagamento"), desc("faturamento"),
+            asc("tipo_pagamento"),
         )
         .select(
             labelled("regiao", v.ALL_REGIONS).alias("regiao"),
@@ -450,7 +454,9 @@ def o16(star: Star, regioes: Iterable[str] = v.REGIONS) -> DataFrame:
         measures[f"days_{region_column(regiao)}"] = F.sum(F.when(here, lead))
     return (
         grouped_totals(rows, rollup_sets("regiao_vendedor"), measures)
-        .transform(ordered, total_flag("regiao_vendedor"), desc("pedidos_entregues"))
+        .transform(
+            ordered, total_flag("regiao_vendedor"), desc("pedidos_entregues"), asc("regiao_vendedor")
+        )
         .select(
             labelled("regiao_vendedor", v.ALL_REGIONS).alias("regiao_vendedor"),
             "pedidos_entregues",

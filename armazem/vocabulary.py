@@ -66,6 +66,7 @@ LEVELS = ("Geral", "Ano", "Trimestre", "Mês")
 BEST, WORST = "Melhores", "Piores"
 OK, FAILED = "OK", "FALHA"
 LOAD_DONE, LOAD_DIVERGED = "CONCLUIDA", "DIVERGENTE"
+LOAD_RUNNING, LOAD_FAILED = "EM ANDAMENTO", "ERRO"
 ORIGIN_GEOLOCATION = "geolocation"
 ORIGIN_TRANSACTIONS = "clientes/vendedores"
 

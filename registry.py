@@ -2,7 +2,9 @@
 
 import hashlib
 import threading
+import uuid
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import Window as W
@@ -14,7 +16,7 @@ from armazem.operators import grouping, keys, modes, pick, ranking
 from armazem.plans import checks, dims, facts, feeds, kpis, load, olap
 from armazem.plans.star import SourceStar, Star, StoredStar
 from armazem.sources import rawfiles, sinks
-from armazem.sources.binding import Source
+from armazem.sources.binding import NAMES, Source
 from armazem.sources.catalog import RAW_TABLES, RawTable
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -31,7 +33,12 @@ REPORT_PARAMETERS = {
     "O12": {"min_avaliacoes": p.MIN_RATINGS},
     "O16": {"regioes": p.REGIONS},
 }
-FEED_PARAMETERS = {"O06": {"anos": p.PIVOT_YEARS}}
+FEED_PARAMETERS = {
+    "O01": {"min_pedidos": p.MIN_MONTH},
+    "O06": {"anos": p.PIVOT_YEARS},
+    "O14": {"min_pedidos": p.MIN_MONTH},
+    "O16": {"regioes": p.REGIONS},
+}
 
 
 def query(build: Query) -> Query:
@@ -40,10 +47,11 @@ def query(build: Query) -> Query:
     return build
 
 
-# --- reports, feeds and headline figures, straight from the provided tables ------------------
+# --- reports, feeds and headline figures, on the loaded warehouse -----------------------------
 
 
 def star(spark: SparkSession, folder: str) -> SourceStar:
+    """The same reports straight from the provided tables, as a cross-check."""
     return SourceStar(Source(spark, folder), p.RECURRING_ABOVE)
 
 
@@ -59,17 +67,17 @@ def feed(code: str, where: Star) -> DataFrame:
 
 for _code, (_, _title) in olap.REPORTS.items():
     QUERIES[f"{_code.lower()}_{_title}"] = lambda spark, folder, code=_code: report(
-        code, star(spark, folder)
+        code, stored_star(spark, folder)
     )
 for _code, (_, _title) in feeds.FEEDS.items():
     QUERIES[f"g{_code[1:]}_{_title}"] = lambda spark, folder, code=_code: feed(
-        code, star(spark, folder)
+        code, stored_star(spark, folder)
     )
 
 
 @query
 def k01_kpis(spark, folder):
-    return kpis.kpis(star(spark, folder))
+    return kpis.kpis(stored_star(spark, folder))
 
 
 # --- dimensions ------------------------------------------------------------------------------
@@ -77,7 +85,8 @@ def k01_kpis(spark, folder):
 
 def dimension(spark: SparkSession, folder: str, name: str) -> DataFrame:
     source = Source(spark, folder)
-    return dims.dimension(name, source.staging, source.states, p.RECURRING_ABOVE)
+    through = f"{sinks.shared_folder(spark)}/naturais-{uuid.uuid4().hex}"
+    return dims.dimension(name, source.staging, source.states, p.RECURRING_ABOVE, through)
 
 
 @query
@@ -118,7 +127,8 @@ def d07_geography(spark, folder):
 @query
 def d08_dense_keys(spark, folder):
     orders = Source(spark, folder)["orders"].select("o_orderkey", "o_orderpriority")
-    return keys.with_dense_key(orders, "o_orderkey", "sk")
+    through = f"{sinks.shared_folder(spark)}/naturais-{uuid.uuid4().hex}"
+    return keys.with_dense_key(orders, "o_orderkey", "sk", through)
 
 
 @query
@@ -134,25 +144,16 @@ def d09_region_lookup(spark, folder):
 # --- facts -----------------------------------------------------------------------------------
 
 
-def _dimensions(source: Source) -> dict[str, DataFrame]:
-    return {
-        name: dims.dimension(name, source.staging, source.states, p.RECURRING_ABOVE)
-        for name in load.DIMENSIONS
-    }
-
-
 @query
 def f01_order_fact(spark, folder):
-    source = Source(spark, folder)
-    return facts.order_fact(source.staging, _dimensions(source))
+    """The order fact over the written dimensions, as a load builds it."""
+    return facts.order_fact(Source(spark, folder).staging, loaded(spark, folder)[1])
 
 
 @query
 def f02_item_fact(spark, folder):
-    source = Source(spark, folder)
-    keyed = _dimensions(source)
-    orders = facts.order_fact(source.staging, keyed)
-    return facts.item_fact(source.staging, keyed, orders)
+    staging, keyed = Source(spark, folder).staging, loaded(spark, folder)[1]
+    return facts.item_fact(staging, keyed, facts.order_fact(staging, keyed))
 
 
 @query
@@ -194,24 +195,33 @@ def f07_delivery_measures(spark, folder):
 
 # --- loaded warehouse: validations -----------------------------------------------------------
 
-_loads: dict[tuple[str, str], str] = {}
+_loads: dict[tuple, str] = {}
 _load_lock = threading.Lock()
 
 
+def state_of(spark: SparkSession, folder: str) -> tuple:
+    """What the files of a source folder are now; another state asks for another load."""
+    tables = [spark.read.parquet(f"{folder}/{n}.parquet") for n in NAMES]
+    files = [t.select("_metadata.file_path", "_metadata.file_size", "_metadata.file_modification_time").distinct()
+             for t in tables]
+    return tuple(sorted(tuple(r) for r in reduce(DataFrame.unionByName, files).collect()))
+
+
 def loaded_folder(spark: SparkSession, folder: str) -> str:
     """Folder with the staged tables and the warehouse of one source folder.
 
-    Written once per application into the shared folder the session names, then read back,
-    as validations check a load and not a plan.
+    Reports and validations read a written load, not a plan. It is made once per application
+    and state of the source files, in the shared folder the session names.
     """
     with _load_lock:
-        key = (spark.sparkContext.applicationId, folder)
+        key = (spark.sparkContext.applicationId, folder, state_of(spark, folder))
         if key not in _loads:
-            tag = hashlib.md5(folder.encode()).hexdigest()[:8]
-            target = f"{sinks.shared_folder(spark)}/warehouse-{key[0]}-{tag}"
+            target = f"{sinks.shared_folder(spark)}/warehouse-{uuid.uuid4().hex}"
             source = Source(spark, folder)
-            stg, _ = load.stage(spark, source.staging, target)
-            load.build(stg, source.states, target, p.RECURRING_ABOVE)
+            version, own = load.new_version(target)
+            stg, _ = load.stage(spark, source.staging, own, load.Audit(spark, target, version))
+            load.build(stg, source.states, own, p.RECURRING_ABOVE)
+            load.publish(spark, target, version)
             _loads[key] = target
         return _loads[key]
 
@@ -221,17 +231,24 @@ def loaded(spark: SparkSession, folder: str):
     return (
         load.open_staging(spark, target),
         load.open_warehouse(spark, target),
-        spark.read.parquet(f"{target}/{load.AUDIT}"),
+        load.open_audit(spark, target),
     )
 
 
+def expected_volumes(spark: SparkSession, folder: str) -> list[tuple[str, int]]:
+    """Rows the raw tables should have: those of the source, counted before staging."""
+    staging = Source(spark, folder).staging
+    counts = sinks.row_counts({name: staging[name] for name in RAW_TABLES})
+    return [(r.tabela, r.registros) for r in counts.orderBy("ordem").collect()]
+
+
 def stored_star(spark: SparkSession, folder: str) -> StoredStar:
     return StoredStar(loaded(spark, folder)[1])
 
 
 @query
 def v01_staging_volume(spark, folder):
-    return checks.volumes(loaded(spark, folder)[2], p.EXPECTED_VOLUMES)
+    return checks.volumes(loaded(spark, folder)[2], expected_volumes(spark, folder))
 
 
 @query
@@ -254,7 +271,7 @@ def v04_coverage(spark, folder):
 def v05_gate(spark, folder):
     stg, warehouse, audit = loaded(spark, folder)
     return checks.gate(
-        checks.all_validations(stg, warehouse, audit, p.EXPECTED_VOLUMES).values()
+        checks.all_validations(stg, warehouse, audit, expected_volumes(spark, folder)).values()
     )
 
 
@@ -311,7 +328,7 @@ def s02_header_check(spark, folder):
 def s05_load_audit(spark, folder):
     return loaded(spark, folder)[2].select(
         F.col("tabela_destino").alias("tabela"), "registros_lidos", "registros_carregados",
-        "situacao",
+        (F.col("inicio_carga") <= F.col("fim_carga")).alias("em_ordem"), "situacao",
     )
 
 
