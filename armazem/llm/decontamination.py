@@ -31,7 +31,7 @@ from armazem.llm import words
 from armazem.llm.runtime import batch, byte_offsets, run_folder, ship, slices, texts, written
 
 STEPS_PER_WORD = 3
-SAMPLED = 3
+SAMPLED = 2
 SIMILARITY = 0.8
 LONGEST = 51  # a step of scale(): longer windows would need too many repetitions
 _CELLS = 1 << 22
@@ -178,16 +178,17 @@ def leaks(docs: DataFrame, benchmark: DataFrame, recall: float = 0.95, id_col: s
     sizes = sorted((r["size"], r["reps"]) for r in items.groupBy("size").agg(F.max(F.size("keys")).alias("reps")).collect())
     known_pairs = cells(items.select(F.explode("pairs").alias("cell")))
     keys = items.select("item_id", "at", "n_words", F.explode("keys").alias("key")).distinct()
-    known_keys = cells(keys.select(F.shiftrightunsigned("key", 42).cast("int").alias("cell")))
+    # Two tables of the same keys, by different bits: a window is a candidate if both know a key.
+    known_keys = [cells(keys.select(F.shiftrightunsigned("key", shift).bitwiseAND(F.lit(_CELLS - 1)).cast("int").alias("cell"))) for shift in (42, 20)]
     single = cells(items.where("size = 1 and at = 0").select(F.shiftrightunsigned(F.get("words", F.lit(0)), 42).cast("int").alias("cell")))
     text = F.coalesce(F.col(text_col).cast("string"), F.lit(""))
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), text.alias("text"), F.xxhash64(text).alias("tkey"))
     schema = pa.schema([("doc_id", pa.int64()), ("tkey", pa.int64()), ("start", pa.int32()), ("size", pa.int32()), ("label", pa.int64()),
                         ("keys", pa.list_(pa.int64())), ("near", pa.list_(pa.int64()))])
-    tables = spark.sparkContext.broadcast((np.packbits(known_pairs), np.packbits(known_keys), np.packbits(single)))
+    tables = spark.sparkContext.broadcast([np.packbits(t) for t in (known_pairs, single, *known_keys)])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        pair_cells, key_cells, word_cells = (np.unpackbits(t).view(bool) for t in tables.value)
+        pair_cells, word_cells, *key_cells = (np.unpackbits(t).view(bool) for t in tables.value)
         for b in slices(batches, "text", _SLICE):
             h, first = tokens(b)
             if not len(h):
@@ -207,7 +208,8 @@ def leaks(docs: DataFrame, benchmark: DataFrame, recall: float = 0.95, id_col: s
     def candidates(h, first, begin, size, reps, ids, tkeys, key_cells) -> Iterator[pa.RecordBatch]:
         x = h[begin[:, None] + np.arange(size)]
         found = walks(x, range(reps))
-        hit = key_cells[(found >> np.uint64(42)).astype(np.int64)]
+        hit = key_cells[0][(found >> np.uint64(42)).astype(np.int64)]
+        hit &= key_cells[1][(found >> np.uint64(20) & np.uint64(_CELLS - 1)).astype(np.int64)]
         some = np.flatnonzero(hit.any(1))
         if not len(some):
             return
@@ -282,19 +284,31 @@ def verified(spots: DataFrame) -> DataFrame:
 
 
 def best_edits(item: tuple, near: tuple, most: int) -> int | None:
-    """Least edit distance between the item and any stretch of near; None if above most."""
-    if not most:
-        n = len(item)
-        return 0 if any(near[i:i + n] == item for i in range(len(near) - n + 1)) else None
-    b = np.array(near, np.int64)
-    steps = np.arange(len(b) + 1)
-    row = np.zeros(len(b) + 1, np.int64)
-    for i, a in enumerate(item, 1):
-        best = np.empty_like(row)
-        best[0] = i
-        best[1:] = np.minimum(row[:-1] + (b != a), row[1:] + 1)
-        row = np.minimum.accumulate(best - steps) + steps  # steps along the stretch
-    least = int(row.min())
+    """Least edit distance between the item and any stretch of near; None if above most.
+
+    Myers' bit-parallel matching: bit i of the two masks says whether the distance rises or
+    falls from the first i to the first i + 1 words of the item, and each word of near takes a
+    few operations on whole masks.
+    """
+    m = len(item)
+    full, top = (1 << m) - 1, 1 << (m - 1)
+    places: dict[int, int] = {}
+    for i, word in enumerate(item):
+        places[word] = places.get(word, 0) | 1 << i
+    rises, falls, now, least = full, 0, m, m
+    for word in near:
+        same = places.get(word, 0)
+        level = (((same & rises) + rises) ^ rises) | same | falls
+        up = falls | (full & ~(level | rises))
+        down = level & rises
+        if up & top:
+            now += 1
+        elif down & top:
+            now -= 1
+        up, down = up << 1 & full, down << 1 & full
+        rises = down | (full & ~(level | up))
+        falls = up & level
+        least = min(least, now)
     return least if least <= most else None
 
 
