@@ -793,10 +793,23 @@ PROBES = {
           FROM (SELECT *, RANK() OVER (ORDER BY revenue DESC) AS rank
                   FROM (SELECT l_suppkey, SUM({_LINE_MONEY}) AS revenue FROM lineitem GROUP BY 1) q) r
          WHERE rank <= 50""",
-    "w03_running_sum": f"""
-        SELECT l_linenumber, {total('revenue')} AS revenue,
-               {total('SUM(revenue) OVER (ORDER BY revenue DESC)')} AS running
-          FROM (SELECT l_linenumber, SUM({_LINE_MONEY}) AS revenue FROM lineitem GROUP BY 1) q""",
+    "w03_running_sum": """
+        SELECT l_linenumber, l_quantity, lines, CAST(SUM(lines) OVER (ORDER BY lines DESC) AS BIGINT) AS running
+          FROM (SELECT l_linenumber, l_quantity, COUNT(*) AS lines FROM lineitem GROUP BY 1, 2) q""",
+    "l01_report_order": f"""
+        SELECT row_number() OVER (ORDER BY regiao = '{v.GRAND_TOTAL}', regiao, estado = '{v.SUBTOTAL}', faturamento DESC, estado)
+               AS posicao, regiao, estado FROM ({REPORTS['o02_region_state']}) r""",
+    "l03_cube_order": f"""
+        SELECT row_number() OVER (ORDER BY regiao = '{v.ALL_REGIONS}', regiao, tipo_pagamento = '{v.ALL_PAYMENTS}',
+               faturamento DESC, tipo_pagamento) AS posicao, regiao, tipo_pagamento
+          FROM ({REPORTS['o15_region_payment_cube']}) r""",
+    "l02_missing_last": """
+        SELECT * FROM (SELECT 'first' AS side, product_id, CAST(weight AS DECIMAL(12,1)) AS weight, 0 AS place
+                         FROM s_products ORDER BY weight DESC NULLS FIRST, product_id LIMIT 150) a
+        UNION ALL
+        SELECT 'last', product_id, CAST(weight AS DECIMAL(12,1)),
+               CAST(row_number() OVER (ORDER BY weight ASC NULLS LAST, product_id) AS INTEGER)
+          FROM s_products WHERE product_id <= 40""",
     "w04_two_rankings": f"""
         SELECT p_brand, {total('revenue')} AS revenue, CASE WHEN best <= 3 THEN 'best' ELSE 'worst' END AS side
           FROM (SELECT *, RANK() OVER (ORDER BY revenue DESC) AS best, RANK() OVER (ORDER BY revenue) AS worst

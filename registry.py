@@ -506,14 +506,42 @@ def w02_rank(spark, folder):
 
 @query
 def w03_running_sum(spark, folder):
-    """Running revenue by line number and quantity, largest first, peers sharing the value."""
-    source = Source(spark, folder)
-    amount = F.col("l_extendedprice").cast("decimal(12,2)")
-    rows = source["lineitem"].groupBy("l_linenumber").agg(F.sum(amount).alias("revenue"))
-    running = F.sum("revenue").over(W.orderBy(ranking.desc("revenue")))
-    return rows.select(
-        "l_linenumber", numbers.total(F.col("revenue")).alias("revenue"),
-        numbers.total(running).alias("running"))
+    """Running number of lines by line number and quantity, largest first. Many groups have the
+    same number of lines; such peers share the value."""
+    rows = Source(spark, folder)["lineitem"].groupBy("l_linenumber", "l_quantity").agg(
+        F.count("*").alias("lines"))
+    running = F.sum("lines").over(W.orderBy(ranking.desc("lines")))
+    return rows.select("l_linenumber", "l_quantity", "lines", running.alias("running"))
+
+
+def _positions(rows: DataFrame) -> DataFrame:
+    """Place of each row of a report, which comes in one sorted partition."""
+    return rows.withColumn("posicao", F.monotonically_increasing_id() + 1)
+
+
+@query
+def l01_report_order(spark, folder):
+    """Order of details, subtotals and grand total, with a sort key that is not shown."""
+    rows = report("O02", stored_star(spark, folder))
+    return _positions(rows).select("posicao", "regiao", "estado")
+
+
+@query
+def l03_cube_order(spark, folder):
+    rows = report("O15", stored_star(spark, folder))
+    return _positions(rows).select("posicao", "regiao", "tipo_pagamento")
+
+
+@query
+def l02_missing_last(spark, folder):
+    """Products by weight: ascending with missing ones last, descending with them first."""
+    products = Source(spark, folder).staging["products"].select(
+        "product_id", F.col("product_weight_g").cast("decimal(12,1)").alias("weight"))
+    heavy = ranking.top(products, 150, ranking.desc("weight"), ranking.asc("product_id"))
+    known = products.where("product_id <= 40")
+    place = F.row_number().over(W.orderBy(ranking.asc("weight"), ranking.asc("product_id")))
+    return heavy.select(F.lit("first").alias("side"), "product_id", "weight", F.lit(0).alias("place")).unionByName(
+        known.select(F.lit("last").alias("side"), "product_id", "weight", place.alias("place")))
 
 
 @query

@@ -10,6 +10,7 @@ from armazem.plans.star import StoredStar
 from armazem.plans import kpis, olap
 from armazem.sources import rawfiles
 from armazem.sources.catalog import RAW_TABLES
+from pyspark.sql import functions as F
 
 ROWS = {
     "orders": [
@@ -128,15 +129,16 @@ def test_reports_with_original_parameters(result):
 
 def test_reports_are_exported(spark, result):
     _, out = result
-    back = spark.read.option("header", True).csv(f"{out}/reports/O01_rollup_calendar")
+    home = load.current(spark, out)
+    back = spark.read.option("header", True).csv(f"{home}/reports/O01_rollup_calendar")
     total = back.where("nivel = 'Geral'").first()
     assert (total.ano, total.trimestre, total.faturamento) == ("Total geral", None, "220.00")
-    assert len(os.listdir(f"{out}/reports")) == 17
+    assert len(os.listdir(f"{home}/reports")) == 17
 
 
 def test_quoted_line_break_survives(spark, result):
     done, out = result
-    text = spark.read.parquet(f"{out}/staging/order_reviews").where("review_id = 'r1'").first()
+    text = load.open_staging(spark, out)["order_reviews"].where("review_id = 'r1'").first()
     assert text.review_comment_message == 'said "fine",\nand left'
     assert text.review_comment_title is None
 
@@ -168,3 +170,111 @@ def test_line_break_in_a_split_file_stops_the_load(spark, tmp_path):
     rows = rawfiles.read_raw(spark, str(path), RAW_TABLES["sellers"])
     with pytest.raises(Exception, match="(?i)malformed"):
         rows.collect()
+
+
+def test_parts_with_their_own_headers(spark, tmp_path):
+    """Every part file is read by its own header, blanks around its names included."""
+    write(tmp_path, skip=("sellers",))
+    ending = RAW_TABLES["sellers"].file_ending
+    (tmp_path / f"a_{ending}").write_text("seller_id, seller_zip_code_prefix,seller_city,seller_state\ns1,1001,sao paulo,SP\n")
+    (tmp_path / f"b_{ending}").write_text("seller_id,seller_city,seller_zip_code_prefix,seller_state\ns2,rio,20000,RJ\n")
+    rows = {r.seller_id: r for r in rawfiles.read_all(spark, str(tmp_path))["sellers"].collect()}
+    assert (rows["s2"].seller_zip_code_prefix, rows["s2"].seller_city) == ("20000", "rio")
+    assert (rows["s1"].seller_zip_code_prefix, rows["s1"].seller_city) == ("1001", "sao paulo")
+    (tmp_path / f"c_{ending}").write_text("seller_id,seller_city,seller_state\ns3,rio,RJ\n")
+    with pytest.raises(rawfiles.HeaderMismatch, match="c_"):
+        rawfiles.read_all(spark, str(tmp_path))
+
+
+def changed(folder, table, rows):
+    """The raw files with one table's rows replaced."""
+    own = ROWS[table]
+    ROWS[table] = rows
+    try:
+        write(folder)
+    finally:
+        ROWS[table] = own
+
+
+def tables_of(spark, folder):
+    return {n: sorted(map(str, t.collect())) for n, t in load.open_warehouse(spark, folder).items()}
+
+
+@pytest.fixture(scope="module")
+def warehouse(spark, tmp_path_factory):
+    """A sound warehouse that later loads are tried on."""
+    raw, out = tmp_path_factory.mktemp("raw"), str(tmp_path_factory.mktemp("out"))
+    write(raw)
+    first = load.run_pipeline(spark, str(raw), out, VOLUMES)
+    assert first.published and first.exit_code == 0
+    return out
+
+
+@pytest.mark.parametrize(("table", "rows", "broken"), [
+    ("order_items", [*ROWS["order_items"], ROWS["order_items"][0]], "unique fato_vendas (order_id, order_item_id)"),
+    ("orders", [*ROWS["orders"][:3], (*ROWS["orders"][3][:7], "")], "not null fato_pedido"),
+])
+def test_broken_constraint_sets_the_exit_code_and_is_not_published(spark, warehouse, tmp_path, table, rows, broken):
+    before = tables_of(spark, warehouse)
+    changed(tmp_path, table, rows)
+    volumes = [(n, len(rows) if n == table else k) for n, k in VOLUMES]
+    done = load.run_pipeline(spark, str(tmp_path), warehouse, volumes)
+    assert (done.exit_code, done.published) == (1, False)
+    assert broken in {r.restricao for r in done.validations["V06"].where("situacao = 'FALHA'").collect()}
+    assert tables_of(spark, warehouse) == before
+
+
+def test_failed_load_leaves_the_warehouse_and_names_the_table(spark, warehouse, tmp_path):
+    before = tables_of(spark, warehouse)
+    write(tmp_path)
+    path = tmp_path / f"shop_{RAW_TABLES['sellers'].file_ending}"
+    path.write_text('seller_id,seller_zip_code_prefix,seller_city,seller_state\ns1,1001,"sao\npaulo",SP\n')
+    with pytest.raises(Exception, match="(?i)malformed"):
+        load.run_pipeline(spark, str(tmp_path), warehouse, VOLUMES)
+    assert tables_of(spark, warehouse) == before
+    audit = {r.tabela_destino: r for r in load.open_audit(spark, warehouse).collect()}
+    assert audit["sellers"].situacao == "ERRO" and audit["sellers"].registros_carregados is None
+    assert all(r.situacao in ("CONCLUIDA", "ERRO", "EM ANDAMENTO") for r in audit.values())
+    assert all(r.inicio_carga <= r.fim_carga for r in audit.values() if r.fim_carga)
+
+
+def test_bad_number_stops_a_load(spark, warehouse, tmp_path):
+    """Strict casts: text that is no number or no date is an error, not a missing value."""
+    before = tables_of(spark, warehouse)
+    for table, column, bad in (("order_items", 5, "12,50"), ("orders", 3, "2017-13-01")):
+        rows = [list(r) for r in ROWS[table]]
+        rows[0][column] = bad
+        changed(tmp_path, table, rows)
+        with pytest.raises(Exception, match="(?i)cast|invalid"):
+            load.run_pipeline(spark, str(tmp_path), warehouse, VOLUMES)
+    assert tables_of(spark, warehouse) == before
+
+
+def test_revenue_depends_on_both_facts_agreeing(spark, warehouse):
+    """Reports take an order's sums from the order fact; reconciliation reports it if they lie."""
+    tables = dict(load.open_warehouse(spark, warehouse))
+    orders = tables["fato_pedido"]
+    wrong = F.when(F.col("order_id") == "o1", F.col("valor_itens") + 1).otherwise(F.col("valor_itens"))
+    lying = {**tables, "fato_pedido": orders.withColumn("valor_itens", wrong.cast("decimal(12,2)"))}
+    assert olap.o01(StoredStar(lying)).where("nivel = 'Geral'").first().faturamento == D("221.00")
+    found = load.checks.reconciliation(load.open_staging(spark, warehouse), lying)
+    assert {r.ordem for r in found.where("situacao = 'FALHA'").collect()} == {7}
+
+
+def test_slices_open_only_their_years(spark, warehouse):
+    star = StoredStar(load.open_warehouse(spark, warehouse))
+    for rows in (olap.o04(star, 2018), olap.o05(star, anos=(2018,))):
+        plan = rows._jdf.queryExecution().executedPlan().toString()
+        assert "particao_ano" in plan[plan.index("PartitionFilters: [isnotnull(particao_ano"):][:200]
+    plan = olap.o01(star)._jdf.queryExecution().executedPlan().toString()
+    assert "order_id" not in plan and "fato_vendas" not in plan
+
+
+def test_order_of_details_subtotals_and_missing_values(spark, warehouse):
+    star = StoredStar(load.open_warehouse(spark, warehouse))
+    levels = [r.nivel for r in olap.o01(star).collect()]
+    assert levels[-1] == "Geral" and levels.index("Mês") < levels.index("Trimestre") < levels.index("Ano")
+    regions = [(r.regiao, r.estado) for r in olap.o02(star).collect()]
+    assert regions[-1][0] == "Total geral" and regions[-2][1] == "(subtotal)"
+    cube = [(r.regiao, r.tipo_pagamento) for r in olap.o15(star).collect()]
+    assert cube[-1] == ("Todas as regiões", "Todos os tipos")

@@ -50,7 +50,7 @@ def test_joins_never_pair_rows_without_a_key(spark, folder):
 
 
 def test_scans_read_only_the_columns_they_need(spark, folder):
-    plan = registry.QUERIES["o01_rollup_calendar"](spark, folder)._jdf.queryExecution()
+    plan = registry.report("O01", registry.star(spark, folder))._jdf.queryExecution()
     text = plan.executedPlan().toString()
     assert "ReadSchema: struct<l_orderkey:bigint,l_extendedprice:double>" in text
     assert "PushedFilters: [IsNotNull(o_orderstatus), Not(EqualTo(o_orderstatus,P))" in text
