@@ -1,6 +1,7 @@
 """Reading the raw CSV files as text tables."""
 
 from collections.abc import Iterable
+from concurrent.futures import ThreadPoolExecutor
 from functools import reduce
 
 from pyspark.errors import AnalysisException
@@ -38,8 +39,9 @@ def headers(spark: SparkSession, path: str) -> dict[tuple[str, ...], list[str]]:
     """The files behind a path or glob, by their header. One first line per file is read."""
     files = sorted(spark.read.text(path).inputFiles())
     found: dict[tuple[str, ...], list[str]] = {}
-    for file in files:
-        found.setdefault(tuple(header(spark, file)), []).append(file)
+    with ThreadPoolExecutor(8) as pool:
+        for file, names in zip(files, pool.map(lambda f: header(spark, f), files)):
+            found.setdefault(tuple(names), []).append(file)
     # a part without any line, as a writer leaves for an empty task, has no header to check
     if len(found) > 1:
         found.pop((), None)
