@@ -17,6 +17,7 @@ import os
 import re
 import struct
 import zlib
+from array import array
 from collections.abc import Iterator
 
 import numpy as np
@@ -25,15 +26,16 @@ from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from armazem.llm.runtime import batch, parts, run_folder, ship, slices, texts
+from armazem.llm import words
+from armazem.llm.runtime import batch, byte_offsets, parts, run_folder, ship, slices, texts
 
 MAGIC = b"WVM1"
 _HEAD = struct.Struct("<4sIIQQ")
-_KEPT = 400_000
-_SLICE = 2 << 20
-# A text splits before a blank that follows no white space: there a pre-token always begins.
-_UNIT = re.compile(r"[ \t\n\r\x0b\x0c]*[^ \t\n\r\x0b\x0c]+|[ \t\n\r\x0b\x0c]+")
-_WIDE_SPACE = re.compile("[\\x1c-\\x1f\\x85\\xa0\\u1680\\u2000-\\u200a\\u2028\\u2029\\u202f\\u205f\\u3000]")
+_KEPT = 800_000
+_LATIN = "\u024f"  # letters up to here are classed alike by every Unicode version
+_SLICE = 4 << 20
+# White space beside the six blanks that separate words, in UTF-8.
+_WIDE_SPACE = re.compile(rb"[\x1c-\x1f]|\xc2[\x85\xa0]|\xe1\x9a\x80|\xe2\x80[\x80-\x8a\xa8\xa9\xaf]|\xe2\x81\x9f|\xe3\x80\x80")
 
 
 class WaveletMatrix:
@@ -47,13 +49,13 @@ class WaveletMatrix:
     def build(cls, values: np.ndarray, bits: int) -> WaveletMatrix:
         planes, zeros, now = [], [], values
         for k in range(bits - 1, -1, -1):
-            bit = (now >> now.dtype.type(k)) & now.dtype.type(1)
-            padded = np.zeros(-(-len(bit) // 64) * 64, np.uint8)
-            padded[:len(bit)] = bit
-            planes.append(np.packbits(padded, bitorder="little"))
-            one = bit.astype(bool)
-            zeros.append(int(len(bit) - one.sum()))
-            now = np.concatenate([now[~one], now[one]])
+            one = (now & now.dtype.type(1 << k)) != 0
+            plane = np.zeros(-(-len(one) // 64) * 8, np.uint8)
+            plane[:-(-len(one) // 8)] = np.packbits(one, bitorder="little")
+            planes.append(plane)
+            low = now[~one]
+            zeros.append(len(low))
+            now = np.concatenate([low, now[one]])
         return cls(planes, zeros, len(values))
 
     def _bit(self, k: int, at: np.ndarray) -> np.ndarray:
@@ -157,15 +159,19 @@ def from_file(data: bytes) -> tuple[list, np.ndarray, WaveletMatrix]:
 class Encoder:
     """Ids of texts by a byte-level tokenizer of the tokenizers library.
 
-    The library encodes each distinct unit once (white space and the word after it): no pre-token
-    of a byte-level tokenizer reaches over the border between two units. Texts with other kinds
-    of white space are encoded whole. The memory of units is bounded.
+    A text is cut into units (white space and the word after it): no pre-token of a byte-level
+    tokenizer reaches over the border between two units. A unit met first is split into
+    pre-tokens, and the library's model encodes a pre-token met first. Texts with other kinds of
+    white space, and tokenizers with other steps than a plain byte-level one, are encoded whole.
+    Units are told apart by 64-bit hash. The memory of units and pre-tokens is bounded.
     """
 
     _known: dict[str, Encoder] = {}
 
     def __init__(self, path: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
+        import public_tokenizers
+        import regex
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
@@ -173,7 +179,19 @@ class Encoder:
         top = self.tokenizer.get_vocab_size()
         self.bits = max(1, (top - 1).bit_length())
         self.kind = np.uint16 if top <= 1 << 16 else np.uint32
-        self.units: dict[str, bytes] = {}
+        added = self.tokenizer.get_added_tokens_decoder().values()
+        self.plain = (
+            self.tokenizer.normalizer is None and all(t.special for t in added)
+            and re.match(r"ByteLevel\(add_prefix_space=False, .*use_regex=True\)", str(self.tokenizer.pre_tokenizer)) is not None)
+        self.units: dict[int, bytes] = {}  # by hash
+        self.pieces: dict[str, bytes] = {}
+        self.model, self.split = self.tokenizer.model, regex.compile(public_tokenizers.PATTERN).findall
+        # Printable stand-ins of the bytes, as byte-level vocabularies spell them.
+        shown = [*range(33, 127), *range(161, 173), *range(174, 256)]
+        hidden = [b for b in range(256) if b not in set(shown)]
+        self.spelled = [""] * 256
+        for byte, code in [*zip(shown, shown), *zip(hidden, range(256, 512))]:
+            self.spelled[byte] = chr(code)
 
     @classmethod
     def open(cls, path: str) -> Encoder:
@@ -181,19 +199,64 @@ class Encoder:
             cls._known[path] = cls(path)
         return cls._known[path]
 
-    def whole(self, many: list[str]) -> list[bytes]:
-        return [np.array(e.ids, self.kind).tobytes() for e in self.tokenizer.encode_batch(many, add_special_tokens=False)]
+    def packed(self, ids: list[int]) -> bytes:
+        return array("H" if self.kind is np.uint16 else "I", ids).tobytes()
+
+    def whole(self, text: str) -> bytes:
+        return self.packed(self.tokenizer.encode(text, add_special_tokens=False).ids)
+
+    def encode(self, offsets: np.ndarray, data: np.ndarray) -> list[bytes]:
+        """Packed ids of each text; texts as their joined bytes and offsets."""
+        raw = data.tobytes()
+        texts_of = list(zip(offsets[:-1].tolist(), offsets[1:].tolist()))
+        if not self.plain:
+            return [self.whole(raw[a:b].decode()) for a, b in texts_of]
+        # Units: from the end of the word before, or of the text before, to the end of the word.
+        w = words.words(offsets, data)
+        begin = np.concatenate([[0], w.end[:-1]]) if len(w) else w.end
+        opening = w.first[:-1][w.counts > 0]
+        begin[opening] = offsets[:-1][w.counts > 0]
+        last = offsets[:-1].copy()
+        last[w.counts > 0] = w.end[w.first[1:][w.counts > 0] - 1]
+        tail = np.flatnonzero(last < offsets[1:])  # texts that end in white space
+        units = words.Words(data, np.insert(begin, w.first[1:][tail], last[tail]), np.insert(w.end, w.first[1:][tail], offsets[1:][tail]), w.first)
+        n_units = w.counts
+        n_units[tail] += 1
+        keys, first, which = np.unique(units.hashes()[0], return_index=True, return_inverse=True)
+        if len(self.units) > _KEPT:
+            self.units.clear()
+        if len(self.pieces) > _KEPT:
+            self.pieces.clear()
+        found = list(map(self.units.get, keys.tolist()))
+        for i in [i for i, ids in enumerate(found) if ids is None]:
+            unit = raw[units.start[first[i]]:units.end[first[i]]].decode()
+            found[i] = self.unit(unit)
+            if len(unit) < 256:
+                self.units[int(keys[i])] = found[i]
+        width = np.dtype(self.kind).itemsize
+        size = np.fromiter(map(len, found), np.int64, len(found)) // width
+        start = np.cumsum(size) - size
+        n = size[which]
+        place = np.arange(int(n.sum())) + np.repeat(start[which] - (np.cumsum(n) - n), n)
+        flat = np.frombuffer(b"".join(found), self.kind)[place].tobytes()
+        until = np.concatenate([[0], np.cumsum(n)])[np.concatenate([[0], np.cumsum(n_units)])] * width
+        out = [flat[a:b] for a, b in zip(until[:-1].tolist(), until[1:].tolist())]
+        for m in _WIDE_SPACE.finditer(raw):
+            i = int(np.searchsorted(offsets, m.start(), side="right")) - 1
+            out[i] = self.whole(raw[offsets[i]:offsets[i + 1]].decode())
+        return out
+
+    def unit(self, unit: str) -> bytes:
+        if max(unit) > _LATIN:  # the library's own split where its character tables might differ
+            return self.whole(unit)
+        return b"".join([self.pieces.get(p) or self.piece(p) for p in self.split(unit)])
 
-    def encode(self, many: list[str]) -> list[bytes]:
-        split = [None if _WIDE_SPACE.search(t) else _UNIT.findall(t) for t in many]
-        known = self.units
-        new = list({u for s in split if s is not None for u in s}.difference(known))
-        if len(known) + len(new) > _KEPT:
-            known.clear()
-            new = list({u for s in split if s is not None for u in s})
-        known.update(zip(new, self.whole(new)))
-        get = known.__getitem__
-        return [b"".join(map(get, s)) if s is not None else self.whole([t])[0] for s, t in zip(split, many)]
+    def piece(self, piece: str) -> bytes:
+        spelled = self.spelled
+        out = self.packed([t.id for t in self.model.tokenize("".join([spelled[b] for b in piece.encode()]))])
+        if len(piece) < 256:
+            self.pieces[piece] = out
+        return out
 
 
 def write(docs: DataFrame, tokenizer: str, path: str, end_id: int = 0, docs_per_shard: int = 8192,
@@ -223,7 +286,7 @@ def write(docs: DataFrame, tokenizer: str, path: str, end_id: int = 0, docs_per_
         encoder, pack = Encoder.open(tokenizer), zstandard.ZstdCompressor(1).compress
         end = np.array([end_id], encoder.kind).tobytes()
         for b in slices(batches, "text", _SLICE):
-            bodies = [x + end for x in encoder.encode(b.column("text").to_pylist())]
+            bodies = [x + end for x in encoder.encode(*byte_offsets(b.column("text")))]
             ids = b.column("doc_id").to_pylist()
             shard = [0 if d is None else int(np.searchsorted(cuts, d, side="right")) for d in ids]
             out = []
