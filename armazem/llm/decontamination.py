@@ -8,6 +8,8 @@ Windows of an item's size begin at every word. Sizes are rounded down to a geome
 at most LONGEST words; an item's window is its first `size` words. A longer item is cut into
 pieces of that size: if the item is within its edits, some piece is within the same share of
 edits, and the whole item is verified around that piece.
+A document stands between as many end marks as an item can lose words: windows reach over both
+its ends, so that texts shorter than an item have windows, too.
 A window is embedded if it can hold an item at all: each edit spoils at most two of an item's
 word pairs, so a window with fewer known pairs is dismissed without loss. The CGK walk writes
 the current word at each of 3 x size steps and moves on by a random bit of (step, word): two
@@ -36,6 +38,7 @@ LONGEST = 51  # a step of scale(): longer windows would need too many repetition
 _CELLS = 1 << 22
 _SLICE = 4 << 20
 _SEED = 77
+_PAD = np.uint64(1)  # no word has this hash; walks() ends with it, too
 
 
 def max_edits(size: int) -> int:
@@ -147,6 +150,11 @@ def items_of(benchmark: DataFrame, recall: float, id_col: str, text_col: str) ->
         run, "item_id long, at int, n_words int, size int, words array<long>, keys array<long>, pairs array<int>")
 
 
+def ended(h: np.ndarray, first: np.ndarray, pad: int) -> tuple[np.ndarray, np.ndarray]:
+    """Each text between `pad` end marks, shared with the next: (word hashes, index of each text's first word)."""
+    return np.insert(h, np.repeat(first, pad), _PAD), first + pad * np.arange(1, len(first) + 1)
+
+
 def pairs(h: np.ndarray) -> np.ndarray:
     """Cell of each word and the word after it."""
     if len(h) < 2:
@@ -189,23 +197,28 @@ def leaks(docs: DataFrame, benchmark: DataFrame, recall: float = 0.95, id_col: s
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         pair_cells, word_cells, *key_cells = (np.unpackbits(t).view(bool) for t in tables.value)
+        pad = max((max_edits(above(size)) for size, _ in sizes), default=0)
         for b in slices(batches, "text", _SLICE):
             h, first = tokens(b)
             if not len(h):
                 continue
+            n_words = np.diff(first)
+            h, first = ended(h, first, pad)
+            last = first[:-1] + n_words
             known = np.concatenate([[0], np.cumsum(pair_cells[pairs(h)])])
             ids, tkeys = b.column("doc_id").to_pylist(), b.column("tkey").to_numpy(zero_copy_only=False)
             for size, reps in sizes:
-                fits = np.maximum(np.diff(first) - size + 1, 0)
-                begin = np.arange(int(fits.sum())) + np.repeat(first[:-1] - (np.cumsum(fits) - fits), fits)
+                over = max_edits(above(size))
+                fits = np.maximum(n_words + 2 * over - size + 1, 0)
+                begin = np.arange(int(fits.sum())) + np.repeat(first[:-1] - over - (np.cumsum(fits) - fits), fits)
                 if size == 1:
                     begin = begin[word_cells[(h[begin] >> np.uint64(42)).astype(np.int64)]]
                 else:
-                    begin = begin[known[begin + size - 1] - known[begin] >= size - 1 - 2 * max_edits(above(size))]
+                    begin = begin[known[begin + size - 1] - known[begin] >= size - 1 - 2 * over]
                 for s in range(0, len(begin), 20_000):
-                    yield from candidates(h, first, begin[s:s + 20_000], size, reps, ids, tkeys, key_cells)
+                    yield from candidates(h, first, last, begin[s:s + 20_000], size, reps, ids, tkeys, key_cells)
 
-    def candidates(h, first, begin, size, reps, ids, tkeys, key_cells) -> Iterator[pa.RecordBatch]:
+    def candidates(h, first, last, begin, size, reps, ids, tkeys, key_cells) -> Iterator[pa.RecordBatch]:
         x = h[begin[:, None] + np.arange(size)]
         found = walks(x, range(reps))
         hit = key_cells[0][(found >> np.uint64(42)).astype(np.int64)]
@@ -214,11 +227,12 @@ def leaks(docs: DataFrame, benchmark: DataFrame, recall: float = 0.95, id_col: s
         if not len(some):
             return
         label = words.run_hash(h, begin[some], size).view(np.int64)
-        text, slack = np.searchsorted(first, begin[some], side="right") - 1, max_edits(above(size))
+        slack = max_edits(above(size))
+        text = np.searchsorted(first - slack, begin[some], side="right") - 1
         out = []
         for row, t, i, mark in zip(some.tolist(), text.tolist(), begin[some].tolist(), label.tolist()):
-            near = h[max(i - slack, first[t]):min(i + above(size) + slack, first[t + 1])]
-            out.append((ids[t], int(tkeys[t]), i - int(first[t]), size, mark, found[row][hit[row]].view(np.int64).tolist(), near.view(np.int64).tolist()))
+            near = h[max(i - slack, first[t]):min(i + above(size) + slack, last[t])]
+            out.append((ids[t], int(tkeys[t]), max(i - int(first[t]), 0), size, mark, found[row][hit[row]].view(np.int64).tolist(), near.view(np.int64).tolist()))
         yield batch(schema, zip(*out))
 
     seen = written(rows.mapInArrow(run, "doc_id long, tkey long, start int, size int, label long, keys array<long>, near array<long>"),

@@ -96,6 +96,30 @@ def test_decontamination_finds_edited_passages(spark):
     assert (2000, 90) in found and not any(d >= 1000 for d, _ in found if d < 2000)
 
 
+def decontamination_recall(spark, items, docs):
+    """Share of the planted (document, item) that is found; docs: (doc_id, item_id, words)."""
+    frame = spark.createDataFrame([(d, " ".join(seq)) for d, _, seq in docs], "doc_id long, text string")
+    benchmark = spark.createDataFrame([(i, " ".join(w)) for i, w in enumerate(items)], "item_id long, text string")
+    found = {(r.doc_id, r.item_id) for r in decontamination.leaks(frame, benchmark).collect()}
+    return np.mean([(d, i) in found for d, i, _ in docs])
+
+
+def test_decontamination_at_both_ends_and_as_whole_documents(spark):
+    """Leaks that lost words where the document ends, starts or is nothing else."""
+    chance = random.Random(9)
+    draw = lambda n: [f"v{chance.randrange(5000)}" for _ in range(n)]
+    items = [draw(n) for n in (15, 18, 22, 27, 33, 41, 51, 60) for _ in range(5)]
+    for place in ("whole", "one word less", "start", "end"):
+        docs = []
+        for i, item in enumerate(items):
+            for _ in range(3):
+                seq = list(item)
+                for _ in range(1 if place == "one word less" else decontamination.max_edits(len(item))):
+                    del seq[chance.randrange(len(seq))]
+                docs.append((len(docs), i, [*draw(60 * (place == "end")), *seq, *draw(60 * (place == "start"))]))
+        assert decontamination_recall(spark, items, docs) >= 0.95, place
+
+
 def test_decontamination_odd_rows(spark, odd, nothing):
     benchmark = spark.createDataFrame([(1, "no id here at all"), (2, None), (None, "zero byte")], "item_id long, text string")
     found = {(r.doc_id, r.item_id) for r in decontamination.leaks(odd, benchmark).collect()}
