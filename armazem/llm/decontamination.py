@@ -5,9 +5,10 @@ contaminated by an item if some stretch of it is within max_edits(len(item)) wor
 whole item: a similarity of 0.8 or more.
 
 Windows of an item's size begin at every word. Sizes are rounded down to a geometric scale of
-at most LONGEST words; an item's window is its first `size` words. A longer item is cut into
-pieces of that size: if the item is within its edits, some piece is within the same share of
-edits, and the whole item is verified around that piece.
+at most LONGEST words; an item's window is its first `size` words. A longer item is cut into k
+nearly equal pieces that cover it whole, each with a window like an item of its own: of E edits
+some piece has E // k at most, which is no more than an item of the piece's length may have.
+The whole item is verified around that piece.
 A document stands between as many end marks as an item can lose words: windows reach over both
 its ends, so that texts shorter than an item have windows, too.
 A window is embedded if it can hold an item at all: each edit spoils at most two of an item's
@@ -59,6 +60,12 @@ def above(size: int) -> int:
     return max(size + 1, size * 5 // 4) - 1
 
 
+def pieces(n: int) -> list[int]:
+    """Borders of an item's pieces: one piece, or nearly equal ones of at most LONGEST words."""
+    k = -(-n // LONGEST) if n > above(LONGEST) else 1
+    return [j * n // k for j in range(k + 1)]
+
+
 def walks(x: np.ndarray, reps: range) -> np.ndarray:
     """Keys of word windows x (rows of `size` hashes), one column a repetition."""
     n, size = x.shape
@@ -135,12 +142,12 @@ def items_of(benchmark: DataFrame, recall: float, id_col: str, text_col: str) ->
                 own = h[first[i]:first[i + 1]]
                 if not len(own):
                     continue
-                size = scale(len(own))
-                if size not in reps:
-                    reps[size] = repetitions(size, recall)
-                starts = range(0, len(own) - size + 1, size) if len(own) > above(size) else range(1)
-                keys = walks(np.stack([own[at:at + size] for at in starts]), range(reps[size]))
-                for at, key in zip(starts, keys):
+                edges = pieces(len(own))
+                for at, end in zip(edges, edges[1:]):
+                    size = scale(end - at)
+                    if size not in reps:
+                        reps[size] = repetitions(size, recall)
+                    key = walks(own[None, at:at + size], range(reps[size]))[0]
                     out.append((item, at, len(own), size, [] if at else own.view(np.int64).tolist(), key.view(np.int64).tolist(),
                                 pairs(own[at:at + size]).tolist()))
             if out:

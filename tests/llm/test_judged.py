@@ -120,6 +120,30 @@ def test_decontamination_at_both_ends_and_as_whole_documents(spark):
         assert decontamination_recall(spark, items, docs) >= 0.95, place
 
 
+def test_decontamination_of_long_items_with_edits_in_one_part(spark):
+    """Long items with all the edits allowed in their first, middle or last words."""
+    for n in range(1, 700):
+        edges = decontamination.pieces(n)
+        sizes = np.diff(edges)
+        assert edges[0] == 0 and edges[-1] == n and sizes.max() - sizes.min() <= 1 and sizes.max() <= decontamination.above(decontamination.LONGEST)
+        # The edits that some piece is bound to stay within are those its window is searched with.
+        assert decontamination.max_edits(n) // len(sizes) <= min(decontamination.max_edits(int(m)) for m in sizes)
+    chance = random.Random(10)
+    draw = lambda n: [f"v{chance.randrange(5000)}" for _ in range(n)]
+    items = [draw(n) for n in (63, 80, 101, 102, 130, 160) for _ in range(4)]
+    docs = []
+    for i, item in enumerate(items):
+        edits = decontamination.max_edits(len(item))
+        for begin in (0, (len(item) - 51) // 2, len(item) - 51):
+            for kinds in ((0,), (0, 1, 2)):
+                seq = list(item)
+                for at in sorted(chance.sample(range(begin, begin + 51), min(edits, 51)), reverse=True):
+                    kind = chance.choice(kinds)
+                    seq[at:at + 1] = [["changed"], ["added", seq[at]], []][kind]
+                docs.append((len(docs), i, [*draw(40), *seq, *draw(40)]))
+    assert decontamination_recall(spark, items, docs) >= 0.95
+
+
 def test_decontamination_odd_rows(spark, odd, nothing):
     benchmark = spark.createDataFrame([(1, "no id here at all"), (2, None), (None, "zero byte")], "item_id long, text string")
     found = {(r.doc_id, r.item_id) for r in decontamination.leaks(odd, benchmark).collect()}
