@@ -18,15 +18,33 @@ ROUNDS = 8
 # stays inside the calendar without any further walking.
 FIRST_DAY, DAY_RADICES = "1900-01-01", (229, 319)
 
-# Patterns in order of precedence; the first that fits at a place takes it.
+# Characters of an IBAN by country; those of other countries may have any length.
+IBAN_LENGTHS = {
+    15: "NO", 16: "BE", 18: "DK FI FK FO GL NL SD", 19: "MK SI", 20: "AT BA EE KZ LT LU MN XK", 21: "CH CR HR LI LV",
+    22: "BG BH DE GB GE IE ME RS VA", 23: "AE GI IL IQ OM SO TL", 24: "AD CZ ES MD PK RO SA SE SK TN VG", 25: "LY PT ST", 26: "IS TR",
+    27: "BI DJ FR GR IT MC MR SM", 28: "AL AZ BY CY DO GT HN HU LB NI PL SV", 29: "BR EG PS QA UA", 30: "JO KW MU YE", 31: "MT SC", 32: "LC", 33: "RU",
+}
+
+
+def _own_length(n: int) -> str:
+    groups, rest = divmod(n - 4, 4)
+    return rf"(?:{'|'.join(IBAN_LENGTHS[n].split())})\d{{2}}(?: ?[A-Z0-9]{{4}}){{{groups}}}" + rf" ?[A-Z0-9]{{{rest}}}" * (rest > 0)
+
+
+# Patterns in order of precedence; the first that fits at a place takes it. An IBAN ends at its
+# country's length, a card at its own grouping: an unbroken run, 4-6-5 (or 4) and 4-4-4-4, after
+# which up to three digits may belong to the card (see kept()) if nothing else begins with them.
 PATTERNS = {
     "email": r"[A-Za-z0-9._%+\-]+@[A-Za-z0-9\-]+(?:\.[A-Za-z0-9\-]+)*\.[A-Za-z]{2,}",
-    "iban": r"(?<![A-Za-z0-9])[A-Z]{2}\d{2}(?: ?[A-Z0-9]{4}){2,7}(?: ?[A-Z0-9]{1,3})?(?![A-Za-z0-9])",
+    "iban": r"(?<![A-Za-z0-9])(?:(?:" + "|".join(map(_own_length, IBAN_LENGTHS)) + r")(?![A-Za-z0-9])"
+            r"|[A-Z]{2}\d{2}(?: ?[A-Z0-9]{4}){2,7}(?: ?[A-Z0-9]{1,3})?(?![A-Za-z0-9]))",
     "ip": r"(?<![\d.])\d{1,3}(?:\.\d{1,3}){3}(?!\.?\d)",
     "date": r"(?<![\d.\-/])(?:\d{4}-\d{2}-\d{2}|\d{2}\.\d{2}\.\d{4}|\d{2}/\d{2}/\d{4})(?![\d\-/])",
     "ssn": r"(?<![\d\-])\d{3}-\d{2}-\d{4}(?![\d\-])",
     "phone": r"(?:\+\d{1,3}[ .\-]?)?\(\d{2,4}\)[ .\-]?\d{3,4}[ .\-]?\d{4}(?!\d)|\+\d{1,3}(?:[ .\-]?\d{2,4}){2,4}(?!\d)",
-    "card": r"(?<!\d)\d(?:[ \-]?\d){12,18}(?!\d)",
+    "card": r"(?<!\d)(?:\d{13,19}|\d{4}(?<six>[ \-])\d{6}\k<six>\d{4,5}"
+            r"|\d{4}(?<four>[ \-])\d{4}\k<four>\d{4}\k<four>\d{4}(?:\k<four>\d{1,3}(?![\w@]|[./\-%+]\w))?"
+            r"|\d(?:[ \-]?\d){12,18})(?!\d)",
 }
 ANY = "|".join(f"(?:{p})" for p in PATTERNS.values())
 KINDS = tuple(PATTERNS)
@@ -132,6 +150,13 @@ def card(m: Column, key: str) -> tuple[Column, Column]:
     return luhn(digits) % 10 == 0, reshaped(m, F.concat(body, check.cast("string")))
 
 
+def kept(m: Column) -> Column:
+    """The value in a match: its first four groups of four digits if only they are a valid card."""
+    short = F.regexp_extract(m, r"^(\d{4}([ \-])\d{4}\2\d{4}\2\d{4})\2\d{1,3}$", 1)
+    swollen = (short != "") & (luhn(only(m, r"\D")) % 10 != 0) & (luhn(only(short, r"\D")) % 10 == 0)
+    return F.when(swollen, short).otherwise(m)
+
+
 def iban(m: Column, key: str) -> tuple[Column, Column]:
     plain = only(m, " ")
     country, body = F.substr(plain, F.lit(1), F.lit(2)), F.substr(plain, F.lit(5), F.length(plain))
@@ -200,10 +225,12 @@ def pseudonymised(docs: DataFrame, key: str, id_col: str = "doc_id", text_col: s
     text = F.col(text_col).cast("string")
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), text.alias("text"))
     rows = rows.withColumn("matches", F.coalesce(F.regexp_extract_all("text", F.lit(ANY), F.lit(0)), F.array().cast("array<string>")))
-    rows = rows.withColumn("made", F.transform("matches", lambda m: pseudonym(m, key)))
+    rows = rows.withColumn("values", F.transform("matches", kept))
+    rows = rows.withColumn("made", F.transform("values", lambda m: pseudonym(m, key)))
     between = F.split("text", ANY, -1)
     glued = F.array_join(F.flatten(F.transform(F.sequence(F.lit(0), F.size("made")), lambda i: F.array(
-        F.get(F.col("parts"), i), F.coalesce(F.get(F.col("made"), i)["pseudonym"], F.lit(""))))), "")
+        F.get(F.col("parts"), i), F.coalesce(F.get(F.col("made"), i)["pseudonym"], F.lit("")), F.coalesce(
+            F.substr(F.get(F.col("matches"), i), F.length(F.get(F.col("values"), i)) + 1), F.lit(""))))), "")
     rows = rows.withColumn("parts", F.when(F.size("made") > 0, between))
     return rows.select("doc_id", F.when(F.size("made") > 0, glued).otherwise(F.col("text")).alias("text"),
                        F.filter("made", lambda x: x["kind"].isNotNull()).alias("found"))

@@ -297,6 +297,28 @@ def test_pseudonyms(spark):
         assert check(new)
 
 
+SWOLLEN = [
+    ("card", "4111 1111 1111 1111", " 05/27"), ("card", "4111 1111 1111 1111", " 123"), ("card", "4111-1111-1111-1111", "-123, ok"),
+    ("card", "4111 1111 1111 1111", " 05 27"), ("card", "378282246310005", " 05/27"), ("card", "3782 822463 10005", " 1234"),
+    ("card", "4111111111111111", " 12"), ("iban", "BE68 5390 0754 7034", " BIC"), ("iban", "BE68539007547034", " GEBABEBB"),
+    ("iban", "AT61 1904 3002 3457 3201", " BANK 12"), ("iban", "NO93 8601 1117 947", " X"),
+]
+
+
+def test_values_end_before_what_follows(spark):
+    """Digits after a card and capitals after an IBAN are not part of it."""
+    rows = [(i, f"See {v}{after}") for i, (_, v, after) in enumerate(SWOLLEN)]
+    rows += [(100, "4111 1111 1111 1111 12/31/1999"), (101, "4111 1111 1111 1111 192.168.1.77"), (102, "4111 1111 1111 1111 123-45-6789"),
+             (103, "BE68 5390 0754 7034 BE68 5390 0754 7034"), (104, "4111 1111 1111 1111 4111 1111 1111 1111"), (105, "6304 0000 0000 0000 125")]
+    found = {r.doc_id: r for r in pii.pseudonymised(spark.createDataFrame(rows, "doc_id long, text string"), "key").collect()}
+    for i, (kind, value, after) in enumerate(SWOLLEN):
+        assert [(f.kind, f.value) for f in found[i].found] == [(kind, value)], (value, after, found[i])
+        assert found[i].text == f"See {found[i].found[0].pseudonym}{after}" and found[i].found[0].pseudonym != value
+    assert [[f.kind for f in found[k].found] for k in range(100, 105)] == [["card", "date"], ["card", "ip"], ["card", "ssn"], ["iban", "iban"], ["card", "card"]]
+    whole = rows[-1][1]
+    assert luhn_ok(whole) and [f.value for f in found[105].found] == [whole]
+
+
 def test_values_that_fail_their_check_stay(spark):
     frame = spark.createDataFrame([(i, f"a {v} b") for i, v in enumerate(NOT_VALID)], "doc_id long, text string")
     for r in pii.pseudonymised(frame, "key").collect():
