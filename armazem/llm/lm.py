@@ -6,15 +6,16 @@ to. The network reads a text's classes and predicts the next one; a word's share
 comes from counts over the whole training corpus. So the probability of a text is the product
 over its words of P(class | what came before) x P(word | class), and the end counts as a word.
 
-The network (one GRU layer, in numpy) is trained by truncated backpropagation on stretches of
-every training document: each partition trains its own copy and Spark averages the copies, in
-two rounds. For scores the state is carried across windows, so the whole document counts.
+The network (one GRU layer, in numpy) is trained by truncated backpropagation on every word of
+every training document, the state carried from window to window: each partition trains its own
+copy and Spark averages the copies, in two rounds. For scores the state is carried across windows, so the whole document counts.
 Words met rarely are counted in Spark tables and joined; the words sent to every worker are those
 with more than 1/HEADS of all tokens, of which there are at most HEADS.
 """
 
 from __future__ import annotations
 
+import heapq
 from collections.abc import Iterator
 
 import numpy as np
@@ -31,7 +32,8 @@ ALONE, CLUSTERS = 15, 32
 CLASSES = ALONE + 1 + CLUSTERS
 END = ALONE  # class of the end of a text
 END_HASH = np.uint64(0)
-HIDDEN, WINDOW, BATCH = 16, 32, 64
+HIDDEN, WINDOW, LANES = 16, 32, 256
+SHARE = 64  # lanes from which on a window counts in full
 _SLICE = 4 << 20
 _HELD_WORDS = 1_000_000
 
@@ -196,12 +198,16 @@ def step(x: np.ndarray, h: np.ndarray, u: np.ndarray) -> tuple[np.ndarray, ...]:
     return new + z * (h - new), z, r, new, inner[:, 2 * HIDDEN:]
 
 
-def learn(flat: np.ndarray, seen: np.ndarray, goal: np.ndarray, mask: np.ndarray, h: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Gradient of the mean loss over one window (time x texts) and the state after it."""
+def learn(flat: np.ndarray, seen: np.ndarray, goal: np.ndarray, mask: np.ndarray, h: np.ndarray,
+          goes_on: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
+    """Gradient of the mean loss over one window (time x texts) and the state after it.
+
+    goes_on: 0 where a new text begins, which starts without a state; 1 elsewhere.
+    """
     wx, u, wo, bo = unpacked(flat)
     kept, states = [], []
     for t in range(len(seen)):
-        before = h
+        before = h = h if goes_on is None else h * goes_on[t][:, None]
         h, z, r, new, inner = step(wx[seen[t]], h, u)
         kept.append((before, z, r, new, inner))
         states.append(h)
@@ -226,62 +232,88 @@ def learn(flat: np.ndarray, seen: np.ndarray, goal: np.ndarray, mask: np.ndarray
         g_inner = np.concatenate([g_z, g_r, g_new * r], axis=1)
         g_u += before.T @ g_inner
         g_h = g * z + g_inner @ u.T
-    g_wx = np.zeros_like(wx)
-    np.add.at(g_wx, seen.ravel(), g_x.reshape(-1, 3 * HIDDEN))
+        if goes_on is not None:
+            g_h *= goes_on[t][:, None]
+    g_wx = (seen.ravel() == np.arange(CLASSES)[:, None]).astype(np.float32) @ g_x.reshape(-1, 3 * HIDDEN)
     return np.concatenate([g_wx.ravel(), g_u.ravel(), g_wo.ravel(), g_bo]), h
 
 
 class Trainer:
-    """Adam over batches of stretches: windows of one text in turn, the state carried on."""
+    """Adam over windows of LANES lanes: each lane reads whole texts one after another, the state
+    carried on within a text."""
 
     def __init__(self, flat: np.ndarray, rate: float):
         self.flat, self.rate, self.turn = flat.copy(), rate, 0
         self.m, self.s = np.zeros_like(flat), np.zeros_like(flat)
-
-    def train(self, seen: np.ndarray, goal: np.ndarray, mask: np.ndarray) -> None:
-        h = np.zeros((seen.shape[1], HIDDEN), np.float32)
-        for a in range(0, len(seen), WINDOW):
-            g, h = learn(self.flat, seen[a:a + WINDOW], goal[a:a + WINDOW], mask[a:a + WINDOW], h)
-            g *= min(1.0, 1.0 / (float(np.sqrt((g * g).sum())) + 1e-9))
-            self.turn += 1
-            self.m += 0.1 * (g - self.m)
-            self.s += 0.001 * (g * g - self.s)
-            self.flat -= (self.rate * (self.m / (1 - 0.9 ** self.turn)) / (np.sqrt(self.s / (1 - 0.999 ** self.turn)) + 1e-8)).astype(np.float32)
-
-
-def trained(rows: DataFrame, known: Words, flat: np.ndarray, turn: int, windows: int = 2) -> np.ndarray:
+        self.h, self.last = np.zeros((LANES, HIDDEN), np.float32), np.full(LANES, END)
+        self.lanes: list[list[np.ndarray]] = [[] for _ in range(LANES)]
+        self.waiting = [(0, k) for k in range(LANES)]  # heap of (words waiting, lane)
+
+    def take(self, goals: list[np.ndarray]) -> None:
+        """Deal texts (their classes, up to the end), longest first, to the lane with the fewest words."""
+        for goal in sorted(goals, key=len, reverse=True):
+            n, k = self.waiting[0]
+            self.lanes[k].append(goal)
+            heapq.heapreplace(self.waiting, (n + len(goal), k))
+        self.train(self.waiting[0][0] // WINDOW * WINDOW)
+
+    def finish(self) -> None:
+        self.train(max(n for n, _ in self.waiting))
+
+    def train(self, length: int) -> None:
+        """Learn from the next words of every lane; lanes that run out are left out."""
+        for a in range(0, length, WINDOW * 32):
+            self.stretch(min(WINDOW * 32, length - a))
+
+    def stretch(self, length: int) -> None:
+        goal, seen = np.full((2, length, LANES), END)
+        mask, goes_on = np.zeros((length, LANES), np.float32), np.ones((length, LANES), np.float32)
+        for k, lane in enumerate(self.lanes):
+            if not lane:
+                continue
+            line = lane[0] if len(lane) == 1 else np.concatenate(lane)
+            now, n = line[:length], min(len(line), length)
+            goal[:n, k], mask[:n, k] = now, 1
+            seen[1:n, k] = now[:-1]
+            # A text begins after an end; the class before a lane's first word is kept in front of it.
+            seen[0, k] = self.last[k]
+            goes_on[:n, k] = seen[:n, k] != END
+            self.last[k] = now[-1]
+            self.lanes[k] = [line[length:]] if len(line) > length else []
+        self.waiting = [(max(n - length, 0), k) for n, k in self.waiting]
+        heapq.heapify(self.waiting)
+        for a in range(0, length, WINDOW):
+            part = slice(a, a + WINDOW)
+            live = mask[a] > 0
+            self.step(seen[part, live], goal[part, live], mask[part, live], goes_on[part, live], live)
+
+    def step(self, seen: np.ndarray, goal: np.ndarray, mask: np.ndarray, goes_on: np.ndarray, live: np.ndarray) -> None:
+        g, self.h[live] = learn(self.flat, seen, goal, mask, self.h[live], goes_on)
+        g *= min(1.0, 1.0 / (float(np.sqrt((g * g).sum())) + 1e-9))
+        self.turn += 1
+        self.m += 0.1 * (g - self.m)
+        self.s += 0.001 * (g * g - self.s)
+        # A window with few words, as in the last lanes of a partition, moves the weights less.
+        rate = self.rate * min(1.0, float(mask.sum()) / (WINDOW * SHARE)) ** 0.5
+        self.flat -= (rate * (self.m / (1 - 0.9 ** self.turn)) / (np.sqrt(self.s / (1 - 0.999 ** self.turn)) + 1e-8)).astype(np.float32)
+
+
+def trained(rows: DataFrame, known: Words, flat: np.ndarray, turn: int) -> np.ndarray:
     """One round: a copy of the network per partition, averaged by the texts it saw."""
     shared = rows.sparkSession.sparkContext.broadcast(known)  # at most HEADS words
     schema = pa.schema([("values", pa.list_(pa.float32())), ("n", pa.int64())])
-    length = windows * WINDOW
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        trainer, total, held = Trainer(flat, 0.02 / turn), 0, []
+        trainer, total = Trainer(flat, 0.02 / turn), 0
         for b in slices(batches, "text", _SLICE):
             h, cell, first = tokens(b)
             classes, starts = shared.value.classify(h, cell, first)
-            for s, e in zip(starts[:-1].tolist(), starts[1:].tolist()):
-                # Where the stretch begins depends on the text alone.
-                spare = max(e - s - length, 0)
-                at = s + (int((classes[s:e].sum() * 2654435761 + turn * 40503) % (spare + 1)) if spare else 0)
-                goal = classes[at:min(at + length, e)]
-                held.append((np.concatenate([[classes[at - 1] if at > s else END], goal[:-1]]), goal))
-                if len(held) == BATCH:
-                    trainer.train(*padded(held))
-                    total, held = total + BATCH, []
-        if held:
-            trainer.train(*padded(held))
-            total += len(held)
+            trainer.take([classes[s:e] for s, e in zip(starts[:-1].tolist(), starts[1:].tolist())])
+            total += b.num_rows
+        trainer.finish()
         if total:
             yield batch(schema, [pa.array([trainer.flat.tolist()], pa.list_(pa.float32())), [total]])
 
-    def padded(held: list) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        seen, goal = np.full((length, len(held)), END), np.full((length, len(held)), END)
-        mask = np.zeros((length, len(held)), np.float32)
-        for k, (a, b) in enumerate(held):
-            seen[:len(a), k], goal[:len(b), k], mask[:len(b), k] = a, b, 1
-        return seen, goal, mask
-
     copies = rows.select("text").mapInArrow(run, "values array<float>, n long")
     mean = copies.select("n", F.posexplode("values")).groupBy("pos").agg((F.sum(F.col("col") * F.col("n")) / F.sum("n")).alias("v"))
     out = flat.copy()

@@ -451,6 +451,40 @@ def test_gradient_matches_differences():
         assert abs((loss(up) - loss(down)) / 2e-5 - g[i]) < 1e-4, (i, lm_float)
 
 
+def test_training_reads_every_word_of_every_text(monkeypatch):
+    chance = np.random.default_rng(1)
+    texts = [np.append(chance.integers(lm.ALONE + 1, lm.CLASSES, n), lm.END) for n in (0, 1, 31, 32, 33, 64, 700, 5000, *[40] * 600)]
+    read, states = Counter(), []
+    learn = lm.learn
+
+    def watched(flat, seen, goal, mask, h, goes_on):
+        assert ((seen == lm.END) == (goes_on == 0))[mask > 0].all()  # a text begins without a state, and only there
+        read.update(goal[mask > 0].tolist())
+        states.append(np.abs(h).sum(1) > 0)
+        return learn(flat, seen, goal, mask, h, goes_on)
+
+    monkeypatch.setattr(lm, "learn", watched)
+    trainer = lm.Trainer(lm.parameters(np.full(lm.CLASSES, 1 / lm.CLASSES)), 0.01)
+    for some in (texts[:300], texts[300:]):
+        trainer.take(some)
+    trainer.finish()
+    assert read == Counter(np.concatenate(texts).tolist())
+    assert all(s.all() for s in states[1:])  # the state goes on from window to window
+
+
+def test_gradient_of_texts_in_one_lane():
+    """Two texts one after the other give the gradients of both."""
+    chance = np.random.default_rng(2)
+    flat = lm.parameters(np.full(lm.CLASSES, 1 / lm.CLASSES))
+    goals = [np.append(chance.integers(lm.ALONE + 1, lm.CLASSES, n), lm.END)[:, None] for n in (6, 9)]
+    seens = [np.concatenate([[[lm.END]], g[:-1]]) for g in goals]
+    none = np.zeros((1, lm.HIDDEN), np.float32)
+    apart = sum(len(g) * lm.learn(flat, s, g, np.ones(g.shape, np.float32), none)[0] for s, g in zip(seens, goals))
+    seen, goal = np.concatenate(seens), np.concatenate(goals)
+    both = lm.learn(flat, seen, goal, np.ones(goal.shape, np.float32), none, (seen != lm.END).astype(np.float32))[0]
+    assert np.allclose(both * len(goal), apart, atol=1e-4)
+
+
 def test_class_scores_carry_the_state():
     """Texts scored together equal texts scored alone, over many windows."""
     chance = np.random.default_rng(4)
