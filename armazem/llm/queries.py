@@ -1,11 +1,11 @@
-"""The ten operators as registered queries: (spark, folder of the provided tables) -> DataFrame."""
+"""The operators as registered queries: (spark, folder of the provided tables) -> DataFrame."""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from armazem.llm import bpe, decontamination, digests, lm, pii, runtime, simhash, substrings, tokenids, toxicity, urls
+from armazem.llm import bpe, codes, decontamination, digests, lm, pii, runtime, simhash, substrings, tokenids, toxicity, urls
 
 # Rules of the URL filter: verdict, then host and path prefix.
 URL_RULES = [
@@ -81,11 +81,42 @@ def op10_substring_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return substrings.digest(substrings.cleaned(table(spark, folder, "documents"), window=13))
 
 
+def op12_vector_codes(spark: SparkSession, folder: str) -> DataFrame:
+    return codes.judged(*codes.quantised(table(spark, folder, "embeddings"), parts=16, entries=64, rounds=2))
+
+
 QUERIES = {f.__name__: f for f in (
     op1_benchmark_decontamination, op2_url_filter, op3_simhash_near_dedup, op4_token_id_output, op5_pii_pseudonyms,
-    op6_byte_level_bpe, op7_exact_dedup, op8_toxicity, op9_lm_scoring, op10_substring_dedup)}
+    op6_byte_level_bpe, op7_exact_dedup, op8_toxicity, op9_lm_scoring, op10_substring_dedup, op12_vector_codes)}
+
+# One Lloyd assignment and one move of the codebooks, numbered; entries no part chose stay.
+_ASSIGNED = """
+        d{r} AS (
+            SELECT rn, part, entry, sum((x - c) * (x - c))::BIGINT AS d FROM p JOIN c{r} USING (part, pos) GROUP BY ALL),
+        a{r} AS (SELECT rn, part, min_by(entry, d * 64 + entry) AS entry, min(d) AS d FROM d{r} GROUP BY ALL)"""
+_MOVED = """
+        m{r} AS (
+            SELECT part, entry, pos, sum(x)::HUGEINT AS s, count(*)::HUGEINT AS n FROM p JOIN a{r} USING (rn, part) GROUP BY ALL),
+        c{s} AS (
+            SELECT part, entry, pos, CASE WHEN n IS NULL THEN c ELSE (s - ((s % n) + n) % n) // n END::BIGINT AS c
+            FROM c{r} LEFT JOIN m{r} USING (part, entry, pos))"""
+_CODES = f"""
+        WITH kept AS (
+            SELECT vec_id, label, row_number() OVER (ORDER BY vec_id) AS rn, list_transform(embedding, lambda x: floor(256 * x)::BIGINT) AS v
+            FROM embeddings
+            WHERE len(embedding) > 0 AND len(list_filter(embedding, lambda x: x IS NULL OR isnan(x) OR isinf(x))) = 0),
+        l AS (SELECT rn, unnest(v) AS x, unnest(range(len(v))) AS j, len(v) // 16 AS w FROM kept),
+        p AS (SELECT rn, j // w AS part, j % w AS pos, x FROM l),
+        c0 AS (SELECT part, rn - 1 AS entry, pos, x AS c FROM p WHERE rn <= 64),
+        {_ASSIGNED.format(r=0)}, {_MOVED.format(r=0, s=1)}, {_ASSIGNED.format(r=1)}, {_MOVED.format(r=1, s=2)}, {_ASSIGNED.format(r=2)},
+        book AS (SELECT sha256(string_agg(c, ',' ORDER BY part, entry, pos)) AS codebooks_sha256 FROM c2),
+        g AS (SELECT rn, string_agg(printf('%02x', entry), '' ORDER BY part) AS code, sum(d)::BIGINT AS error FROM a2 GROUP BY rn)
+        SELECT vec_id, code, error, sum(error) OVER (PARTITION BY label)::BIGINT AS label_error, codebooks_sha256
+        FROM kept JOIN g USING (rn), book
+    """
 
 ORACLE_SQL = {
+    "op12_vector_codes": _CODES,
     "op7_exact_dedup": """
         WITH d AS (
             SELECT doc_id, sha256(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')) AS text_sha256
