@@ -280,7 +280,8 @@ def fingerprint(books: np.ndarray) -> str:
 def judged(rows: DataFrame, books: np.ndarray) -> DataFrame:
     """The contract's columns: errors also summed by label, and the codebooks' digest."""
     rows = written(rows, run_folder(rows.sparkSession, "codes-rows"))
-    totals = written(rows.groupBy(F.col("label").alias("same")).agg(F.sum(F.col("error").cast("decimal(38,0)")).alias("label_error")),
+    total = F.when(F.count("error") == F.count("*"), F.sum(F.col("error").cast("decimal(38,0)")))
+    totals = written(rows.groupBy(F.col("label").alias("same")).agg(total.alias("label_error")),
                      run_folder(rows.sparkSession, "codes-labels"))
     if totals.count() <= LABELS:  # else a join that AQE may split
         totals = F.broadcast(totals)
