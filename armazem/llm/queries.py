@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from armazem.llm import bpe, codes, decontamination, digests, lm, pii, runtime, simhash, substrings, tokenids, toxicity, urls
+from armazem.llm import bpe, codes, collocations, decontamination, digests, lm, pii, runindex, runtime, simhash, substrings, tokenids, toxicity, urls
 
 # Rules of the URL filter: verdict, then host and path prefix.
 URL_RULES = [
@@ -81,13 +81,22 @@ def op10_substring_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return substrings.digest(substrings.cleaned(table(spark, folder, "documents"), window=13))
 
 
+def op11_run_length_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    return runindex.digest(runindex.cleaned(table(spark, folder, "documents"), length=50))
+
+
 def op12_vector_codes(spark: SparkSession, folder: str) -> DataFrame:
     return codes.judged(*codes.quantised(table(spark, folder, "embeddings"), parts=16, entries=64, rounds=2))
 
 
+def op13_phrase_collocations(spark: SparkSession, folder: str) -> DataFrame:
+    return collocations.collocations(table(spark, folder, "documents"), longest=5, least=100, top=2000)
+
+
 QUERIES = {f.__name__: f for f in (
     op1_benchmark_decontamination, op2_url_filter, op3_simhash_near_dedup, op4_token_id_output, op5_pii_pseudonyms,
-    op6_byte_level_bpe, op7_exact_dedup, op8_toxicity, op9_lm_scoring, op10_substring_dedup, op12_vector_codes)}
+    op6_byte_level_bpe, op7_exact_dedup, op8_toxicity, op9_lm_scoring, op10_substring_dedup, op11_run_length_dedup,
+    op12_vector_codes, op13_phrase_collocations)}
 
 # One Lloyd assignment and one move of the codebooks, numbered; entries no part chose stay.
 _ASSIGNED = """
@@ -115,7 +124,48 @@ _CODES = f"""
         FROM kept JOIN g USING (rn), book
     """
 
+# Two hexadecimal digits a byte; windows as strings of 100 digits.
+_RUNS = """
+        WITH d AS (SELECT row_number() OVER () AS row, doc_id, hex(encode(coalesce(text, ''))) AS h FROM documents),
+        p AS (SELECT row, doc_id, unnest(range(length(h) // 2)) AS i, h FROM d),
+        g AS (SELECT row, doc_id, i, CASE WHEN 2 * i + 100 <= length(h) THEN substr(h, (2 * i + 1)::INTEGER, 100) END AS gram,
+                     substr(h, (2 * i + 1)::INTEGER, 2) AS byte FROM p),
+        s AS (SELECT row, i, byte, gram IS NOT NULL AND min(doc_id) OVER (PARTITION BY gram) < doc_id AS again FROM g),
+        c AS (SELECT row, i, byte, max(again::INT) OVER (PARTITION BY row ORDER BY i ROWS BETWEEN 49 PRECEDING AND CURRENT ROW) AS gone FROM s),
+        e AS (SELECT *, lag(gone, 1, 0) OVER (PARTITION BY row ORDER BY i) AS before FROM c),
+        r AS (SELECT row, sum(gone)::BIGINT AS n_removed, sum((gone = 1 AND before = 0)::INT)::BIGINT AS n_spans,
+                     sha256(unhex(coalesce(string_agg(byte, '' ORDER BY i) FILTER (gone = 0), ''))) AS kept_sha256 FROM e GROUP BY row)
+        SELECT doc_id, (length(h) // 2)::BIGINT AS n_bytes, coalesce(n_removed, 0) AS n_removed, coalesce(n_spans, 0) AS n_spans,
+               coalesce(kept_sha256, sha256('')) AS kept_sha256
+        FROM d LEFT JOIN r USING (row)
+    """
+_COLLOCATIONS = """
+        WITH d AS (
+            SELECT coalesce(lang, 'und') AS lang, unnest(string_split_regex(translate(
+                coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\\x0A-\\x0D]')) AS piece
+            FROM documents),
+        s AS (SELECT lang, list_filter(string_split_regex(piece, '[\\x20\\x09]+'), lambda x: x <> '') AS ws FROM d),
+        g AS (SELECT lang, k, unnest(list_transform(range(1, len(ws) - k + 2), lambda i: list_slice(ws, i, i + k - 1))) AS w FROM s, range(1, 6) t(k)),
+        f AS (SELECT lang, k, w, count(*) AS a FROM g GROUP BY ALL HAVING count(*) >= 100),
+        n AS (SELECT lang, sum(len(ws))::BIGINT AS n FROM s GROUP BY lang),
+        whole AS (
+            SELECT DISTINCT lang, a AS over, list_slice(w, i, i + m - 1) AS w
+            FROM (SELECT lang, w, a, k, m, unnest(range(1, k - m + 2)) AS i FROM f, range(2, 5) t(m) WHERE m < k)),
+        c AS (SELECT * FROM f WHERE k > 1 AND NOT EXISTS (FROM whole WHERE whole.lang = f.lang AND whole.w = f.w AND 100 * over >= 100 * f.a)),
+        cut AS (SELECT c.*, unnest(range(1, k)) AS place FROM c),
+        scored AS (
+            SELECT cut.lang, cut.w, cut.k, cut.a, place, h.a AS l, t.a AS r, n.n, (1000::HUGEINT * cut.a * n.n) // (h.a::HUGEINT * t.a) AS score
+            FROM cut JOIN f h ON h.lang = cut.lang AND h.w = list_slice(cut.w, 1, place)
+            JOIN f t ON t.lang = cut.lang AND t.w = list_slice(cut.w, place + 1, cut.k) JOIN n ON n.lang = cut.lang),
+        best AS (SELECT * FROM scored QUALIFY row_number() OVER (PARTITION BY lang, w ORDER BY score, place) = 1),
+        r AS (SELECT *, array_to_string(w, ' ') AS phrase FROM best)
+        SELECT lang, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank, phrase, a, l, r, n, score::BIGINT AS score, k
+        FROM r QUALIFY rank <= 2000
+    """
+
 ORACLE_SQL = {
+    "op11_run_length_dedup": _RUNS,
+    "op13_phrase_collocations": _COLLOCATIONS,
     "op12_vector_codes": _CODES,
     "op7_exact_dedup": """
         WITH d AS (
