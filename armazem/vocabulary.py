@@ -67,6 +67,7 @@ BEST, WORST = "Melhores", "Piores"
 OK, FAILED = "OK", "FALHA"
 LOAD_DONE, LOAD_DIVERGED = "CONCLUIDA", "DIVERGENTE"
 LOAD_RUNNING, LOAD_FAILED = "EM ANDAMENTO", "ERRO"
+BAD_NUMBER, BAD_DATE, BAD_WIDTH = "numero invalido", "data invalida", "numero de campos invalido"
 ORIGIN_GEOLOCATION = "geolocation"
 ORIGIN_TRANSACTIONS = "clientes/vendedores"
 

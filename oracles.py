@@ -8,6 +8,7 @@ half-up arithmetic because DuckDB divides decimals as doubles.
 import re
 
 from armazem import vocabulary as v
+from armazem.sources.catalog import RAW_TABLES
 
 # Parameters of the registered queries on the test tables.
 STATE = "NATION_3"
@@ -24,8 +25,8 @@ MIN_MONTH = 10
 RECURRING_ABOVE = 20
 
 
-def _list(values) -> str:
-    return ", ".join(f"'{x}'" if isinstance(x, str) else str(x) for x in values)
+def _list(values, around: str = "") -> str:
+    return around[:1] + ", ".join(f"'{x}'" if isinstance(x, str) else str(x) for x in values) + around[1:]
 
 
 def half_up(n: str, d: str, places: int, precision: int) -> str:
@@ -364,8 +365,7 @@ REPORTS = {
                     ELSE CAST(ano AS VARCHAR) END AS ano,
                CASE WHEN GROUPING(trimestre) = 0 THEN CAST(trimestre AS VARCHAR) || 'T' END AS trimestre,
                nome_mes AS mes,
-               CASE WHEN GROUPING(ano) = 1 THEN 'Geral' WHEN GROUPING(trimestre) = 1 THEN 'Ano'
-                    WHEN GROUPING(mes) = 1 THEN 'Trimestre' ELSE 'Mês' END AS nivel,
+               {_list(v.LEVELS, "[]")}[4 - GROUPING(ano) - GROUPING(trimestre) - GROUPING(mes)] AS nivel,
                CASE WHEN GROUPING(mes) = 0 THEN MIN(ano_mes) END AS ano_mes, {_SALES}
           FROM sold GROUP BY GROUPING SETS ((ano, trimestre, mes, nome_mes), (ano, trimestre), (ano), ())""",
     "o02_region_state": f"""
@@ -504,7 +504,7 @@ FEEDS = {
     "g01_monthly_revenue": _feed(_O01, f"""
         SELECT ano_mes, faturamento, pedidos,
                row_number() OVER (ORDER BY faturamento DESC, ano_mes) = 1 AS pico
-          FROM REPORT WHERE nivel = 'Mês' AND pedidos >= {MIN_MONTH}"""),
+          FROM REPORT WHERE nivel = '{v.LEVELS[-1]}' AND pedidos >= {MIN_MONTH}"""),
     "g02_state_revenue": _feed(_O02, f"SELECT estado, faturamento FROM REPORT WHERE estado <> '{v.SUBTOTAL}'"),
     "g04_category_revenue": _feed(_O04, "SELECT categoria, faturamento FROM REPORT"),
     "g06_stacked_payments": _feed(_O06, f"""
@@ -724,6 +724,11 @@ VALIDATIONS = {
 _LINE_MONEY = "CAST(l_extendedprice AS DECIMAL(12,2))"
 PROBES = {
     "s01_csv_roundtrip": "SELECT conv_id, turn, role, text FROM conversations",
+    "s01_split_csv": "SELECT doc_id, NULLIF(text, '') AS text, lang, source, n_chars FROM documents",
+    "s03_required_inputs": " UNION ALL ".join(
+        f"SELECT '{t.file_ending}' AS arquivo, '{name}' AS tabela_destino, {there} AS encontrado,"
+        f" '{v.OK if there else v.FAILED}' AS situacao"
+        for name, t in RAW_TABLES.items() for there in [name in ("sellers", "category_translation")]),
     "s02_header_check": """
         SELECT order_id, item AS order_item_id, product_id, seller_id, price, freight AS freight_value FROM s_items""",
     "s05_load_audit": " UNION ALL ".join(
@@ -733,6 +738,16 @@ PROBES = {
         SELECT ano_mes, COUNT(*) AS dias, CAST(SUM(sk_tempo) AS BIGINT) AS soma_chaves FROM d_tempo GROUP BY ano_mes""",
     "s09_export": f"SELECT CAST(COLUMNS(*) AS VARCHAR) FROM ({REPORTS['o01_rollup_calendar']}) r",
     "n01_normalize_label": f"SELECT doc_id, {label('text')} AS label FROM documents",
+    "x19_quarantine": f"""
+        WITH i AS (SELECT (order_id * 7 + item) % 101 = 0 AS price, (order_id + item) % 103 = 0 AS freight FROM s_items),
+             o AS (SELECT order_id % 97 = 0 AS bought FROM s_orders),
+             n AS (SELECT 'order_items' AS tabela, COUNT(*) AS registros_lidos, COUNT(*) FILTER (NOT price AND NOT freight) AS registros_carregados,
+                          COUNT(*) FILTER (price OR freight) AS registros_rejeitados FROM i
+                   UNION ALL SELECT 'orders', COUNT(*), COUNT(*) FILTER (NOT bought), COUNT(*) FILTER (bought) FROM o),
+             f AS (SELECT 'order_items' AS tabela, 'price' AS coluna, '{v.BAD_NUMBER}' AS motivo, COUNT(*) AS registros FROM i WHERE price
+                   UNION ALL SELECT 'order_items', 'freight_value', '{v.BAD_NUMBER}', COUNT(*) FROM i WHERE freight
+                   UNION ALL SELECT 'orders', 'order_purchase_timestamp', '{v.BAD_DATE}', COUNT(*) FROM o WHERE bought)
+        SELECT * FROM f JOIN n USING (tabela)""",
     "x03_zip_prefix": "SELECT customer_id, lpad(trim(zip), 5, '0') AS cep_prefixo FROM s_customers",
     "x07_capitalize_words": f"SELECT page_id, {words('lower(url)')} AS words FROM pages",
     "x13_date_parts": f"""
@@ -804,12 +819,11 @@ PROBES = {
                faturamento DESC, tipo_pagamento) AS posicao, regiao, tipo_pagamento
           FROM ({REPORTS['o15_region_payment_cube']}) r""",
     "l02_missing_last": """
-        SELECT * FROM (SELECT 'first' AS side, product_id, CAST(weight AS DECIMAL(12,1)) AS weight, 0 AS place
+        SELECT * FROM (SELECT 'first' AS side, product_id, CAST(weight AS DECIMAL(12,1)) AS weight, 0::BIGINT AS place
                          FROM s_products ORDER BY weight DESC NULLS FIRST, product_id LIMIT 150) a
         UNION ALL
-        SELECT 'last', product_id, CAST(weight AS DECIMAL(12,1)),
-               CAST(row_number() OVER (ORDER BY weight ASC NULLS LAST, product_id) AS INTEGER)
-          FROM s_products WHERE product_id <= 40""",
+        SELECT 'last', product_id, CAST(weight AS DECIMAL(12,1)), RANK() OVER (ORDER BY weight ASC NULLS LAST)
+          FROM s_products""",
     "w04_two_rankings": f"""
         SELECT p_brand, {total('revenue')} AS revenue, CASE WHEN best <= 3 THEN 'best' ELSE 'worst' END AS side
           FROM (SELECT *, RANK() OVER (ORDER BY revenue DESC) AS best, RANK() OVER (ORDER BY revenue) AS worst

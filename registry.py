@@ -4,7 +4,6 @@ import hashlib
 import threading
 import uuid
 from collections.abc import Callable
-from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import Window as W
@@ -13,7 +12,7 @@ from pyspark.sql import functions as F
 import oracles as p
 from armazem.functions import numbers, text
 from armazem.operators import grouping, keys, modes, pick, ranking
-from armazem.plans import checks, dims, facts, feeds, kpis, load, olap
+from armazem.plans import checks, dims, facts, feeds, kpis, load, olap, quarantine
 from armazem.plans.star import SourceStar, Star, StoredStar
 from armazem.sources import rawfiles, sinks
 from armazem.sources.binding import NAMES, Source
@@ -152,8 +151,9 @@ def f01_order_fact(spark, folder):
 
 @query
 def f02_item_fact(spark, folder):
-    staging, keyed = Source(spark, folder).staging, loaded(spark, folder)[1]
-    return facts.item_fact(staging, keyed, facts.order_fact(staging, keyed))
+    """The item fact over the staged items and the written order fact, which are dealt alike."""
+    staged, keyed, _ = loaded(spark, folder)
+    return facts.item_fact(staged, keyed, keyed["fato_pedido"])
 
 
 @query
@@ -201,10 +201,9 @@ _load_lock = threading.Lock()
 
 def state_of(spark: SparkSession, folder: str) -> tuple:
     """What the files of a source folder are now; another state asks for another load."""
-    tables = [spark.read.parquet(f"{folder}/{n}.parquet") for n in NAMES]
-    files = [t.select("_metadata.file_path", "_metadata.file_size", "_metadata.file_modification_time").distinct()
-             for t in tables]
-    return tuple(sorted(tuple(r) for r in reduce(DataFrame.unionByName, files).collect()))
+    # Only the files are listed: their contents are not among the columns asked for.
+    files = spark.read.format("binaryFile").load([f"{folder}/{n}.parquet" for n in NAMES])
+    return tuple(sorted(tuple(r) for r in files.select("path", "length", "modificationTime").collect()))
 
 
 def loaded_folder(spark: SparkSession, folder: str) -> str:
@@ -307,6 +306,17 @@ def s01_csv_roundtrip(spark, folder):
     )
 
 
+@query
+def s01_split_csv(spark, folder):
+    """Whole documents written as CSV and read back by blocks, records put together by quotes."""
+    rows = spark.read.parquet(f"{folder}/documents.parquet")
+    table = RawTable(tuple(rows.columns), "", free_text=True)
+    back = rawfiles.read_raw(spark, _through_csv(spark, folder, rows, "documents"), table, split=True)
+    return back.select(
+        F.col("doc_id").cast("bigint").alias("doc_id"), "text", "lang", "source",
+        F.col("n_chars").cast("bigint").alias("n_chars"))
+
+
 @query
 def s02_header_check(spark, folder):
     """Lines filed with their columns in another order come back in the table's order."""
@@ -324,6 +334,18 @@ def s02_header_check(spark, folder):
     )
 
 
+@query
+def s03_required_inputs(spark, folder):
+    """Which of the nine raw files are there, when only two have been delivered."""
+    raw = _scratch(spark, folder, "delivered")
+    for name in ("sellers", "category_translation"):
+        rows = Source(spark, folder).staging[name]
+        as_text = rows.select(*[F.col(c).cast("string") for c in RAW_TABLES[name].columns])
+        as_text.write.mode("overwrite").option("header", True).options(**sinks.CSV_WRITE).csv(
+            f"{raw}/shop_{RAW_TABLES[name].file_ending}")
+    return rawfiles.input_report(spark, raw)
+
+
 @query
 def s05_load_audit(spark, folder):
     return loaded(spark, folder)[2].select(
@@ -383,6 +405,26 @@ def x13_date_parts(spark, folder):
     return orders.join(parts, "data")
 
 
+@query
+def x19_quarantine(spark, folder):
+    """Items and orders with bad prices, freights and dates among them, staged with a quarantine:
+    what was set aside and why, beside the figures of the audit."""
+    staging, order = Source(spark, folder).staging, F.col("order_id")
+    items, heads = ({c: F.col(c).cast("string") for c in RAW_TABLES[n].columns} for n in ("order_items", "orders"))
+    item = F.col("order_item_id")
+    items["price"] = F.when((order * 7 + item) % 101 == 0, F.concat(items["price"], F.lit(" BRL"))).otherwise(items["price"])
+    items["freight_value"] = F.when((order + item) % 103 == 0, "free").otherwise(items["freight_value"])
+    bought = heads["order_purchase_timestamp"]
+    heads["order_purchase_timestamp"] = F.when(order % 97 == 0, "1997-02-30 00:00:00").otherwise(bought)
+    raw = {"order_items": staging["order_items"].select(*[c.alias(n) for n, c in items.items()]),
+           "orders": staging["orders"].select(*[c.alias(n) for n, c in heads.items()])}
+    target = f"{sinks.shared_folder(spark)}/quarantine-{uuid.uuid4().hex}"
+    _, audit = load.stage(spark, raw, target, quarantine=quarantine.Quarantine(most_share=0.1))
+    found = load.open_rejects(spark, target, raw).groupBy("tabela", "coluna", "motivo").agg(F.count("*").alias("registros"))
+    return found.join(audit.withColumnRenamed("tabela_destino", "tabela"), "tabela").select(
+        "tabela", "coluna", "motivo", "registros", "registros_lidos", "registros_carregados", "registros_rejeitados")
+
+
 @query
 def x20_rounding_cast(spark, folder):
     products = Source(spark, folder).staging["products"]
@@ -534,14 +576,17 @@ def l03_cube_order(spark, folder):
 
 @query
 def l02_missing_last(spark, folder):
-    """Products by weight: ascending with missing ones last, descending with them first."""
+    """All products by weight: ranked ascending with missing ones last, and the first of them
+    descending with missing ones first. Ranks come from the products of each weight, summed up."""
     products = Source(spark, folder).staging["products"].select(
         "product_id", F.col("product_weight_g").cast("decimal(12,1)").alias("weight"))
     heavy = ranking.top(products, 150, ranking.desc("weight"), ranking.asc("product_id"))
-    known = products.where("product_id <= 40")
-    place = F.row_number().over(W.orderBy(ranking.asc("weight"), ranking.asc("product_id")))
-    return heavy.select(F.lit("first").alias("side"), "product_id", "weight", F.lit(0).alias("place")).unionByName(
-        known.select(F.lit("last").alias("side"), "product_id", "weight", place.alias("place")))
+    before = W.orderBy(ranking.asc("weight")).rowsBetween(W.unboundedPreceding, -1)
+    places = products.groupBy("weight").agg(F.count("*").alias("n")).select(
+        F.col("weight").alias("of"), (F.coalesce(F.sum("n").over(before), F.lit(0)) + 1).alias("place"))
+    ranked = products.join(places, F.col("weight").eqNullSafe(F.col("of")))
+    return heavy.select(F.lit("first").alias("side"), "product_id", "weight", F.lit(0).cast("long").alias("place")).unionByName(
+        ranked.select(F.lit("last").alias("side"), "product_id", "weight", "place"))
 
 
 @query
