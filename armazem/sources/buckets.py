@@ -19,7 +19,7 @@ from armazem.sources.literals import literal_rows
 
 SPEC = "baldes"
 #: A bucket counts as too large beyond this many times the mean, and this many rows.
-UNEVEN, LARGE = 4, 1_000_000
+UNEVEN, LARGE = 2.5, 1_000_000
 _SCHEMA = "chave string, baldes int"
 
 

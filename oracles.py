@@ -739,7 +739,7 @@ PROBES = {
     "s09_export": f"SELECT CAST(COLUMNS(*) AS VARCHAR) FROM ({REPORTS['o01_rollup_calendar']}) r",
     "n01_normalize_label": f"SELECT doc_id, {label('text')} AS label FROM documents",
     "x19_quarantine": f"""
-        WITH i AS (SELECT (order_id * 7 + item) % 101 = 0 AS price, (order_id + item) % 103 = 0 AS freight FROM s_items),
+        SELECT * FROM (WITH i AS (SELECT (order_id * 7 + item) % 101 = 0 AS price, (order_id + item) % 103 = 0 AS freight FROM s_items),
              o AS (SELECT order_id % 97 = 0 AS bought FROM s_orders),
              n AS (SELECT 'order_items' AS tabela, COUNT(*) AS registros_lidos, COUNT(*) FILTER (NOT price AND NOT freight) AS registros_carregados,
                           COUNT(*) FILTER (price OR freight) AS registros_rejeitados FROM i
@@ -747,7 +747,7 @@ PROBES = {
              f AS (SELECT 'order_items' AS tabela, 'price' AS coluna, '{v.BAD_NUMBER}' AS motivo, COUNT(*) AS registros FROM i WHERE price
                    UNION ALL SELECT 'order_items', 'freight_value', '{v.BAD_NUMBER}', COUNT(*) FROM i WHERE freight
                    UNION ALL SELECT 'orders', 'order_purchase_timestamp', '{v.BAD_DATE}', COUNT(*) FROM o WHERE bought)
-        SELECT * FROM f JOIN n USING (tabela)""",
+        SELECT * FROM f JOIN n USING (tabela)) q""",
     "x03_zip_prefix": "SELECT customer_id, lpad(trim(zip), 5, '0') AS cep_prefixo FROM s_customers",
     "x07_capitalize_words": f"SELECT page_id, {words('lower(url)')} AS words FROM pages",
     "x13_date_parts": f"""
