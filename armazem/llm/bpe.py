@@ -22,6 +22,7 @@ from pyspark.sql import functions as F
 from armazem.llm.runtime import batch, parts, ship, slices, texts
 
 _KEPT = 400_000
+_NO_RANK = 1 << 62
 _SLICE = 2 << 20
 # Borders nearer to a cut than the longest fixed alternative of the pattern are not trusted.
 _GUARD = 4
@@ -44,7 +45,7 @@ class Codec:
         self.pattern = regex.compile(pattern)
         self.pieces = _Pieces(self.ranks)
         top = max(self.ranks.values(), default=-1) + 1
-        self.bytes_of = [b""] * top
+        self.bytes_of = np.full(top, b"", object)
         for token, i in self.ranks.items():
             self.bytes_of[i] = token
 
@@ -64,7 +65,7 @@ class Codec:
         return b"".join(map(self.pieces.__getitem__, pieces))
 
     def decode(self, ids: bytes) -> bytes:
-        return b"".join(map(self.bytes_of.__getitem__, np.frombuffer(ids, "<u4").tolist()))
+        return b"".join(self.bytes_of[np.frombuffer(ids, "<u4")].tolist())
 
 
 class _Pieces(dict):
@@ -88,19 +89,18 @@ def merge(raw: bytes, ranks: dict[bytes, int]) -> list[int]:
     """Merge the leftmost pair of least rank until no pair has one."""
     if len(raw) > 100:
         return merge_long(raw, ranks)
+    find = ranks.get
     part = [raw[i:i + 1] for i in range(len(raw))]
-    rank = [ranks.get(a + b) for a, b in zip(part, part[1:])]
-    while True:
-        best = min((r for r in rank if r is not None), default=None)
-        if best is None:
-            return [ranks[p] for p in part]
+    rank = [find(raw[i:i + 2], _NO_RANK) for i in range(len(raw) - 1)]
+    while rank and (best := min(rank)) != _NO_RANK:
         i = rank.index(best)
-        part[i:i + 2] = [part[i] + part[i + 1]]
+        part[i] += part.pop(i + 1)
         del rank[i]
         if i:
-            rank[i - 1] = ranks.get(part[i - 1] + part[i])
+            rank[i - 1] = find(part[i - 1] + part[i], _NO_RANK)
         if i < len(rank):
-            rank[i] = ranks.get(part[i] + part[i + 1])
+            rank[i] = find(part[i] + part[i + 1], _NO_RANK)
+    return [ranks[p] for p in part]
 
 
 def merge_long(raw: bytes, ranks: dict[bytes, int]) -> list[int]:
