@@ -17,6 +17,9 @@ ROUNDS = 8
 # Days of 1900-01-01 to 2099-12-31, as a product of two radices: a Feistel network over them
 # stays inside the calendar without any further walking.
 FIRST_DAY, DAY_RADICES = "1900-01-01", (229, 319)
+# Social security numbers: areas 001 to 899 but 666, groups 01 to 99, serials 0001 to 9999. All of
+# them are the numbers below the product of two radices, as days are.
+SSN_GROUPS, SSN_SERIALS, SSN_RADICES = 99, 9999, (898 * 33, 3 * 9999)
 
 # Characters of an IBAN by country; those of other countries may have any length.
 IBAN_LENGTHS = {
@@ -33,9 +36,12 @@ def _own_length(n: int) -> str:
 
 # Patterns in order of precedence; the first that fits at a place takes it. An IBAN ends at its
 # country's length, a card at its own grouping: an unbroken run, 4-6-5 (or 4) and 4-4-4-4, after
-# which up to three digits may belong to the card (see kept()) if nothing else begins with them.
+# which up to three digits may belong to the card (see kept()) if nothing else begins with them. The
+# name of an e-mail address begins where its run of characters does, or where the match before
+# ended: a run is read once, however long, and names of more than 256 characters are none.
+_NAME = r"[A-Za-z0-9._%+\-]"
 PATTERNS = {
-    "email": r"[A-Za-z0-9._%+\-]+@[A-Za-z0-9\-]+(?:\.[A-Za-z0-9\-]+)*\.[A-Za-z]{2,}",
+    "email": rf"(?:(?<!{_NAME})|\G){_NAME}{{1,256}}+@[A-Za-z0-9\-]+(?:\.[A-Za-z0-9\-]+){{0,126}}\.[A-Za-z]{{2,}}",
     "iban": r"(?<![A-Za-z0-9])(?:(?:" + "|".join(map(_own_length, IBAN_LENGTHS)) + r")(?![A-Za-z0-9])"
             r"|[A-Z]{2}\d{2}(?: ?[A-Z0-9]{4}){2,7}(?: ?[A-Z0-9]{1,3})?(?![A-Za-z0-9]))",
     "ip": r"(?<![\d.])\d{1,3}(?:\.\d{1,3}){3}(?!\.?\d)",
@@ -187,7 +193,13 @@ def date(m: Column, key: str) -> tuple[Column, Column]:
 
 
 def ssn(m: Column, key: str) -> tuple[Column, Column]:
-    return ~m.rlike("^(000|666|9)|-00-|-0000$"), reshaped(m, permuted(only(m, r"\D"), key, "ssn"))
+    area, group, serial = (F.split_part(m, F.lit("-"), F.lit(i)).try_cast("long") for i in (1, 2, 3))
+    rank = ((area - F.when(area > 666, 2).otherwise(1)) * SSN_GROUPS + group - 1) * SSN_SERIALS + serial - 1
+    made = permuted_number(rank, SSN_RADICES, key, "ssn")
+    upper = F.floor(made / SSN_SERIALS).cast("long")
+    place = F.floor(upper / SSN_GROUPS).cast("long")
+    parts = (place + F.when(place >= 665, 2).otherwise(1), 3), (upper % SSN_GROUPS + 1, 2), (made % SSN_SERIALS + 1, 4)
+    return ~m.rlike("^(000|666|9)|-00-|-0000$"), F.concat_ws("-", *(F.lpad(n.cast("string"), width, "0") for n, width in parts))
 
 
 def phone(m: Column, key: str) -> tuple[Column, Column]:
@@ -219,8 +231,11 @@ def pseudonymised(docs: DataFrame, key: str, id_col: str = "doc_id", text_col: s
     """One row per document: doc_id, text with pseudonyms, found (array of kind, value and
     pseudonym, in order).
 
-    Values that look like a kind but fail its check stay as they are and are not listed. A null
-    text stays null, with nothing found; empty texts, repeated rows and missing ids pass through.
+    Values that look like a kind but fail its check stay as they are and are not listed. A pseudonym
+    passes the check of its kind. A null text stays null, with nothing found; empty texts, repeated
+    rows and missing ids pass through, and an empty table gives no rows. Very long texts are read
+    once from end to end, in time that grows with their length. Other columns are not read, so their
+    names don't matter.
     """
     text = F.col(text_col).cast("string")
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), text.alias("text"))
@@ -228,10 +243,10 @@ def pseudonymised(docs: DataFrame, key: str, id_col: str = "doc_id", text_col: s
     rows = rows.withColumn("values", F.transform("matches", kept))
     rows = rows.withColumn("made", F.transform("values", lambda m: pseudonym(m, key)))
     between = F.split("text", ANY, -1)
-    glued = F.array_join(F.flatten(F.transform(F.sequence(F.lit(0), F.size("made")), lambda i: F.array(
-        F.get(F.col("parts"), i), F.coalesce(F.get(F.col("made"), i)["pseudonym"], F.lit("")), F.coalesce(
-            F.substr(F.get(F.col("matches"), i), F.length(F.get(F.col("values"), i)) + 1), F.lit(""))))), "")
-    rows = rows.withColumn("parts", F.when(F.size("made") > 0, between))
+    # Arrays are paired, not indexed: an array behind an index would be made anew for every match.
+    tails = F.zip_with("matches", "values", lambda m, v: F.substr(m, F.length(v) + 1))
+    new = F.zip_with("made", tails, lambda p, t: F.concat(p["pseudonym"], t))
+    glued = F.array_join(F.zip_with(between, new, lambda a, b: F.concat(a, F.coalesce(b, F.lit("")))), "")
     return rows.select("doc_id", F.when(F.size("made") > 0, glued).otherwise(F.col("text")).alias("text"),
                        F.filter("made", lambda x: x["kind"].isNotNull()).alias("found"))
 
