@@ -150,6 +150,52 @@ def test_index_stays_and_takes_in_new_data(spark):
     index.close()
 
 
+def test_index_opened_with_other_settings_stays_right(spark):
+    """Three batches with 4, 8 and 3 buckets asked for, then compacted, against brute force."""
+    path, seen, doc = runtime.run_folder(spark, "index"), {}, 0
+    for batch, asked in enumerate((4, 8, 3, 5)):
+        texts = [f"text {i}" for i in range(batch * 60, batch * 60 + 130)] + ["same"] * 40
+        rows = [(doc + i, t) for i, t in enumerate(texts)]
+        doc += len(rows)
+        index = digests.DigestIndex(spark, path, asked)
+        assert index.buckets == (4 if batch < 3 else 6)
+        found = {r.doc_id: r for r in digests.deduplicated(spark.createDataFrame(rows, "doc_id long, text string"), index).collect()}
+        own = defaultdict(list)
+        for d, t in rows:
+            own[t].append(d)
+        new = {t: (max(ids), len(ids)) for t, ids in own.items() if t not in seen}
+        seen |= new
+        assert len(found) == len(rows)
+        for d, t in rows:
+            keep, size = seen[t]
+            assert (found[d].keep_id, found[d].group_size, found[d].kept) == (keep, size, t in new and d == keep)
+        stored = Counter(r.text_sha256 for r in index.rows().collect())
+        assert stored == Counter({hashlib.sha256(t.encode()).hexdigest(): 1 for t in seen})
+        if batch == 2:
+            index.compact(6)
+            assert Counter(r.text_sha256 for r in index.rows().collect()) == stored
+        index.close()
+
+
+def test_a_batch_shuffles_its_own_digests_only(spark):
+    index = digests.DigestIndex(spark, runtime.run_folder(spark, "index"), 3)
+    rows = spark.range(400).selectExpr("id AS doc_id", "cast(id % 300 AS string) AS text")
+    digests.deduplicated(rows, index)
+    plan = index.met(digests.digested(rows))._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("SortMergeJoin") == 2 and "LeftAnti" in plan
+    for side in plan.split("SortMergeJoin")[1:]:  # the index is the second child: from scan to join without an exchange
+        scan = side.index("Bucketed: true")
+        assert "Exchange" not in side[side.rindex("+- Sort", 0, scan):scan]
+    index.close()
+
+
+def test_an_index_of_another_version_is_refused(spark):
+    path = runtime.run_folder(spark, "index")
+    spark.createDataFrame([(99, 0, 4)], digests.DigestIndex.SPEC).write.parquet(f"{path}/spec/0")
+    with pytest.raises(ValueError, match="version 99"):
+        digests.DigestIndex(spark, path)
+
+
 # --- long repeats ---
 
 
