@@ -39,6 +39,7 @@ LONGEST = 51  # a step of scale(): longer windows would need too many repetition
 _CELLS = 1 << 22
 _SLICE = 4 << 20
 _SEED = 77
+_TURN = np.uint64(0xD1342543DE82EF95)
 _PAD = np.uint64(1)  # no word has this hash; walks() ends with it, too
 
 
@@ -69,22 +70,28 @@ def pieces(n: int) -> list[int]:
 def walks(x: np.ndarray, reps: range) -> np.ndarray:
     """Keys of word windows x (rows of `size` hashes), one column a repetition."""
     n, size = x.shape
-    padded = np.concatenate([x, np.full((n, 1), 1, np.uint64)], axis=1)
-    total, rows = STEPS_PER_WORD * size, np.arange(n)
+    flat = np.concatenate([x, np.full((n, 1), _PAD)], axis=1).ravel()
+    total, begin = STEPS_PER_WORD * size, np.arange(n) * (size + 1)
+    end = begin + size
     out = np.empty((n, len(reps)), np.uint64)
     for column, rep in enumerate(reps):
         chance = np.random.default_rng([_SEED, size, rep])
         salts = chance.integers(1, 1 << 63, total, np.uint64)
         # The walk stands on a word up to about 2 x size steps; later ones only see the end.
         sampled = set(chance.choice(max(1, 2 * size), min(SAMPLED, 2 * size), replace=False).tolist())
-        at = np.zeros(n, np.int64)
+        place = begin.copy()
         key = np.full(n, words.mixed(np.array([size * 1000 + rep], np.uint64))[0])
-        for step in range(max(sampled) + 1):
-            now = padded[rows, at]
+        last = max(sampled)
+        for step in range(last + 1):
+            now = flat.take(place)
             if step in sampled:
                 key = words.mixed(key ^ now)
-            at += (words.mixed(now ^ salts[step]) >> np.uint64(63)).astype(np.int64)
-            np.minimum(at, size, out=at)
+            if step < last:  # the top bit of a product tells whether the walk goes on to the next word
+                now ^= salts[step]
+                now *= _TURN
+                now >>= np.uint64(63)
+                place += now.view(np.int64)
+                np.minimum(place, end, out=place)
         out[:, column] = key
     return out
 
@@ -336,8 +343,9 @@ def best_edits(item: tuple, near: tuple, most: int) -> int | None:
 
 
 def clean(docs: DataFrame, benchmark: DataFrame, recall: float = 0.95, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """The documents in which no item was found, with all their columns."""
+    """The documents in which no item was found, with all their columns, whatever their names."""
     found = leaks(docs, benchmark, recall, id_col, text_col).select(
-        F.col("doc_id").alias("__id"), F.col("tkey").alias("__key")).distinct()
-    mine = F.xxhash64(F.coalesce(F.col(text_col).cast("string"), F.lit("")))
-    return docs.join(found, F.col(id_col).cast("long").eqNullSafe(F.col("__id")) & (mine == F.col("__key")), "left_anti")
+        F.col("doc_id").alias("found_id"), F.col("tkey").alias("found_key")).distinct()
+    rows = docs.select(F.struct("*").alias("row"), F.col(id_col).cast("long").alias("id"),
+                       F.xxhash64(F.coalesce(F.col(text_col).cast("string"), F.lit(""))).alias("key"))
+    return rows.join(found, F.col("id").eqNullSafe(F.col("found_id")) & (F.col("key") == F.col("found_key")), "left_anti").select("row.*")
