@@ -242,11 +242,11 @@ def accepted(docs: DataFrame, labels: DataFrame, folds: int = 5, fit_rows: int =
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
+            # Only the text is handed on, so no other column's name matters.
             plain = b.column(b.schema.names.index(text_col)).cast(pa.string()).fill_null("")
-            b = b.append_column("__plain", plain)
-            for s in slices([b], "__plain", _SLICE):
-                part = s.rename_columns([*(f"c{i}" for i in range(s.num_columns - 1)), "text"])
-                keep = pa.array(model.scores(part.select(["text"])) < 0.5)
-                yield s.drop_columns(["__plain"]).filter(keep)
+            at = 0
+            for s in slices([pa.RecordBatch.from_arrays([plain], ["text"])], "text", _SLICE):
+                yield b.slice(at, s.num_rows).filter(pa.array(model.scores(s) < 0.5))
+                at += s.num_rows
 
     return docs.mapInArrow(run, docs.schema)
