@@ -1,7 +1,10 @@
 """A corpus pipeline of five operators, each stage written as Parquet and read again.
 
 Every stage takes (spark, docs, sf_dir) and works on all documents its predecessor kept; all but
-the last return the columns of documents.
+the last return the columns of documents, further columns too, whatever their names. A null text
+counts as an empty one; empty texts are alike, so of them one is left by the second stage. Very long
+texts are read whole. A document without an id is one like any other; of rows that share id and text
+one is kept. An empty table goes through every stage.
 """
 
 from pyspark.sql import DataFrame, SparkSession
@@ -25,21 +28,22 @@ def drop_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     index = digests.DigestIndex(spark, runtime.run_folder(spark, "pipeline-index"), buckets=runtime.parts(spark))
     try:
         judged = digests.deduplicated(docs, index)
-        kept = judged.where("kept").select(F.col("doc_id").alias("__id"), F.col("text_sha256").alias("__digest")).distinct()
+        kept = judged.where("kept").select(F.col("doc_id").alias("kept_id"), F.col("text_sha256").alias("kept_digest")).distinct()
     finally:
         index.close()
     text = F.sha2(digests.ascii_lower(F.coalesce(F.col("text"), F.lit(""))).cast("binary"), 256)
-    marked = docs.withColumn("__text", text)
-    same = F.col("doc_id").eqNullSafe(F.col("__id")) & (F.col("__text") == F.col("__digest"))
-    return marked.join(kept, same, "left_semi").dropDuplicates(["doc_id", "__text"]).select(*docs.columns)
+    rows = docs.select(F.struct("*").alias("row"), F.col("doc_id").alias("id"), text.alias("digest"))
+    same = F.col("id").eqNullSafe(F.col("kept_id")) & (F.col("digest") == F.col("kept_digest"))
+    return rows.join(kept, same, "left_semi").dropDuplicates(["id", "digest"]).select("row.*")
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of linked fingerprints: the one with the smallest doc_id."""
     found = simhash.near_duplicates(docs, shingle=4, max_bits=4)
     first = found.where(F.col("doc_id").eqNullSafe(F.col("component_id"))).select(
-        F.col("doc_id").alias("__id")).distinct()
-    return docs.join(first, F.col("doc_id").eqNullSafe(F.col("__id")), "left_semi")
+        F.col("doc_id").alias("first_id")).distinct()
+    rows = docs.select(F.struct("*").alias("row"), F.col("doc_id").alias("id"))
+    return rows.join(first, F.col("id").eqNullSafe(F.col("first_id")), "left_semi").select("row.*")
 
 
 def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
