@@ -3,17 +3,18 @@
 Fingerprints are 64-bit majority votes over the XXH64 hashes of word shingles. Distinct
 fingerprints within `max_bits` of each other are linked, and documents get the component.
 
-Candidate pairs. The pivot method precomputes Hamming distances to reference fingerprints,
-discards a pair when some coordinate differs by more than max_bits, and verifies the rest. On
-uniform 64-bit fingerprints a coordinate has a standard deviation of 4 bits, so a grid over
-coordinates keeps more than half of all pairs a pivot, and using it alone as the join would
-compare nearly all pairs. Fingerprints are therefore first dealt into groups by equal bit blocks
-(max_bits + 2 blocks: two fingerprints within max_bits agree on two blocks at least, so every
-link falls into a group), and the pivot tables work inside each group: the references are
-members, chosen until every member lies within max_bits of one; links within such a ball go
-through its reference, and two balls are compared only on rows whose coordinate leaves a link
-possible. A group of n copies around one text so costs n, not n^2, and gives a spanning forest.
-Groups of more than `most` rows are dealt into blocks of rows, each pair of blocks in its own task.
+Candidate pairs. Every distinct fingerprint is given its row of the pivot table once: its Hamming
+distances to fixed reference fingerprints, a byte each in one long. By the triangle inequality two
+fingerprints within max_bits differ by no more than that in any coordinate, so a pair is discarded
+by its largest coordinate difference (all bytes at once), and only survivors are verified.
+
+A coordinate of uniform 64-bit fingerprints has a standard deviation of 4 bits, so a join on the
+table alone would look at nearly all pairs. Fingerprints are therefore first dealt into groups by
+equal bit blocks (max_bits + 2 blocks: two fingerprints within max_bits agree on two blocks at
+least, so every link falls into a group), and the table works inside each group. There, members
+close to one another are gathered into balls around one of them; links within a ball go through it,
+so a group of n copies around one text costs n, not n^2, and gives a spanning forest. Groups of more
+than `most` rows are dealt into blocks of rows, each pair of blocks in its own task.
 """
 
 from __future__ import annotations
@@ -31,6 +32,9 @@ from armazem.llm.components import components
 from armazem.llm.runtime import batch, byte_offsets, parts, run_folder, ship, slices, texts, written
 
 _SLICE = 4 << 20
+#: References of the pivot table; a distance of up to 64 leaves the top bit of its byte free.
+REFERENCES = np.random.default_rng(64).integers(0, 1 << 63, 8, np.uint64) * np.uint64(2) + np.arange(8, dtype=np.uint64) % np.uint64(2)
+_TOPS, _ONES = np.uint64(0x8080808080808080), np.uint64(0x0101010101010101)
 
 
 def fingerprints(docs: DataFrame, shingle: int = 4, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -77,6 +81,21 @@ def blocks(max_bits: int) -> list[tuple[int, int]]:
     return [(a, b - a) for a, b in zip(edges, edges[1:])]
 
 
+def pivot_table(fp: F.Column) -> F.Column:
+    """Distances to the references, a byte each."""
+    table = F.lit(0).cast("long")
+    for k, reference in enumerate(REFERENCES.view(np.int64).tolist()):
+        table = table.bitwiseOR(F.shiftleft(F.bit_count(fp.bitwiseXOR(F.lit(reference))).cast("long"), 8 * k))
+    return table
+
+
+def possible(table: np.ndarray, one: np.ndarray | np.uint64, r: int) -> np.ndarray:
+    """Whether no coordinate differs by more than r (below 64)."""
+    slack = _ONES * np.uint64(r)
+    above, below = (table | _TOPS) - one + slack, (one | _TOPS) - table + slack
+    return (above & below & _TOPS) == _TOPS
+
+
 def similar(prints: DataFrame, max_bits: int = 4, most: int = 20_000) -> DataFrame:
     """Links (a, b) between nodes of (node, fp), fingerprints being distinct.
 
@@ -95,14 +114,15 @@ def similar(prints: DataFrame, max_bits: int = 4, most: int = 20_000) -> DataFra
 
     keys = [F.struct(F.lit(t).cast("short").alias("t"), F.shiftleft(block(i), cuts[j][1]).bitwiseOR(block(j)).alias("key"))
             for t, (i, j) in enumerate(combinations(range(len(cuts)), 2))]
-    dealt = prints.select("node", "fp", F.explode(F.array(*keys)).alias("g")).select("g.t", "g.key", "node", "fp")
+    rows = prints.select("node", "fp", pivot_table(F.col("fp")).alias("pivots"))
+    dealt = rows.select("node", "fp", "pivots", F.explode(F.array(*keys)).alias("g")).select("g.t", "g.key", "node", "fp", "pivots")
     large = dealt.groupBy("t", "key").count().where(F.col("count") > most).select(
         "t", "key", F.ceil(F.col("count") / most).cast("int").alias("n"))
     mine = F.expr("pmod(xxhash64(node), n)").cast("int")
     pairs = F.when(F.col("n").isNull(), F.array(F.lit(0))).otherwise(F.transform(
         F.sequence(F.lit(0), F.col("n") - 1), lambda o: F.least(mine, o) * F.col("n") + F.greatest(mine, o)))
     dealt = dealt.join(large, ["t", "key"], "left").select(
-        "t", "key", F.explode(pairs).alias("part"), "node", "fp")
+        "t", "key", F.explode(pairs).alias("part"), "node", "fp", "pivots")
     dealt = dealt.repartition(parts(spark), "t", "key", "part").sortWithinPartitions("t", "key", "part", "node")
     schema = pa.schema([("a", pa.int64()), ("b", pa.int64())])
 
@@ -111,7 +131,7 @@ def similar(prints: DataFrame, max_bits: int = 4, most: int = 20_000) -> DataFra
         for rows in batches:
             if not rows.num_rows:
                 continue
-            now = np.stack([rows.column(c).to_numpy(zero_copy_only=False).astype(np.int64) for c in ("t", "key", "part", "node", "fp")])
+            now = np.stack([rows.column(c).to_numpy(zero_copy_only=False).astype(np.int64) for c in ("t", "key", "part", "node", "fp", "pivots")])
             held.append(now)
             changes = np.flatnonzero((now[:3, 1:] != now[:3, :-1]).any(0))
             if len(changes) or (len(held) > 1 and (held[-2][:3, -1] != now[:3, 0]).any()):
@@ -126,16 +146,16 @@ def similar(prints: DataFrame, max_bits: int = 4, most: int = 20_000) -> DataFra
 
 
 def linked(rows: np.ndarray, schema: pa.Schema, max_bits: int) -> Iterator[pa.RecordBatch]:
-    """Links within each group of sorted rows (t, key, part, node, fp)."""
+    """Links within each group of sorted rows (t, key, part, node, fp, pivots)."""
     edge = np.flatnonzero((rows[:3, 1:] != rows[:3, :-1]).any(0)) + 1
     start, end = np.concatenate([[0], edge]), np.concatenate([edge, [rows.shape[1]]])
-    node, fp = rows[3], rows[4].view(np.uint64)
-    size = end - start
-    two = start[size == 2]
+    node, fp, table = rows[3], rows[4].view(np.uint64), rows[5].view(np.uint64)
+    two = start[end - start == 2]
+    two = two[possible(table[two], table[two + 1], max_bits)]
     near = two[np.bitwise_count(fp[two] ^ fp[two + 1]) <= max_bits]
     a, b = [node[near]], [node[near + 1]]
-    for s, e in zip(start[size > 2].tolist(), end[size > 2].tolist()):
-        x, y = forest(fp[s:e], max_bits)
+    for s, e in zip(start[end - start > 2].tolist(), end[end - start > 2].tolist()):
+        x, y = forest(fp[s:e], table[s:e], max_bits)
         a.append(node[s:e][x])
         b.append(node[s:e][y])
     a, b = np.concatenate(a), np.concatenate(b)
@@ -143,8 +163,8 @@ def linked(rows: np.ndarray, schema: pa.Schema, max_bits: int) -> Iterator[pa.Re
         yield batch(schema, [a, b])
 
 
-def forest(fp: np.ndarray, r: int) -> tuple[np.ndarray, np.ndarray]:
-    """Links that join exactly the members joined by pairs within r bits, by pivot tables."""
+def forest(fp: np.ndarray, table: np.ndarray, r: int) -> tuple[np.ndarray, np.ndarray]:
+    """Links that join exactly the members joined by pairs within r bits, by the pivot table."""
     n = len(fp)
     root = np.arange(n)
 
@@ -162,29 +182,29 @@ def forest(fp: np.ndarray, r: int) -> tuple[np.ndarray, np.ndarray]:
             root[max(p, q)] = min(p, q)
             out.append((i, j))
 
-    ball = np.full(n, -1)
-    pivots: list[int] = []
+    def within(rows: np.ndarray, i: int, bits: int) -> np.ndarray:
+        """Of the rows, those within so many bits of i: discarded by the table, then verified."""
+        rows = rows[possible(table[rows], table[i], bits)]
+        return rows[np.bitwise_count(fp[rows] ^ fp[i]) <= bits]
+
+    every, ball, centres = np.arange(n), np.full(n, -1), []
     for i in range(n):
         if ball[i] >= 0:
             continue
-        far = np.bitwise_count(fp ^ fp[i])
-        near = np.flatnonzero(far <= r)
+        near = within(every, i, r)
         for j in near.tolist():
             join(i, j)
         mine = near[ball[near] < 0]
         ball[mine] = i
         if len(mine) > 1:
-            pivots.append(i)
-    for p in pivots:
-        far = np.bitwise_count(fp ^ fp[p]).astype(np.int16)  # the pivot's column of the table
+            centres.append(i)
+    for p in centres:  # members of two balls may be linked if one lies within 2 r of the other's centre
         inner = np.flatnonzero(ball == p)
-        for j in np.flatnonzero((far <= 2 * r) & (ball != p)).tolist():
-            if find(j) == find(p):
-                continue
-            possible = inner[np.abs(far[inner] - far[j]) <= r]
-            hit = possible[np.bitwise_count(fp[possible] ^ fp[j]) <= r]
-            if len(hit):
-                join(int(hit[0]), j)
+        for j in within(every[ball != p], p, 2 * r).tolist():
+            if find(j) != find(p):
+                hit = within(inner, j, r)
+                if len(hit):
+                    join(int(hit[0]), j)
     links = np.array(out, np.int64).reshape(-1, 2)
     return links[:, 0], links[:, 1]
 
