@@ -124,11 +124,19 @@ def freight_share(items: Column, freight: Column) -> Column:
 # --- facts --------------------------------------------------------------------------------------
 
 
-def order_fact(stg: Tables, dims: Tables) -> DataFrame:
+def _beside(rows: DataFrame, dealt: bool) -> DataFrame:
+    """A side of a join by order. Where the tables are dealt by it, a merge of their buckets keeps the
+    result dealt alike, so that it is written as it comes."""
+    return rows.hint("merge") if dealt else rows
+
+
+def order_fact(stg: Tables, dims: Tables, keys_first: bool = False) -> DataFrame:
     """One row per order.
 
     Every 1:n side is reduced to the order first, so the joins on ``order_id`` add columns
-    and never rows. Customer keys are resolved once per account and joined last.
+    and never rows. Customer keys are resolved once per account and joined last, or with
+    ``keys_first`` while the rows are still narrow: for tables dealt by order, which the rows
+    return to and are left in.
     """
     heads = stg["orders"].select(
         "order_id",
@@ -150,18 +158,21 @@ def order_fact(stg: Tables, dims: Tables) -> DataFrame:
         .join(dims["dim_geografia"].select("cep_prefixo", "sk_geografia"), "cep_prefixo")
         .select("customer_id", "sk_cliente", "sk_geografia")
     )
-    joined = (
-        heads.join(item_totals(stg), "order_id", "left")
-        .join(payment_totals(stg), "order_id", "left")
-        .join(review_scores(stg), "order_id", "left")
-        .join(
+
+    def keyed(rows: DataFrame) -> DataFrame:
+        known = dims["dim_status"].select("status_original", "sk_status")
+        return rows.join(known, "status_original").join(accounts, "customer_id")
+
+    def widened(rows: DataFrame) -> DataFrame:
+        for totals in (item_totals(stg), payment_totals(stg), review_scores(stg)):
+            rows = rows.join(_beside(totals, keys_first), "order_id", "left")
+        return rows.join(
             dims["dim_pagamento"].select("tipo_pagamento_original", "num_parcelas", "sk_pagamento"),
             ["tipo_pagamento_original", "num_parcelas"],
             "left",
         )
-        .join(dims["dim_status"].select("status_original", "sk_status"), "status_original")
-        .join(accounts, "customer_id")
-    )
+
+    joined = widened(keyed(heads)) if keys_first else keyed(widened(heads))
     zero = F.lit(0).cast(numbers.MONEY)
     items = F.coalesce("valor_itens", zero)
     freight = F.coalesce("valor_frete", zero)
@@ -193,8 +204,12 @@ def order_fact(stg: Tables, dims: Tables) -> DataFrame:
     )
 
 
-def item_fact(stg: Tables, dims: Tables, orders: DataFrame) -> DataFrame:
-    """One row per order item, with the keys and the replicated measures of its order."""
+def item_fact(stg: Tables, dims: Tables, orders: DataFrame, keys_first: bool = False) -> DataFrame:
+    """One row per order item, with the keys and the replicated measures of its order.
+
+    With ``keys_first`` the keys of product and seller are resolved before the items take on what
+    their order has: for tables dealt by order, see ``order_fact``.
+    """
     price, freight = numbers.money(F.col("price")), numbers.money(F.col("freight_value"))
     inherited = orders.select(
         "order_id",
@@ -202,18 +217,23 @@ def item_fact(stg: Tables, dims: Tables, orders: DataFrame) -> DataFrame:
         "sk_cliente", "sk_geografia", "sk_pagamento", "sk_status",
         "prazo_entrega_dias", "atraso_entrega_dias", "nota_avaliacao",
     )
-    return (
-        stg["order_items"]
-        .join(inherited, "order_id")
-        .join(dims["dim_produto"].select("product_id", "sk_produto"), "product_id")
-        .join(dims["dim_vendedor"].select("seller_id", "sk_vendedor"), "seller_id")
-        .select(
-            "sk_tempo", "sk_cliente", "sk_produto", "sk_vendedor", "sk_geografia",
-            "sk_pagamento", "sk_status", "order_id",
-            F.col("order_item_id").cast("int").alias("order_item_id"),
-            price.alias("valor_item"),
-            freight.alias("valor_frete"),
-            numbers.money(price + freight).alias("valor_total_item"),
-            "prazo_entrega_dias", "atraso_entrega_dias", "nota_avaliacao",
+
+    def keyed(rows: DataFrame) -> DataFrame:
+        return rows.join(dims["dim_produto"].select("product_id", "sk_produto"), "product_id").join(
+            dims["dim_vendedor"].select("seller_id", "sk_vendedor"), "seller_id"
         )
+
+    def widened(rows: DataFrame) -> DataFrame:
+        return rows.join(_beside(inherited, keys_first), "order_id")
+
+    items = stg["order_items"]
+    joined = widened(keyed(items)) if keys_first else keyed(widened(items))
+    return joined.select(
+        "sk_tempo", "sk_cliente", "sk_produto", "sk_vendedor", "sk_geografia",
+        "sk_pagamento", "sk_status", "order_id",
+        F.col("order_item_id").cast("int").alias("order_item_id"),
+        price.alias("valor_item"),
+        freight.alias("valor_frete"),
+        numbers.money(price + freight).alias("valor_total_item"),
+        "prazo_entrega_dias", "atraso_entrega_dias", "nota_avaliacao",
     )

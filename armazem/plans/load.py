@@ -147,9 +147,10 @@ def build(
         DIMENSIONS,
     )
     dealt = Buckets.of(tables["dim_tempo"].sparkSession, folder)
-    orders = facts.order_fact(stg, tables)
+    by_order = dealt is not None and dealt.number > 0
+    orders = facts.order_fact(stg, tables, by_order)
     tables["fato_pedido"] = _write_fact(orders, "sk_tempo_compra", f"{folder}/fato_pedido", dealt)
-    items = facts.item_fact(stg, tables, tables["fato_pedido"])
+    items = facts.item_fact(stg, tables, tables["fato_pedido"], by_order)
     tables["fato_vendas"] = _write_fact(items, "sk_tempo", f"{folder}/fato_vendas", dealt)
     return tables
 
@@ -157,12 +158,12 @@ def build(
 def _write_fact(rows: DataFrame, day: str, path: str, dealt: Buckets | None) -> DataFrame:
     """One folder per year of purchase, which a slice of years opens alone.
 
-    Inside, the rows are dealt by order where the staged tables are; else they are sorted by day,
+    Inside, the rows are dealt by order where the staged tables are, as they come; else they are sorted by day,
     gathered in as few files as their size asks for, and a large year is split.
     """
     dated = rows.withColumn(YEAR_FOLDER, F.expr(f"{day} div 10000").cast("int"))
     if dealt is not None and dealt.number:
-        return dealt.write(dated, path, [YEAR_FOLDER])
+        return dealt.write(dated, path, [YEAR_FOLDER], gathered=True)
     gathered = dated.hint("rebalance", YEAR_FOLDER).sortWithinPartitions(YEAR_FOLDER, day)
     gathered.write.mode("overwrite").partitionBy(YEAR_FOLDER).parquet(path)
     return rows.sparkSession.read.parquet(path)

@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from armazem.sources.literals import literal_rows
+from armazem.sources.sinks import COMPRESSION
 
 SPEC = "baldes"
 #: A bucket counts as too large beyond this many times the mean, and this many rows.
@@ -53,20 +54,26 @@ class Buckets:
         columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in fields)
         self.spark.sql(
             f"CREATE TABLE {name} ({columns}) USING parquet"
+            + f" OPTIONS (compression '{COMPRESSION}')"
             + (f" PARTITIONED BY ({', '.join(folders)})" if folders else "")
             + f" CLUSTERED BY ({self.key}) SORTED BY ({self.key}) INTO {self.number} BUCKETS LOCATION '{path}'")
         return name
 
-    def write(self, rows: DataFrame, path: str, folders: Sequence[str] = ()) -> DataFrame:
+    def write(
+        self, rows: DataFrame, path: str, folders: Sequence[str] = (), gathered: bool = False
+    ) -> DataFrame:
         """Full reload of a table of the set, in folders by columns if asked; returns it as written.
 
-        The rows of a bucket are gathered before they are written, a very large one by several tasks.
+        The rows of a bucket are gathered before they are written, a very large one by several tasks,
+        unless they come `gathered`, from a join of tables of the set by the key.
         """
         self.spark.sql(f"DROP TABLE IF EXISTS {self._name(path)}")
         columns = [c for c in rows.columns if c not in folders]
         rows = rows.select(*columns, *folders)
         name = self._create(path, rows.schema.fields, folders)
-        rows.hint("rebalance", self.number, self.key).write.insertInto(name, overwrite=True)
+        if not gathered:
+            rows = rows.hint("rebalance", self.number, self.key)
+        rows.write.insertInto(name, overwrite=True)
         return self.spark.table(name)
 
     def open(self, path: str, folders: Sequence[str] = ()) -> DataFrame:
