@@ -145,8 +145,9 @@ def d09_region_lookup(spark, folder):
 
 @query
 def f01_order_fact(spark, folder):
-    """The order fact over the written dimensions, as a load builds it."""
-    return facts.order_fact(Source(spark, folder).staging, loaded(spark, folder)[1])
+    """The order fact over the staged tables and the written dimensions, as a load builds it."""
+    staged, keyed, _ = loaded(spark, folder)
+    return facts.order_fact(staged, keyed, keys_first=True)
 
 
 @query

@@ -56,3 +56,8 @@ def test_facts_are_written_as_they_come(spark, folder):
             buckets = [re.search(r"_(\d{5})\.", f).group(1) for f in files]
             assert len(set(buckets)) == len(buckets) <= 8
             assert all(".zstd." in f for f in files)
+
+
+def test_the_order_fact_reads_the_staged_tables(spark, folder):
+    """As a load does; the provided lines are not summed by order again."""
+    assert "l_orderkey" not in plan_of(registry.f01_order_fact(spark, folder))
