@@ -31,7 +31,7 @@ from armazem.llm import words
 from armazem.llm.components import components
 from armazem.llm.runtime import batch, byte_offsets, parts, run_folder, ship, slices, texts, written
 
-_SLICE = 4 << 20
+_SLICE = 1 << 20
 #: References of the pivot table; a distance of up to 64 leaves the top bit of its byte free.
 REFERENCES = np.random.default_rng(64).integers(0, 1 << 63, 8, np.uint64) * np.uint64(2) + np.arange(8, dtype=np.uint64) % np.uint64(2)
 _TOPS, _ONES = np.uint64(0x8080808080808080), np.uint64(0x0101010101010101)

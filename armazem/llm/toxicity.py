@@ -26,7 +26,7 @@ from armazem.llm.runtime import batch, byte_offsets, crc, run_folder, ship, slic
 
 PREFIXES = (4, 5, 6)
 LABELS_AT_LEAST = 0.9  # least accuracy granted to given labels
-_SLICE = 4 << 20
+_SLICE = 1 << 20
 _SALTS = [np.uint64(0x5851F42D4C957F2D * (k + 1) % (1 << 64)) for k in range(len(PREFIXES) + 1)]
 
 
