@@ -19,6 +19,7 @@ import struct
 import zlib
 from array import array
 from collections.abc import Iterator
+from itertools import compress
 
 import numpy as np
 import pyarrow as pa
@@ -32,8 +33,10 @@ from armazem.llm.runtime import batch, byte_offsets, parts, run_folder, ship, sl
 MAGIC = b"WVM1"
 _HEAD = struct.Struct("<4sIIQQ")
 _KEPT = 800_000
-_LATIN = "\u024f"  # letters up to here are classed alike by every Unicode version
+_JOINED = 2000  # units encoded by one call of the library
 _SLICE = 4 << 20
+_BLANK, _LETTER, _MARK = 1, 2, 3
+_KINDS = bytes(_BLANK if words.BLANKS[b] else _LETTER if b < 128 and chr(b).isalpha() else _MARK if b in b'.,;:!?"()' else 0 for b in range(256))
 # White space beside the six blanks that separate words, in UTF-8.
 _WIDE_SPACE = re.compile(rb"[\x1c-\x1f]|\xc2[\x85\xa0]|\xe1\x9a\x80|\xe2\x80[\x80-\x8a\xa8\xa9\xaf]|\xe2\x81\x9f|\xe3\x80\x80")
 
@@ -53,9 +56,13 @@ class WaveletMatrix:
             plane = np.zeros(-(-len(one) // 64) * 8, np.uint8)
             plane[:-(-len(one) // 8)] = np.packbits(one, bitorder="little")
             planes.append(plane)
-            low = now[~one]
+            # Places first, then take: several times as fast as now[~one] where bits are mixed.
+            low, high = np.flatnonzero(~one), np.flatnonzero(one)
             zeros.append(len(low))
-            now = np.concatenate([low, now[one]])
+            then = np.empty_like(now)
+            now.take(low, out=then[:len(low)], mode="clip")
+            now.take(high, out=then[len(low):], mode="clip")
+            now = then
         return cls(planes, zeros, len(values))
 
     def _bit(self, k: int, at: np.ndarray) -> np.ndarray:
@@ -113,12 +120,13 @@ class WaveletMatrix:
 
     def values(self) -> np.ndarray:
         """The whole sequence: the sorting steps undone, from the last plane to the first."""
-        out = np.zeros(self.n, np.uint32)
+        kind = np.uint16 if len(self.planes) <= 16 else np.uint32
+        out = np.zeros(self.n, kind)
         for k in range(len(self.planes) - 1, -1, -1):
-            bit = np.unpackbits(self.planes[k], bitorder="little")[:self.n].astype(bool)
-            back = np.empty(self.n, np.uint32)
-            back[~bit] = out[:self.zeros[k]]
-            back[bit] = out[self.zeros[k]:] | np.uint32(1 << (len(self.planes) - 1 - k))
+            bit = np.unpackbits(self.planes[k], bitorder="little")[:self.n].view(bool)
+            back = np.empty(self.n, kind)
+            back[np.flatnonzero(~bit)] = out[:self.zeros[k]]
+            back[np.flatnonzero(bit)] = out[self.zeros[k]:] | kind(1 << (len(self.planes) - 1 - k))
             out = back
         return out
 
@@ -159,23 +167,24 @@ def from_file(data: bytes) -> tuple[list, np.ndarray, WaveletMatrix]:
 class Encoder:
     """Ids of texts by a byte-level tokenizer of the tokenizers library.
 
-    A text is cut into units (white space and the word after it): no pre-token of a byte-level
-    tokenizer reaches over the border between two units. A unit met first is split into
-    pre-tokens, and the library's model encodes a pre-token met first. Texts with other kinds of
-    white space, and tokenizers with other steps than a plain byte-level one, are encoded whole.
-    Units are told apart by 64-bit hash. The memory of units and pre-tokens is bounded.
+    A text is cut into units, before white space and between a letter and a mark after it: no
+    pre-token of a byte-level tokenizer reaches over the border between two units. The library encodes the units met first,
+    many at a time, one after another as a text would hold them; the bytes each id stands for tell
+    where a unit's ids end. Texts with other kinds of white space, and tokenizers with other steps
+    than a plain byte-level one, are encoded whole. Units are told apart by 64-bit hash. The memory
+    of units is bounded.
     """
 
     _known: dict[str, Encoder] = {}
 
     def __init__(self, path: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
-        import public_tokenizers
-        import regex
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = True
+        self.tokenizer.no_truncation()
+        self.tokenizer.no_padding()
         top = self.tokenizer.get_vocab_size()
         self.bits = max(1, (top - 1).bit_length())
         self.kind = np.uint16 if top <= 1 << 16 else np.uint32
@@ -184,14 +193,10 @@ class Encoder:
             self.tokenizer.normalizer is None and all(t.special for t in added)
             and re.match(r"ByteLevel\(add_prefix_space=False, .*use_regex=True\)", str(self.tokenizer.pre_tokenizer)) is not None)
         self.units: dict[int, bytes] = {}  # by hash
-        self.pieces: dict[str, bytes] = {}
-        self.model, self.split = self.tokenizer.model, regex.compile(public_tokenizers.PATTERN).findall
-        # Printable stand-ins of the bytes, as byte-level vocabularies spell them.
-        shown = [*range(33, 127), *range(161, 173), *range(174, 256)]
-        hidden = [b for b in range(256) if b not in set(shown)]
-        self.spelled = [""] * 256
-        for byte, code in [*zip(shown, shown), *zip(hidden, range(256, 512))]:
-            self.spelled[byte] = chr(code)
+        vocabulary = self.tokenizer.get_vocab()
+        self.n_bytes = np.zeros(max(vocabulary.values(), default=0) + 1, np.int64)
+        for token, i in vocabulary.items():  # byte-level vocabularies spell every byte as one character
+            self.n_bytes[i] = len(token)
 
     @classmethod
     def open(cls, path: str) -> Encoder:
@@ -211,51 +216,65 @@ class Encoder:
         texts_of = list(zip(offsets[:-1].tolist(), offsets[1:].tolist()))
         if not self.plain:
             return [self.whole(raw[a:b].decode()) for a, b in texts_of]
-        # Units: from the end of the word before, or of the text before, to the end of the word.
-        w = words.words(offsets, data)
-        begin = np.concatenate([[0], w.end[:-1]]) if len(w) else w.end
-        opening = w.first[:-1][w.counts > 0]
-        begin[opening] = offsets[:-1][w.counts > 0]
-        last = offsets[:-1].copy()
-        last[w.counts > 0] = w.end[w.first[1:][w.counts > 0] - 1]
-        tail = np.flatnonzero(last < offsets[1:])  # texts that end in white space
-        units = words.Words(data, np.insert(begin, w.first[1:][tail], last[tail]), np.insert(w.end, w.first[1:][tail], offsets[1:][tail]), w.first)
-        n_units = w.counts
-        n_units[tail] += 1
-        keys, first, which = np.unique(units.hashes()[0], return_index=True, return_inverse=True)
+        # A unit begins with a text, with white space after a word, and with a mark after an ASCII letter.
+        kind = np.frombuffer(raw.translate(_KINDS), np.uint8)
+        begins = np.zeros(len(data), bool)
+        begins[1:] = ((kind[1:] == _BLANK) & (kind[:-1] != _BLANK)) | ((kind[1:] == _MARK) & (kind[:-1] == _LETTER))
+        begins[offsets[:-1][offsets[:-1] < offsets[1:]]] = True
+        start = np.flatnonzero(begins)
+        until = np.searchsorted(start, offsets)
+        units = words.Words(data, start, np.append(start[1:], len(data))[:len(start)], until)
+        coded = pa.array(units.hashes()[0]).dictionary_encode()
+        which = coded.indices.to_numpy()
+        keys = coded.dictionary.to_numpy().tolist()
+        first = np.empty(len(keys), np.int64)
+        first[which[::-1]] = np.arange(len(which))[::-1]
         if len(self.units) > _KEPT:
             self.units.clear()
-        if len(self.pieces) > _KEPT:
-            self.pieces.clear()
-        found = list(map(self.units.get, keys.tolist()))
-        for i in [i for i, ids in enumerate(found) if ids is None]:
-            unit = raw[units.start[first[i]]:units.end[first[i]]].decode()
-            found[i] = self.unit(unit)
-            if len(unit) < 256:
-                self.units[int(keys[i])] = found[i]
-        width = np.dtype(self.kind).itemsize
-        size = np.fromiter(map(len, found), np.int64, len(found)) // width
-        start = np.cumsum(size) - size
-        n = size[which]
-        place = np.arange(int(n.sum())) + np.repeat(start[which] - (np.cumsum(n) - n), n)
-        flat = np.frombuffer(b"".join(found), self.kind)[place].tobytes()
-        until = np.concatenate([[0], np.cumsum(n)])[np.concatenate([[0], np.cumsum(n_units)])] * width
-        out = [flat[a:b] for a, b in zip(until[:-1].tolist(), until[1:].tolist())]
-        for m in _WIDE_SPACE.finditer(raw):
-            i = int(np.searchsorted(offsets, m.start(), side="right")) - 1
-            out[i] = self.whole(raw[offsets[i]:offsets[i + 1]].decode())
+        found = list(map(self.units.get, keys))
+        new = [i for i, ids in enumerate(found) if ids is None]
+        start, end = units.start[first[new]], units.end[first[new]]
+        met = self.fresh(data, raw, start, end)
+        for i, ids in zip(new, met):
+            found[i] = ids
+        self.units.update(compress(zip([keys[i] for i in new], met), (end - start < 256).tolist()))
+        in_order = list(map(found.__getitem__, which.tolist()))
+        out = [b"".join(in_order[a:b]) for a, b in zip(until[:-1].tolist(), until[1:].tolist())]
+        if b"" in found:  # units with other white space
+            odd = np.flatnonzero(np.isin(which, [i for i, ids in enumerate(found) if not ids]))
+            for i in set((np.searchsorted(until, odd, side="right") - 1).tolist()):
+                out[i] = self.whole(raw[offsets[i]:offsets[i + 1]].decode())
         return out
 
-    def unit(self, unit: str) -> bytes:
-        if max(unit) > _LATIN:  # the library's own split where its character tables might differ
-            return self.whole(unit)
-        return b"".join([self.pieces.get(p) or self.piece(p) for p in self.split(unit)])
-
-    def piece(self, piece: str) -> bytes:
-        spelled = self.spelled
-        out = self.packed([t.id for t in self.model.tokenize("".join([spelled[b] for b in piece.encode()]))])
-        if len(piece) < 256:
-            self.pieces[piece] = out
+    def fresh(self, data: np.ndarray, raw: bytes, start: np.ndarray, end: np.ndarray) -> list[bytes]:
+        """Packed ids of units, by their first byte and end; none for a unit with other white space."""
+        # A unit without white space before its word, or without a word, might merge with its neighbour.
+        joins = words.BLANKS[data[start]] & ~words.BLANKS[data[end - 1]]
+        start, end = start.tolist(), end.tolist()
+        out = [b""] * len(start)
+        alone = [i for i in np.flatnonzero(~joins).tolist() if not _WIDE_SPACE.search(raw[start[i]:end[i]])]
+        for i, coded in zip(alone, self.tokenizer.encode_batch_fast([raw[start[i]:end[i]].decode() for i in alone], add_special_tokens=False)):
+            out[i] = self.packed(coded.ids)
+        joined = np.flatnonzero(joins).tolist()
+        for at in range(0, len(joined), _JOINED):
+            some = joined[at:at + _JOINED]
+            units = [raw[start[i]:end[i]] for i in some]
+            if _WIDE_SPACE.search(b"".join(units)):
+                some = [i for i, unit in zip(some, units) if not _WIDE_SPACE.search(unit)]
+                units = [raw[start[i]:end[i]] for i in some]
+                if not some:
+                    continue
+            ids = np.array(self.tokenizer.encode_batch_fast([b"".join(units).decode()], add_special_tokens=False)[0].ids, self.kind)
+            until, border = np.cumsum(self.n_bytes[ids]), np.cumsum(list(map(len, units)))
+            last = np.searchsorted(until, border)
+            if last[-1] != len(ids) - 1 or (until[last] != border).any():  # a vocabulary that spells bytes otherwise
+                for i, unit in zip(some, units):
+                    out[i] = self.whole(unit.decode())
+                continue
+            body, width = ids.tobytes(), ids.itemsize
+            stop = ((last + 1) * width).tolist()
+            for i, a, b in zip(some, [0, *stop], stop):
+                out[i] = body[a:b]
         return out
 
 
@@ -278,6 +297,7 @@ def write(docs: DataFrame, tokenizer: str, path: str, end_id: int = 0, docs_per_
     if n:
         found = rows.select(F.percentile_approx("doc_id", [i / shards for i in range(1, shards)], 100 * shards)).first()[0] if shards > 1 else []
         cuts = sorted(set(found or []))
+    cuts = np.array(cuts, np.int64)
     packed = pa.schema([("shard", pa.int32()), ("ids", pa.list_(pa.int64())), ("sizes", pa.list_(pa.int64())), ("body", pa.binary())])
 
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -288,10 +308,11 @@ def write(docs: DataFrame, tokenizer: str, path: str, end_id: int = 0, docs_per_
         for b in slices(batches, "text", _SLICE):
             bodies = [x + end for x in encoder.encode(*byte_offsets(b.column("text")))]
             ids = b.column("doc_id").to_pylist()
-            shard = [0 if d is None else int(np.searchsorted(cuts, d, side="right")) for d in ids]
-            out = []
-            for s in sorted(set(shard)):
-                own = [i for i, x in enumerate(shard) if x == s]
+            shard = np.searchsorted(cuts, np.array([0 if d is None else d for d in ids], np.int64), side="right")
+            shard[[i for i, d in enumerate(ids) if d is None]] = 0
+            order, out = np.argsort(shard, kind="stable"), []
+            for own in np.split(order, np.flatnonzero(np.diff(shard[order])) + 1):
+                s, own = int(shard[own[0]]), own.tolist()
                 out.append((s, [ids[i] for i in own], [len(bodies[i]) for i in own], pack(b"".join(bodies[i] for i in own))))
             yield batch(packed, zip(*out))
 

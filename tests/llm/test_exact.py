@@ -305,6 +305,35 @@ def test_tokens_odd_rows(spark, odd, nothing):
     assert tokenids.token_ids(nothing, path).count() == 0
 
 
+def test_new_units_share_calls_of_the_library():
+    """Units met first are encoded many by one call, and each keeps its ids when it is met again."""
+    import random
+
+    calls = Counter()
+
+    class Watched:
+        def __init__(self, inner):
+            self.inner = inner
+
+        def __getattr__(self, name):
+            calls[name] += 1
+            return getattr(self.inner, name)
+
+    chance, whole = random.Random(5), plain_tokenizer()
+    encoder = tokenids.Encoder(public_tokenizers.path("byte_bpe_50k.json"))
+    encoder.tokenizer, encoder.model = Watched(encoder.tokenizer), None
+    spelt = ["a", "b ", "  ", "\n", "'re", "'", "1", "22", "!?", "é", "ǆ", "中", "ɐ", "😀", "\u00a0", "\u3000", "\x1c", " \u2009 ", "<|endoftext|>", "Zz"]
+    odd = ["", " ", "\u00a0", *("".join(chance.choice(spelt) for _ in range(chance.randrange(1, 60))) for _ in range(400)), "x" * 700 + " " + "y" * 300]
+    long = [" ".join(f"w{k}x{chance.randrange(10**6)}" for k in range(3000 * i, 3000 * i + 3000)) for i in range(3)]
+    for some in (long, long, odd, odd[::-1]):
+        before = sum(calls.values())
+        ends = np.cumsum([0, *(len(x.encode()) for x in some)])
+        found = encoder.encode(ends, np.frombuffer("".join(some).encode(), np.uint8))
+        assert [np.frombuffer(x, encoder.kind).tolist() for x in found] == [whole.encode(x, add_special_tokens=False).ids for x in some]
+        if some is long:  # 9,000 units: five calls and one for the texts' first words, then none but an empty one
+            assert sum(calls.values()) - before <= (8 if not before else 1)
+
+
 # --- byte-level BPE ---
 
 
