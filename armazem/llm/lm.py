@@ -16,7 +16,9 @@ with more than 1/HEADS of all tokens, of which there are at most HEADS.
 from __future__ import annotations
 
 import heapq
+import math
 from collections.abc import Iterator
+from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
@@ -42,17 +44,35 @@ def held_out(doc_id, folds: int):
     return crc(doc_id) % folds == 0
 
 
-def tokens(rows: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(word hash, cell of its ending, index of each text's first word); A-Z lower-cased."""
+@dataclass
+class Tokens:
+    """Words of the texts, A-Z lower-cased: each different word's hash and cell of its ending, and
+    the number of the word at each place; first: index of each text's first place."""
+
+    keys: np.ndarray
+    cells: np.ndarray
+    which: np.ndarray
+    first: np.ndarray
+
+    def with_ends(self) -> tuple[np.ndarray, np.ndarray]:
+        """(numbers with the end, numbered after all words, after each text, index of each text's first)."""
+        return np.insert(self.which, self.first[1:], len(self.keys)), self.first + np.arange(len(self.first))
+
+
+def tokens(rows: pa.RecordBatch) -> Tokens:
     w = words.words(*byte_offsets(rows.column("text")))
     h = w.hashes(lower=True)[0]
     h[h == END_HASH] = np.uint64(1)
-    ending = np.zeros(len(w), np.uint64)
+    coded = pa.array(h).dictionary_encode()
+    which, keys = coded.indices.to_numpy().astype(np.int64), coded.dictionary.to_numpy()
+    at = np.empty(len(keys), np.int64)
+    at[which[::-1]] = np.arange(len(which))[::-1]  # where each word stands first
+    start, end = w.start[at], w.end[at]
+    ending = np.zeros(len(keys), np.uint64)
     for k in (1, 2, 3):
-        at = w.end - k
-        byte = np.where(at >= w.start, words.LOWER[w.data[np.maximum(at, 0)]], 0) if len(w) else np.zeros(0, np.uint8)
+        byte = np.where(end - k >= start, words.LOWER[w.data[np.maximum(end - k, 0)]], 0) if len(w) else np.zeros(0, np.uint8)
         ending = ending * np.uint64(256) + byte.astype(np.uint64)
-    return h, (words.mixed(ending) % np.uint64(CELLS)).astype(np.int64), w.first
+    return Tokens(keys, (words.mixed(ending) % np.uint64(CELLS)).astype(np.int64), which, w.first)
 
 
 def statistics(rows: DataFrame) -> DataFrame:
@@ -60,7 +80,7 @@ def statistics(rows: DataFrame) -> DataFrame:
     schema = pa.schema([("kind", pa.int32()), ("key", pa.int64()), ("cell", pa.int32()), ("n", pa.int64())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        beside = np.zeros(CELLS * CONTEXTS, np.int64)
+        pairs = np.zeros(CELLS * CELLS, np.int64)  # cells by the cells after them
         held, size = [], 0
 
         def merged() -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -73,16 +93,14 @@ def statistics(rows: DataFrame) -> DataFrame:
             return batch(schema, [np.zeros(len(h), np.int32), h.view(np.int64), c.astype(np.int32), n])
 
         for b in slices(batches, "text", _SLICE):
-            h, cell, first = tokens(b)
-            if len(h):
-                same = np.ones(len(h), bool)
-                same[first[:-1][first[:-1] < len(h)]] = False  # no word before it in its text
-                a, c = cell[:-1][same[1:]], cell[1:][same[1:]]
-                beside += np.bincount(a * CONTEXTS + c % CONTEXTS, minlength=len(beside))
-                beside += np.bincount(c * CONTEXTS + a % CONTEXTS, minlength=len(beside))
-                keys, at, n = np.unique(h, return_index=True, return_counts=True)
-                held.append((keys, n, cell[at]))
-                size += len(keys)
+            t = tokens(b)
+            if len(t.which):
+                same = np.ones(len(t.which), bool)
+                same[t.first[:-1][t.first[:-1] < len(same)]] = False  # no word before it in its text
+                cell = t.cells[t.which]
+                pairs += np.bincount((cell[:-1] * CELLS + cell[1:])[same[1:]], minlength=len(pairs))
+                held.append((t.keys, np.bincount(t.which, minlength=len(t.keys)), t.cells))
+                size += len(t.keys)
             held.append((np.array([END_HASH]), np.array([b.num_rows]), np.array([-1])))
             if size > _HELD_WORDS:
                 held = [merged()]
@@ -93,6 +111,8 @@ def statistics(rows: DataFrame) -> DataFrame:
         if held:
             held = [merged()]
             yield out()
+        pairs = pairs.reshape(CELLS, -1, CONTEXTS)
+        beside = (pairs.sum(1) + pairs.reshape(CELLS, CELLS).T.reshape(CELLS, -1, CONTEXTS).sum(1)).ravel()
         some = np.flatnonzero(beside)
         if len(some):
             yield batch(schema, [np.ones(len(some), np.int32), some, np.zeros(len(some), np.int32), beside[some]])
@@ -131,15 +151,14 @@ class Words:
         at = np.minimum(np.searchsorted(self.heads, h), len(self.heads) - 1)
         return np.where(self.heads[at] == h, at, -1)
 
-    def classify(self, h: np.ndarray, cell: np.ndarray, first: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """(classes with the end after each text, index of each text's first class)."""
-        own = self.classes[cell]
+    def classify(self, t: Tokens) -> np.ndarray:
+        """Class of each different word, and of the end."""
+        own = self.classes[t.cells]
         if len(self.alone):
             order = np.argsort(self.alone)
-            at = np.minimum(np.searchsorted(self.alone[order], h), len(self.alone) - 1)
-            own = np.where(self.alone[order][at] == h, order[at], own)
-        n = len(first) - 1
-        return np.insert(own, first[1:], END), first + np.arange(n + 1)
+            at = np.minimum(np.searchsorted(self.alone[order], t.keys), len(self.alone) - 1)
+            own = np.where(self.alone[order][at] == t.keys, order[at], own)
+        return np.append(own, END)
 
 
 def vocabulary(stats: DataFrame) -> Words:
@@ -185,57 +204,105 @@ def unpacked(flat: np.ndarray) -> list[np.ndarray]:
     return out
 
 
-def sigmoid(x: np.ndarray) -> np.ndarray:
-    return 0.5 * np.tanh(0.5 * x) + 0.5
+def advance(x: np.ndarray, h: np.ndarray, u: np.ndarray, inner: np.ndarray, out: np.ndarray) -> None:
+    """One step of the gated unit, units x texts: x, its input part, turns into the gates and the
+    inner part, inner into what the state adds to them, out into the new state."""
+    np.matmul(u, h, out=inner)
+    gates, new = x[:2 * HIDDEN], x[2 * HIDDEN:]
+    gates += inner[:2 * HIDDEN]
+    gates *= 0.5
+    np.tanh(gates, out=gates)  # the sigmoid
+    gates *= 0.5
+    gates += 0.5
+    np.multiply(gates[HIDDEN:], inner[2 * HIDDEN:], out=out)
+    new += out
+    np.tanh(new, out=new)
+    np.subtract(h, new, out=out)
+    out *= gates[:HIDDEN]
+    out += new
 
 
 def step(x: np.ndarray, h: np.ndarray, u: np.ndarray) -> tuple[np.ndarray, ...]:
-    """One step of the gated unit from its input part x: (new state, gates, inner part)."""
-    inner = h @ u
-    gates = sigmoid(x[:, :2 * HIDDEN] + inner[:, :2 * HIDDEN])
-    z, r = gates[:, :HIDDEN], gates[:, HIDDEN:]
-    new = np.tanh(x[:, 2 * HIDDEN:] + r * inner[:, 2 * HIDDEN:])
-    return new + z * (h - new), z, r, new, inner[:, 2 * HIDDEN:]
+    """One step for texts as rows: (new state, gates, inner part)."""
+    x, h = x.T.copy(), h.T.copy()
+    inner, out = np.empty_like(x), np.empty_like(h)
+    advance(x, h, u.T.copy(), inner, out)
+    return tuple(a.T for a in (out, *np.split(x, 3), inner[2 * HIDDEN:]))
+
+
+_rooms: dict[tuple, np.ndarray] = {}
+
+
+def room(name: str, shape: tuple[int, ...], kind: np.dtype) -> np.ndarray:
+    """An array used again by every window: fresh memory costs more than the work done in it."""
+    size, held = math.prod(shape), _rooms.get((name, kind))
+    if held is None or len(held) < size:
+        held = _rooms[name, kind] = np.empty(size, kind)
+    return held[:size].reshape(shape)
+
+
+def exponents(wo: np.ndarray, bo: np.ndarray, states: np.ndarray, goal: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(exponentials of the logits, time x classes x texts, the goals' logits); less the largest where they might overflow."""
+    p = np.matmul(wo.T.copy(), states, out=room("p", (len(states), CLASSES, states.shape[2]), states.dtype))
+    p += bo[:, None]
+    if np.abs(bo).max() + np.abs(wo).sum(0).max() * max(1.0, np.abs(states[0]).max()) > 80:  # a state stays within 1 or its start
+        p -= p.max(1, keepdims=True)
+    chosen = p[np.arange(len(p))[:, None], goal, np.arange(p.shape[2])]
+    return np.exp(p, out=p), chosen
 
 
 def learn(flat: np.ndarray, seen: np.ndarray, goal: np.ndarray, mask: np.ndarray, h: np.ndarray,
           goes_on: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
     """Gradient of the mean loss over one window (time x texts) and the state after it.
 
-    goes_on: 0 where a new text begins, which starts without a state; 1 elsewhere.
+    goes_on: 0 where a new text begins, which starts without a state; 1 elsewhere. Arrays are laid
+    out time x units x texts, so that each operation of a step runs over one piece of memory.
     """
     wx, u, wo, bo = unpacked(flat)
-    kept, states = [], []
-    for t in range(len(seen)):
-        before = h = h if goes_on is None else h * goes_on[t][:, None]
-        h, z, r, new, inner = step(wx[seen[t]], h, u)
-        kept.append((before, z, r, new, inner))
-        states.append(h)
-    flat_states = np.concatenate(states)
-    logits = flat_states @ wo + bo
-    logits -= logits.max(1, keepdims=True)
-    p = np.exp(logits)
-    p /= p.sum(1, keepdims=True)
-    p[np.arange(len(p)), goal.ravel()] -= 1
-    p *= (mask.ravel() / max(mask.sum(), 1))[:, None]
-    g_wo, g_bo = flat_states.T @ p, p.sum(0)
-    back = (p @ wo.T).reshape(*seen.shape, HIDDEN)
-    g_x = np.zeros((*seen.shape, 3 * HIDDEN), np.float32)
-    g_u, g_h = np.zeros_like(u), np.zeros_like(h)
-    for t in range(len(seen) - 1, -1, -1):
-        before, z, r, new, inner = kept[t]
-        g = g_h + back[t]
-        g_new = g * (1 - z) * (1 - new * new)
-        g_z = g * (before - new) * z * (1 - z)
-        g_r = g_new * inner * r * (1 - r)
-        g_x[t] = np.concatenate([g_z, g_r, g_new], axis=1)
-        g_inner = np.concatenate([g_z, g_r, g_new * r], axis=1)
-        g_u += before.T @ g_inner
-        g_h = g * z + g_inner @ u.T
+    (span, n), kind = seen.shape, flat.dtype
+    act, inner = room("act", (span, 3 * HIDDEN, n), kind), room("inner", (span, 3 * HIDDEN, n), kind)
+    before, states = room("before", (span, HIDDEN, n), kind), room("states", (span, HIDDEN, n), kind)
+    now, from_class, from_state = h.T, wx.T.copy(), u.T.copy()
+    for t in range(span):
+        np.multiply(now, 1 if goes_on is None else goes_on[t], out=before[t])
+        from_class.take(seen[t], axis=1, out=act[t], mode="clip")
+        advance(act[t], before[t], from_state, inner[t], states[t])
+        now = states[t]
+    p, _ = exponents(wo, bo, states, goal)
+    p *= (mask / (max(mask.sum(), 1) * p.sum(1)))[:, None]
+    p[np.arange(span)[:, None], goal, np.arange(n)] -= mask / max(mask.sum(), 1)
+    g_wo, g_bo = np.matmul(states, p.transpose(0, 2, 1)).sum(0), p.sum((0, 2))
+    back = np.matmul(wo, p, out=room("back", (span, HIDDEN, n), kind))
+    # Gradients of each step: at the new part, both gates, and the new part's share from the state.
+    g_step, some, g_h = room("g_step", (span, 4 * HIDDEN, n), kind), np.empty((HIDDEN, n), kind), np.zeros((HIDDEN, n), kind)
+    for t in range(span - 1, -1, -1):
+        g, z, r, new = back[t], act[t, :HIDDEN], act[t, HIDDEN:2 * HIDDEN], act[t, 2 * HIDDEN:]
+        g_new, g_z, g_r, g_inner = g_step[t].reshape(4, HIDDEN, n)
+        g += g_h
+        np.subtract(1, z, out=some)
+        np.multiply(g, some, out=g_new)
+        np.subtract(before[t], new, out=g_z)
+        g_z *= g_new
+        g_z *= z
+        np.multiply(new, new, out=some)
+        np.subtract(1, some, out=some)
+        g_new *= some
+        np.multiply(g_new, r, out=g_inner)
+        np.subtract(1, r, out=some)
+        np.multiply(g_inner, inner[t, 2 * HIDDEN:], out=g_r)
+        g_r *= some
+        np.matmul(u, g_step[t, HIDDEN:], out=g_h)
+        g *= z
+        g_h += g
         if goes_on is not None:
-            g_h *= goes_on[t][:, None]
-    g_wx = (seen.ravel() == np.arange(CLASSES)[:, None]).astype(np.float32) @ g_x.reshape(-1, 3 * HIDDEN)
-    return np.concatenate([g_wx.ravel(), g_u.ravel(), g_wo.ravel(), g_bo]), h
+            g_h *= goes_on[t]
+    turned = g_step.transpose(0, 2, 1)
+    g_u = np.matmul(before, turned[:, :, HIDDEN:]).sum(0)
+    one = room("one", (span, CLASSES, n), kind)
+    one[:] = seen.astype(np.uint8)[:, None] == np.arange(CLASSES, dtype=np.uint8)[:, None]
+    g_wx = np.matmul(one, turned[:, :, :3 * HIDDEN]).sum(0)
+    g_wx = np.concatenate([g_wx[:, HIDDEN:], g_wx[:, :HIDDEN]], axis=1)
+    return np.concatenate([g_wx.ravel(), g_u.ravel(), g_wo.ravel(), g_bo]), states[-1].T.copy()
 
 
 class Trainer:
@@ -306,8 +373,9 @@ def trained(rows: DataFrame, known: Words, flat: np.ndarray, turn: int) -> np.nd
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         trainer, total = Trainer(flat, 0.02 / turn), 0
         for b in slices(batches, "text", _SLICE):
-            h, cell, first = tokens(b)
-            classes, starts = shared.value.classify(h, cell, first)
+            t = tokens(b)
+            numbers, starts = t.with_ends()
+            classes = shared.value.classify(t)[numbers]
             trainer.take([classes[s:e] for s, e in zip(starts[:-1].tolist(), starts[1:].tolist())])
             total += b.num_rows
         trainer.finish()
@@ -329,7 +397,8 @@ def class_scores(flat: np.ndarray, classes: np.ndarray, starts: np.ndarray) -> n
     order = np.argsort(-size, kind="stable")
     begin, size = starts[:-1][order], size[order]
     total = np.zeros(len(size))
-    h, last = np.zeros((len(size), HIDDEN), np.float32), np.full(len(size), END)
+    now, last = np.zeros((HIDDEN, len(size)), np.float32), np.full(len(size), END)
+    from_class, from_state = wx.T.copy(), u.T.copy()
     at = 0
     while len(size) and at < size[0]:
         live = int(np.searchsorted(-size, -at, side="left"))
@@ -337,16 +406,20 @@ def class_scores(flat: np.ndarray, classes: np.ndarray, starts: np.ndarray) -> n
         place = np.minimum(begin[:live] + at + np.arange(span)[:, None], len(classes) - 1)
         goal = classes[place]
         seen = np.concatenate([last[None, :live], goal[:-1]])
-        states, now = np.empty((span, live, HIDDEN), np.float32), h[:live]
+        now, loss = now[:, :live], np.empty((span, live))
+        states = room("states", (span, HIDDEN, live), flat.dtype)
+        act, inner = (room(name, (3 * HIDDEN, live), flat.dtype) for name in ("act", "inner"))
         for t in range(span):
-            now = states[t] = step(wx[seen[t]], now, u)[0]
-        logits = states.reshape(-1, HIDDEN) @ wo + bo
-        top = logits.max(1)
-        chosen = logits[np.arange(len(logits)), goal.ravel()]
-        loss = (chosen - top - np.log(np.exp(logits - top[:, None]).sum(1))).reshape(span, live).astype(np.float64)
+            from_class.take(seen[t], axis=1, out=act, mode="clip")
+            advance(act, now, from_state, inner, states[t])
+            now = states[t]
+        now, few = now.copy(), max(1, WINDOW * LANES // live)
+        for a in range(0, span, few):  # as many logits at a time as stay near the processor
+            p, chosen = exponents(wo, bo, states[a:a + few], goal[a:a + few])
+            loss[a:a + few] = chosen - np.log(p.sum(1))
         loss[at + np.arange(span)[:, None] >= size[:live]] = 0
         total[:live] += loss.sum(0)
-        h[:live], last[:live] = now, goal[-1]
+        last[:live] = goal[-1]
         at += span
     out = np.zeros(len(size))
     out[order] = total / np.log(10)
@@ -386,27 +459,25 @@ def scored(docs: DataFrame, folds: int = 10, rounds: int = 2, id_col: str = "doc
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         k = shared.value
         for b in slices(batches, "text", _SLICE):
-            h, cell, first = tokens(b)
-            classes, starts = k.classify(h, cell, first)
-            h = np.insert(h, first[1:], END_HASH)
+            t = tokens(b)
+            numbers, starts = t.with_ends()
+            keys, classes = np.append(t.keys, END_HASH), k.classify(t)
             text = np.repeat(np.arange(b.num_rows), np.diff(starts))
-            at = k.find(h)
+            at = k.find(keys)
             frequent = at >= 0
             log_n = np.where(frequent, np.log10(k.counts[at] + 0.1) if len(k.counts) else 0.0, 0.0)
-            crowd = classes > ALONE
-            inside = np.where(crowd, log_n - k.log_class[classes], 0.0)
+            inside = np.where(classes > ALONE, log_n - k.log_class[classes], 0.0)
 
             def by_text(x):
-                return np.bincount(text, x, b.num_rows)
-
-            rare = np.flatnonzero(~frequent)
-            order = rare[np.lexsort((h[rare], text[rare]))]
-            new = np.flatnonzero(np.concatenate([[True], (h[order][1:] != h[order][:-1]) | (text[order][1:] != text[order][:-1])])) if len(order) else np.zeros(0, np.int64)
-            times = np.diff(np.append(new, len(order))).astype(np.int32)
-            edges = np.searchsorted(text[order][new], np.arange(b.num_rows + 1)).astype(np.int32)
-            lists = [pa.ListArray.from_arrays(pa.array(edges), pa.array(x)) for x in (h[order][new].view(np.int64), times)]
+                return np.bincount(text, x[numbers], b.num_rows)
+
+            rare = np.flatnonzero(~frequent[numbers])
+            new, times = np.unique(text[rare] * len(keys) + numbers[rare], return_counts=True)
+            edges = np.searchsorted(new, np.arange(b.num_rows + 1) * len(keys)).astype(np.int32)
+            rare, times = keys[new % len(keys)].view(np.int64), times.astype(np.int32)
+            lists = [pa.ListArray.from_arrays(pa.array(edges), pa.array(x)) for x in (rare, times)]
             yield batch(schema, [b.column("doc_id"), np.diff(starts), by_text(frequent).astype(np.int64), by_text(log_n),
-                                 class_scores(flat, classes, starts) + by_text(inside), *lists])
+                                 class_scores(flat, classes[numbers], starts) + by_text(inside), *lists])
 
     first = written(rows.mapInArrow(run, "doc_id long, n_tokens long, n_known long, base double, score double, rare array<long>, times array<int>")
                     .withColumn("row", F.monotonically_increasing_id()), run_folder(spark, "lm-scores"))

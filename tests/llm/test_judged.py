@@ -2,6 +2,7 @@
 
 import random
 import re
+import tracemalloc
 from collections import Counter
 
 import corpus_pipeline
@@ -485,6 +486,43 @@ def test_gradient_of_texts_in_one_lane():
     assert np.allclose(both * len(goal), apart, atol=1e-4)
 
 
+def test_windows_use_their_arrays_again():
+    """A window needs hardly any new memory, and what it returns outlives the next one, of another shape, too."""
+    chance = np.random.default_rng(6)
+    flat = lm.parameters(np.full(lm.CLASSES, 1 / lm.CLASSES))
+
+    def window(n):
+        seen, goal = chance.integers(0, lm.CLASSES, (2, lm.WINDOW, n))
+        h = chance.normal(0, 0.3, (n, lm.HIDDEN)).astype(np.float32)
+        return seen, goal, np.ones(seen.shape, np.float32), h, (seen != lm.END).astype(np.float32)
+
+    some, few, one = window(lm.LANES), window(7), window(1)
+    first = {id(w): [x.copy() for x in lm.learn(flat, *w)] for w in (some, few, one)}
+    held = {id(w): lm.learn(flat, *w) for w in (one, some, few)}
+    for w in (some, few, one):
+        assert all((a == b).all() for a, b in zip(first[id(w)], held[id(w)]))
+    tracemalloc.start()
+    lm.learn(flat, *some)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 3e6, peak
+
+
+def test_scores_of_large_weights():
+    """Logits beyond what an exponential holds give finite scores."""
+    flat = lm.parameters(np.full(lm.CLASSES, 1 / lm.CLASSES)) * 1000
+    found = lm.class_scores(flat, np.array([3, 20, lm.END]), np.array([0, 3]))
+    assert np.isfinite(found).all() and found[0] < 0
+
+
+def test_each_different_word_is_looked_up_once():
+    rows = pa.RecordBatch.from_pydict({"text": ["Ab ab  aB\tc", "", "c abcd"]})
+    t = lm.tokens(rows)
+    assert len(t.keys) == len(set(t.keys.tolist())) == 3 and t.which.tolist() == [0, 0, 0, 1, 1, 2] and t.first.tolist() == [0, 4, 4, 6]
+    numbers, starts = t.with_ends()
+    assert numbers.tolist() == [0, 0, 0, 1, 3, 3, 1, 2, 3] and starts.tolist() == [0, 5, 6, 9]
+
+
 def test_class_scores_carry_the_state():
     """Texts scored together equal texts scored alone, over many windows."""
     chance = np.random.default_rng(4)
