@@ -19,7 +19,6 @@ import struct
 import zlib
 from array import array
 from collections.abc import Iterator
-from itertools import compress
 
 import numpy as np
 import pyarrow as pa
@@ -32,11 +31,23 @@ from armazem.llm.runtime import batch, byte_offsets, parts, run_folder, ship, sl
 
 MAGIC = b"WVM1"
 _HEAD = struct.Struct("<4sIIQQ")
-_KEPT = 800_000
+_KEPT = 3_000_000  # units remembered
+_KEPT_IDS = 16_000_000
 _JOINED = 2000  # units encoded by one call of the library
 _SLICE = 4 << 20
 _BLANK, _LETTER, _MARK = 1, 2, 3
 _KINDS = bytes(_BLANK if words.BLANKS[b] else _LETTER if b < 128 and chr(b).isalpha() else _MARK if b in b'.,;:!?"()' else 0 for b in range(256))
+# Bytes of units cut without the library, 0: others. Letters are ASCII, U+00C0 to U+023F and U+0400 to U+047F; no
+# apostrophe, as it may open a contraction.
+_SPACE = 4
+_CUTS = np.zeros(256, np.uint8)
+_CUTS[33:127] = 3
+_CUTS[48:58] = 2
+_CUTS[[*range(65, 91), *range(97, 123), *range(0x80, 0xC0), *range(0xC3, 0xC9), 0xD0, 0xD1]] = 1
+_CUTS[39], _CUTS[32] = 0, _SPACE
+# Printable stand-ins of the bytes, as byte-level vocabularies spell them.
+_SPELLED = np.arange(256, dtype="<u4")
+_SPELLED[[*range(33), *range(127, 161), 173]] = np.arange(256, 256 + 33 + 34 + 1)
 # White space beside the six blanks that separate words, in UTF-8.
 _WIDE_SPACE = re.compile(rb"[\x1c-\x1f]|\xc2[\x85\xa0]|\xe1\x9a\x80|\xe2\x80[\x80-\x8a\xa8\xa9\xaf]|\xe2\x81\x9f|\xe3\x80\x80")
 
@@ -164,27 +175,81 @@ def from_file(data: bytes) -> tuple[list, np.ndarray, WaveletMatrix]:
     return doc_ids, np.frombuffer(sections[2], np.int64), WaveletMatrix(planes, np.frombuffer(sections[3], np.int64).tolist(), n)
 
 
+class Known:
+    """Ids of units by 64-bit hash: two sorted runs of hashes, and the ids one after another.
+
+    The short run takes what is added and joins the long one when it has grown. About 20 bytes a
+    unit; all is forgotten once the units or their ids pass a bound.
+    """
+
+    def __init__(self, kind: type):
+        self.kind = kind
+        self.clear()
+
+    def __len__(self) -> int:
+        return sum(len(keys) for keys, _, _ in self.runs)
+
+    def clear(self) -> None:
+        self.runs = [(np.zeros(0, np.uint64), np.zeros(0, np.uint32), np.zeros(0, np.uint32))] * 2  # hash, first id, number of ids
+        self.ids, self.n = np.zeros(1 << 16, self.kind), 0
+
+    def find(self, keys: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """(first id, number of ids, whether known) of each hash."""
+        first, size, known = np.zeros(len(keys), np.int64), np.zeros(len(keys), np.int64), np.zeros(len(keys), bool)
+        order = np.argsort(keys)
+        for run, firsts, sizes in self.runs:
+            if len(run):
+                at = np.minimum(np.searchsorted(run, keys[order]), len(run) - 1)
+                same = run[at] == keys[order]
+                hit, at = order[same], at[same]
+                first[hit], size[hit], known[hit] = firsts[at], sizes[at], True
+        return first, size, known
+
+    def add(self, keys: np.ndarray, first: np.ndarray, size: np.ndarray, ids: np.ndarray) -> int:
+        """Take new hashes and their ids, first counted within ids; returns the place of the first id."""
+        at, self.n = self.n, self.n + len(ids)
+        if self.n > len(self.ids):
+            grown = np.empty(max(self.n, len(self.ids) * 3 // 2), self.kind)
+            grown[:at] = self.ids[:at]
+            self.ids = grown
+        self.ids[at:self.n] = ids
+        if self.n < 1 << 32:  # beyond it, all is forgotten before the next use
+            self.runs[1] = self.merged(self.runs[1], (keys, (first + at).astype(np.uint32), size.astype(np.uint32)))
+            if len(self.runs[1][0]) > 100_000 + len(self.runs[0][0]) // 4:
+                self.runs = [self.merged(*self.runs), self.merged()]
+        return at
+
+    @staticmethod
+    def merged(*runs: tuple) -> tuple:
+        whole = [np.concatenate(c) for c in zip(*runs)] or [np.zeros(0, np.uint64), np.zeros(0, np.uint32), np.zeros(0, np.uint32)]
+        order = np.argsort(whole[0], kind="stable")
+        return tuple(c[order] for c in whole)
+
+
 class Encoder:
     """Ids of texts by a byte-level tokenizer of the tokenizers library.
 
     A text is cut into units, before white space and between a letter and a mark after it: no
     pre-token of a byte-level tokenizer reaches over the border between two units. The library encodes the units met first,
     many at a time, one after another as a text would hold them; the bytes each id stands for tell
-    where a unit's ids end. Texts with other kinds of white space, and tokenizers with other steps
-    than a plain byte-level one, are encoded whole. Units are told apart by 64-bit hash. The memory
-    of units is bounded.
+    where a unit's ids end. Units of letters, digits and marks that every Unicode version classes alike are
+    cut into their pre-tokens here and given to the library's model without its own cutting. Texts
+    with other kinds of white space, and tokenizers with other steps than a plain byte-level one,
+    are encoded whole. Units are told apart by 64-bit hash. The memory of units is bounded.
     """
 
     _known: dict[str, Encoder] = {}
 
     def __init__(self, path: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
-        from tokenizers import Tokenizer
+        from tokenizers import Tokenizer, pre_tokenizers
 
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = True
         self.tokenizer.no_truncation()
         self.tokenizer.no_padding()
+        self.cut = Tokenizer(self.tokenizer.model)  # takes pre-tokens, spelled as the vocabulary spells bytes, by line
+        self.cut.pre_tokenizer = pre_tokenizers.CharDelimiterSplit("\n")
         top = self.tokenizer.get_vocab_size()
         self.bits = max(1, (top - 1).bit_length())
         self.kind = np.uint16 if top <= 1 << 16 else np.uint32
@@ -192,7 +257,7 @@ class Encoder:
         self.plain = (
             self.tokenizer.normalizer is None and all(t.special for t in added)
             and re.match(r"ByteLevel\(add_prefix_space=False, .*use_regex=True\)", str(self.tokenizer.pre_tokenizer)) is not None)
-        self.units: dict[int, bytes] = {}  # by hash
+        self.units = Known(self.kind)
         vocabulary = self.tokenizer.get_vocab()
         self.n_bytes = np.zeros(max(vocabulary.values(), default=0) + 1, np.int64)
         for token, i in vocabulary.items():  # byte-level vocabularies spell every byte as one character
@@ -226,56 +291,92 @@ class Encoder:
         units = words.Words(data, start, np.append(start[1:], len(data))[:len(start)], until)
         coded = pa.array(units.hashes()[0]).dictionary_encode()
         which = coded.indices.to_numpy()
-        keys = coded.dictionary.to_numpy().tolist()
-        first = np.empty(len(keys), np.int64)
-        first[which[::-1]] = np.arange(len(which))[::-1]
-        if len(self.units) > _KEPT:
+        keys = coded.dictionary.to_numpy()
+        place = np.empty(len(keys), np.int64)
+        place[which[::-1]] = np.arange(len(which))[::-1]
+        if len(self.units) > _KEPT or self.units.n > _KEPT_IDS:
             self.units.clear()
-        found = list(map(self.units.get, keys))
-        new = [i for i, ids in enumerate(found) if ids is None]
-        start, end = units.start[first[new]], units.end[first[new]]
-        met = self.fresh(data, raw, start, end)
-        for i, ids in zip(new, met):
-            found[i] = ids
-        self.units.update(compress(zip([keys[i] for i in new], met), (end - start < 256).tolist()))
-        in_order = list(map(found.__getitem__, which.tolist()))
-        out = [b"".join(in_order[a:b]) for a, b in zip(until[:-1].tolist(), until[1:].tolist())]
-        if b"" in found:  # units with other white space
-            odd = np.flatnonzero(np.isin(which, [i for i, ids in enumerate(found) if not ids]))
-            for i in set((np.searchsorted(until, odd, side="right") - 1).tolist()):
-                out[i] = self.whole(raw[offsets[i]:offsets[i + 1]].decode())
+        first, size, known = self.units.find(keys)
+        new = np.flatnonzero(~known)
+        if len(new):
+            ids, first[new], size[new] = self.fresh(data, units.start[place[new]], units.end[place[new]])
+            first[new] += self.units.add(keys[new], first[new], size[new], ids)
+        n = size[which]
+        ends = np.cumsum(n)
+        source = np.repeat(first[which] - (ends - n), n)
+        source += np.arange(len(source))
+        body, width = self.units.ids.take(source).tobytes(), np.dtype(self.kind).itemsize
+        border = (np.append(0, ends)[until] * width).tolist()
+        out = [body[a:b] for a, b in zip(border[:-1], border[1:])]
+        odd = np.flatnonzero(n == 0)  # units with other white space
+        for i in set((np.searchsorted(until, odd, side="right") - 1).tolist()):
+            out[i] = self.whole(raw[offsets[i]:offsets[i + 1]].decode())
         return out
 
-    def fresh(self, data: np.ndarray, raw: bytes, start: np.ndarray, end: np.ndarray) -> list[bytes]:
-        """Packed ids of units, by their first byte and end; none for a unit with other white space."""
+    def fresh(self, data: np.ndarray, start: np.ndarray, end: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """(ids, first id and number of ids of each unit) of units, by their first byte and end; none for a unit with other white space."""
+        body, begin, stop = gathered(data, start, end)
+        kind, opens = _CUTS[body], np.zeros(len(body), bool)
+        opens[begin] = True
+        left = (kind == 0) | ((kind == _SPACE) & ~opens)
+        left[1:] |= (body[:-1] == 0xC3) & ((body[1:] == 0x97) | (body[1:] == 0xB7))  # the signs among Latin-1's letters
+        simple = ~np.logical_or.reduceat(left, begin) & ((kind[begin] != _SPACE) | (stop - begin > 1))
+        wide = np.zeros(len(start), bool)
+        wide[np.searchsorted(stop, [m.start() for m in _WIDE_SPACE.finditer(body.tobytes())], side="right")] = True
         # A unit without white space before its word, or without a word, might merge with its neighbour.
-        joins = words.BLANKS[data[start]] & ~words.BLANKS[data[end - 1]]
-        start, end = start.tolist(), end.tolist()
-        out = [b""] * len(start)
-        alone = [i for i in np.flatnonzero(~joins).tolist() if not _WIDE_SPACE.search(raw[start[i]:end[i]])]
-        for i, coded in zip(alone, self.tokenizer.encode_batch_fast([raw[start[i]:end[i]].decode() for i in alone], add_special_tokens=False)):
-            out[i] = self.packed(coded.ids)
-        joined = np.flatnonzero(joins).tolist()
-        for at in range(0, len(joined), _JOINED):
-            some = joined[at:at + _JOINED]
-            units = [raw[start[i]:end[i]] for i in some]
-            if _WIDE_SPACE.search(b"".join(units)):
-                some = [i for i, unit in zip(some, units) if not _WIDE_SPACE.search(unit)]
-                units = [raw[start[i]:end[i]] for i in some]
-                if not some:
-                    continue
-            ids = np.array(self.tokenizer.encode_batch_fast([b"".join(units).decode()], add_special_tokens=False)[0].ids, self.kind)
-            until, border = np.cumsum(self.n_bytes[ids]), np.cumsum(list(map(len, units)))
+        joins = words.BLANKS[body[begin]] & ~words.BLANKS[body[stop - 1]] & ~simple & ~wide
+        alone = np.flatnonzero(~(simple | joins | wide))
+        first, size = np.zeros(len(start), np.int64), np.zeros(len(start), np.int64)
+        out, n = [], 0
+
+        def take(own: np.ndarray, ids: np.ndarray, sizes: np.ndarray) -> None:
+            nonlocal n
+            first[own], size[own] = n + np.cumsum(sizes) - sizes, sizes
+            out.append(ids)
+            n += len(ids)
+
+        def shared(tokenizer, own: np.ndarray, text: str, border: np.ndarray) -> None:
+            """Units encoded by one call, and where their bytes end."""
+            ids = np.array(tokenizer.encode_batch_fast([text], add_special_tokens=False)[0].ids, self.kind)
+            until = np.cumsum(self.n_bytes[ids])
             last = np.searchsorted(until, border)
-            if last[-1] != len(ids) - 1 or (until[last] != border).any():  # a vocabulary that spells bytes otherwise
-                for i, unit in zip(some, units):
-                    out[i] = self.whole(unit.decode())
-                continue
-            body, width = ids.tobytes(), ids.itemsize
-            stop = ((last + 1) * width).tolist()
-            for i, a, b in zip(some, [0, *stop], stop):
-                out[i] = body[a:b]
-        return out
+            if not len(ids) or last[-1] != len(ids) - 1 or (until[last] != border).any():  # a vocabulary that spells bytes otherwise
+                single(own, [self.whole(body[begin[i]:stop[i]].tobytes().decode()) for i in own.tolist()])
+            else:
+                take(own, ids, np.diff(last, prepend=-1))
+
+        def single(own: np.ndarray, packed: list[bytes]) -> None:
+            ids = np.frombuffer(b"".join(packed), self.kind)
+            take(own, ids, np.array([len(x) for x in packed]) // ids.itemsize)
+
+        if len(alone):
+            texts_of = [body[begin[i]:stop[i]].tobytes().decode() for i in alone.tolist()]
+            single(alone, [self.packed(x.ids) for x in self.tokenizer.encode_batch_fast(texts_of, add_special_tokens=False)])
+        for own in runs_of(np.flatnonzero(joins)):
+            some, _, border = gathered(body, begin[own], stop[own])
+            shared(self.tokenizer, own, some.tobytes().decode(), border)
+        for own in runs_of(np.flatnonzero(simple)):
+            some, opening, border = gathered(body, begin[own], stop[own])
+            kind = _CUTS[some]
+            cuts = np.zeros(len(some), bool)
+            cuts[1:] = (kind[1:] != kind[:-1]) & (kind[:-1] != _SPACE)
+            cuts[opening] = True
+            text = np.insert(_SPELLED[some], np.flatnonzero(cuts), 10).tobytes().decode("utf-32-le")
+            shared(self.cut, own, text, border)
+        return np.concatenate(out) if out else np.zeros(0, self.kind), first, size
+
+
+def gathered(data: np.ndarray, start: np.ndarray, end: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(bytes, start, end) of the pieces of data from each start to its end, one after another."""
+    size = end - start
+    stop = np.cumsum(size)
+    source = np.repeat(start - (stop - size), size)
+    source += np.arange(len(source))
+    return data.take(source), stop - size, stop
+
+
+def runs_of(numbers: np.ndarray) -> list[np.ndarray]:
+    return [numbers[at:at + _JOINED] for at in range(0, len(numbers), _JOINED)]
 
 
 def write(docs: DataFrame, tokenizer: str, path: str, end_id: int = 0, docs_per_shard: int = 8192,
