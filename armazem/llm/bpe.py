@@ -21,7 +21,7 @@ from pyspark.sql import functions as F
 
 from armazem.llm.runtime import batch, parts, ship, slices, texts
 
-_KEPT = 400_000
+_KEPT = 120_000
 _NO_RANK = 1 << 62
 _SLICE = 2 << 20
 # Borders nearer to a cut than the longest fixed alternative of the pattern are not trusted.
@@ -60,8 +60,7 @@ class Codec:
 
     def encode(self, pieces: list[str]) -> bytes:
         """Ids of the pieces as little-endian unsigned 32-bit integers."""
-        if len(self.pieces) > _KEPT:
-            self.pieces.clear()
+        self.pieces.age()
         return b"".join(map(self.pieces.__getitem__, pieces))
 
     def decode(self, ids: bytes) -> bytes:
@@ -69,13 +68,24 @@ class Codec:
 
 
 class _Pieces(dict):
-    """Encoded ids by piece; a missing one is encoded and kept."""
+    """Encoded ids by piece; a missing one is encoded and kept.
+
+    Past _KEPT pieces a new generation begins; of the one before, what is met again is taken over.
+    """
 
     def __init__(self, ranks: dict[bytes, int]):
         super().__init__()
-        self.ranks = ranks
+        self.ranks, self.before = ranks, {}
+
+    def age(self) -> None:
+        if len(self) > _KEPT:
+            self.before = dict(self)
+            self.clear()
 
     def __missing__(self, piece: str) -> bytes:
+        if (known := self.before.get(piece)) is not None:
+            self[piece] = known
+            return known
         raw = piece.encode()
         whole = self.ranks.get(raw)
         ids = [whole] if whole is not None else merge(raw, self.ranks)

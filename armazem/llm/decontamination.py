@@ -31,13 +31,14 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from armazem.llm import words
-from armazem.llm.runtime import batch, byte_offsets, run_folder, ship, slices, texts, written
+from armazem.llm.runtime import batch, byte_offsets, cut, run_folder, ship, slices, texts, written
 
 STEPS_PER_WORD = 3
 SAMPLED = 3
 LONGEST = 51  # a step of scale(): longer windows would need too many repetitions
 _CELLS = 1 << 22
 _SLICE = 4 << 20
+_TOKENS = 1 << 20  # bytes of text taken for words at a time
 _SEED = 77
 _TURN = np.uint64(0xD1342543DE82EF95)
 _PAD = np.uint64(1)  # no word has this hash; walks() ends with it, too
@@ -130,8 +131,14 @@ def repetitions(size: int, recall: float, trials: int = 400) -> int:
 
 def tokens(rows: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray]:
     """(word hashes, index of each text's first word)."""
-    w = words.words(*byte_offsets(rows.column("text")), words.MARKS)
-    return w.hashes(lower=True)[0] | np.uint64(2), w.first
+    hashes, counts = [np.zeros(0, np.uint64)], [np.zeros(1, np.int64)]
+    for part in cut(rows, "text", _TOKENS):
+        w = words.words(*byte_offsets(part.column("text")), words.MARKS)
+        hashes.append(w.hashes(lower=True)[0])
+        counts.append(w.counts)
+    h = np.concatenate(hashes)
+    h |= np.uint64(2)
+    return h, np.cumsum(np.concatenate(counts))
 
 
 def items_of(benchmark: DataFrame, recall: float, id_col: str, text_col: str) -> DataFrame:

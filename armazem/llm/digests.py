@@ -64,8 +64,12 @@ class DigestIndex:
     def _begin(self, generation: int, buckets: int, rows: DataFrame | None = None) -> None:
         """Write a generation; it counts once its row of the spec is there."""
         self._open(generation, buckets)
-        self._append(self.spark.createDataFrame([], self.SCHEMA) if rows is None else rows)
-        spec = self.spark.createDataFrame([(self.VERSION, generation, buckets)], self.SPEC).coalesce(1)
+        # Made from a range: rows handed over from here would start Python on the executors.
+        one = self.spark.range(0, 1, 1, 1)
+        none = one.where("false").selectExpr(*(f"cast(null as {kind}) as {name}" for name, kind in map(str.split, self.SCHEMA.split(","))))
+        self._append(none if rows is None else rows)
+        spec = one.select(*(F.lit(v).cast("int").alias(name) for v, name in zip(
+            (self.VERSION, generation, buckets), ("version", "generation", "buckets"))))
         spec.write.mode("error").parquet(f"{self.path}/spec/{generation}")
 
     def _open(self, generation: int, buckets: int) -> None:
